@@ -436,8 +436,7 @@ ORACLE: dict[str, str] = {
     "corrupt_rows": """
         select cast(cast(ts as date) as varchar) as dt,
                count(*) filter (where event_type <> 'error') as good_rows,
-               count(*) filter (where event_type = 'error') as corrupt_rows,
-               cast(0 as bigint) as keyed
+               count(*) filter (where event_type = 'error') as corrupt_rows
         from events group by cast(ts as date)""",
     "bronze_health": sql(
         """select 'visitors' as dataset, count(*) as "rows", cast(0 as bigint) as corrupt_rows,

@@ -447,9 +447,9 @@ def corrupt_rows(spark: SparkSession, sf: str) -> DataFrame:
     good, bad = bronze.split_corrupt(bronze.read_bronze(spark, base, "visitors"))
     kept = good.groupBy("dt").agg(F.count("last_event_key").alias("good_rows"))
     lost = bad.groupBy("dt").agg(
-        F.count("_corrupt_record").alias("corrupt_rows"), F.count("visitor_key").alias("keyed")
+        F.count("_corrupt_record").alias("corrupt_rows")
     )
-    return kept.join(lost, "dt", "left").select("dt", "good_rows", "corrupt_rows", "keyed")
+    return kept.join(lost, "dt", "left").select("dt", "good_rows", "corrupt_rows")
 
 
 @query

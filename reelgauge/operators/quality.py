@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import VISITORS_FILE
 from ..schemas import BRONZE, CORRUPT, DATASETS
-from .silver import ensure_media_id
+from .silver import media_id_or_name
 
 
 class QualityError(RuntimeError):
@@ -28,33 +28,32 @@ def require_non_empty(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def bronze_health(raw: DataFrame, dataset: str) -> DataFrame:
-    """One row for a bronze frame: rows, corrupt lines, and for visitors those without media id.
-
-    One scan in place of separate counts; counting a payload column next to the corrupt one is
-    what Spark asks for.
+def health_measures(dataset: str) -> dict[str, Column]:
+    """Counts that say whether a bronze frame is fit for silver: rows, corrupt lines, rows with
+    their key, and visitor rows whose media id is neither in them nor in the file name.
     """
     parsed = F.col(CORRUPT).isNull()
-    first = BRONZE[dataset].names[0]
-    counts = [
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(~parsed).alias("corrupt_rows"),
-        F.count_if(parsed & F.col(first).isNotNull()).alias("keyed_rows"),
-    ]
+    no_media = F.lit(False)
     if dataset == "visitors":
-        raw = ensure_media_id(raw, VISITORS_FILE)
-        counts.append(F.count_if(parsed & F.col("media_id").isNull()).alias("missing_media_id"))
-    else:
-        counts.append(F.lit(0).cast("bigint").alias("missing_media_id"))
-    return raw.agg(*counts).select(F.lit(dataset).alias("dataset"), "*")
+        no_media = media_id_or_name(VISITORS_FILE).isNull()
+    return {
+        "rows": F.count(F.lit(1)),
+        "corrupt_rows": F.count_if(~parsed),
+        "keyed_rows": F.count_if(parsed & F.col(BRONZE[dataset].names[0]).isNotNull()),
+        "missing_media_id": F.count_if(parsed & no_media),
+    }
+
+
+def bronze_health(raw: DataFrame, dataset: str) -> DataFrame:
+    """``health_measures`` of a bronze frame as one row, in one scan."""
+    measures = [column.alias(name) for name, column in health_measures(dataset).items()]
+    return raw.agg(*measures).select(F.lit(dataset).alias("dataset"), "*")
 
 
 def require_media_id(raw_visitors: DataFrame) -> DataFrame:
     """Raise if a visitor row has a media id neither in itself nor in its file name."""
-    missing = ensure_media_id(raw_visitors, VISITORS_FILE).agg(
-        F.count_if(F.col("media_id").isNull()).alias("n")
-    )
-    n = missing.first()["n"]
+    missing = F.count_if(media_id_or_name(VISITORS_FILE).isNull())
+    n = raw_visitors.agg(missing.alias("n")).first()["n"]
     if n:
         raise QualityError(f"{n} visitor rows have no media id")
     return raw_visitors

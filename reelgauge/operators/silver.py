@@ -24,11 +24,13 @@ def ensure_dt(df: DataFrame) -> DataFrame:
     return df.withColumn("dt", dt_from_path(F.col(SOURCE_PATH)))
 
 
+def media_id_or_name(pattern: str, own: str = "media_id") -> Column:
+    """The row's own media id, else the one in its file name; null if neither has it."""
+    return F.coalesce(filled(own), id_from_path(F.col(SOURCE_PATH), pattern))
+
+
 def ensure_media_id(df: DataFrame, pattern: str, own: str = "media_id") -> DataFrame:
-    """``media_id`` from the row's own column, else from the file name; null if neither has it."""
-    from_name = id_from_path(F.col(SOURCE_PATH), pattern)
-    found = F.coalesce(filled(own), from_name) if own in df.columns else from_name
-    return df.withColumn("media_id", found)
+    return df.withColumn("media_id", media_id_or_name(pattern, own))
 
 
 def with_ids(df: DataFrame) -> DataFrame:

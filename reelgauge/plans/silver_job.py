@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import silver
 from ..operators.joins import unknown_media
-from ..operators.quality import QualityError, bronze_health
+from ..operators.quality import QualityError, health_measures
+from ..operators.silver import ensure_dt
 from ..schemas import DATASETS
-from ..sources.bronze import read_bronze, split_corrupt
-from ..sources.tables import write_partitioned
+from ..session import scratch_path
+from ..sources.bronze import read_bronze, split_corrupt, stage_bronze
+from ..sources.tables import drop_folder, write_partitioned
 
 
 def silver_tables(parsed: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -22,21 +24,17 @@ def silver_tables(parsed: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def check_bronze(raw: dict[str, DataFrame]) -> dict[str, dict]:
-    """Counts per dataset; raises before anything is written if silver could not be built.
+def check_bronze(health: dict[str, dict[str, int]]) -> None:
+    """Raise if silver could not be built from bronze with these counts.
 
-    One aggregation per dataset answers every check, so no deduplicated frame is computed just to
-    see whether it is empty.
+    The rows counted are those before deduplication: a table is empty exactly when they are.
     """
-    health = {d: bronze_health(df, d).first().asDict() for d, df in raw.items()}
     for dataset, tables in (("metadata", "dim_media"), ("visitors", "dim_visitor and the fact")):
-        if not health[dataset]["keyed_rows"]:
+        if not health[dataset].get("keyed_rows"):
             raise QualityError(f"{tables} would be empty; check {dataset}, the day and the format")
-    if health["visitors"]["missing_media_id"]:
-        raise QualityError(
-            f"{health['visitors']['missing_media_id']} visitor rows have no media id"
-        )
-    return health
+    missing = health["visitors"]["missing_media_id"]
+    if missing:
+        raise QualityError(f"{missing} visitor rows have no media id")
 
 
 def run_silver(
@@ -49,24 +47,31 @@ def run_silver(
     files: int | None = None,
     partitioned: bool = True,
     quarantine_base: str | None = None,
-) -> dict[str, dict]:
+) -> dict[str, dict[str, int]]:
     """Build silver for the given days, or for all of bronze; returns the bronze counts.
 
-    A day is always rebuilt from its whole bronze folder, so pages that came late are kept and a
-    second run changes nothing. Corrupt lines are left out of silver, and written below
-    ``quarantine_base`` if that is given.
+    The JSON is parsed once into a scratch table and counted on the way; if the counts do not
+    pass, nothing of silver is touched. A day is always rebuilt from its whole bronze folder, so
+    pages that came late are kept and a second run changes nothing. Corrupt lines are left out of
+    silver, and written below ``quarantine_base`` if that is given.
     """
-    raw = {d: read_bronze(spark, bronze_base, d, fmt, days, partitioned) for d in DATASETS}
-    health = check_bronze(raw)
-    split = {d: split_corrupt(df) for d, df in raw.items()}
+    scratch = scratch_path(spark, "parsed")
+    staged, health = {}, {}
+    for dataset in DATASETS:
+        raw = read_bronze(spark, bronze_base, dataset, fmt, days, partitioned)
+        staged[dataset], health[dataset] = stage_bronze(
+            ensure_dt(raw), f"{scratch}/{dataset}", health_measures(dataset)
+        )
+    check_bronze(health)
+    split = {dataset: split_corrupt(df) for dataset, df in staged.items()}
     many_days = days is None or len(days) > 1
     for table, df in silver_tables({d: good for d, (good, _) in split.items()}).items():
         write_partitioned(df, silver_base, table, mode, files=files, spread=many_days)
     if quarantine_base:
         for dataset, (_, bad) in split.items():
             if health[dataset]["corrupt_rows"]:
-                rows = silver.ensure_dt(bad)
-                write_partitioned(rows, quarantine_base, dataset, mode, spread=many_days)
+                write_partitioned(bad, quarantine_base, dataset, mode, spread=many_days)
+    drop_folder(spark, scratch)
     return health
 
 

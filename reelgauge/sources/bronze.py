@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,19 +45,33 @@ def read_bronze(
         reader = reader.option("recursiveFileLookup", True)
     df = reader.json(f"{base.rstrip('/')}/{dataset}")
     df = df.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+    # Spark refuses a JSON scan that needs nothing but the corrupt column; leaning on a payload
+    # column, in a term that is always null, lets corrupt lines be counted like any others.
+    payload = F.col(df.columns[0])
+    df = df.withColumn(CORRUPT, F.coalesce(CORRUPT, F.nullif(payload, payload)))
     if days:
-        day = F.col("dt") if "dt" in df.columns else dt_from_path(F.col(SOURCE_PATH))
+        day = F.col("dt").try_cast("date") if "dt" in df.columns else dt_from_path(F.col(SOURCE_PATH))
         df = df.where(day.isin([F.lit(d).cast("date") for d in days]))
     return df
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that parsed, lines that did not).
+def stage_bronze(
+    df: DataFrame, path: str, measures: dict[str, Column]
+) -> tuple[DataFrame, dict[str, int]]:
+    """The rows as a Parquet table at ``path``, and ``measures`` taken on the way.
 
-    Spark refuses a scan that needs nothing but the corrupt column, so the second frame also
-    carries the first payload column, and counting the first one goes through ``bronze_health``.
+    JSON is parsed once, however many tables are built of it, and all of them see the same files.
+    The table survives lost executors.
     """
-    keep = [c for c in (df.columns[0], CORRUPT, SOURCE_PATH, "dt") if c in df.columns]
+    seen = Observation()
+    rows = df.observe(seen, *[column.alias(name) for name, column in measures.items()])
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that parsed, lines that did not)."""
+    keep = [c for c in (CORRUPT, SOURCE_PATH, "dt") if c in df.columns]
     bad = df.where(F.col(CORRUPT).isNotNull()).select(*keep)
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
 

@@ -129,15 +129,19 @@ def write_gold(
     return write_partitioned(with_ymd(df), base, table, mode, by=YMD, measures=measures)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is on."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).delete(target, True)
+
+
 def drop_days(spark: SparkSession, base: str, table: str, days: list) -> None:
     """Delete gold day folders that have no rows any more (None: rows without a date).
 
     Dynamic overwrite only touches partitions it has rows for.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for day in days:
         parts = (day.year, day.month, day.day) if day else ("__HIVE_DEFAULT_PARTITION__",) * 3
         folder = "/".join(f"{k}={v}" for k, v in zip(YMD, parts))
-        path = jvm.org.apache.hadoop.fs.Path(f"{table_path(base, table)}/{folder}")
-        path.getFileSystem(conf).delete(path, True)
+        drop_folder(spark, f"{table_path(base, table)}/{folder}")

@@ -1,0 +1,136 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelgauge.operators import dedup, quality, silver
+from reelgauge.plans.silver_job import check_bronze
+from reelgauge.schemas import BRONZE, as_text
+
+from .conftest import media_row, plan, rows, visitor
+
+PATH = "file:/b/visitors/dt=2025-09-19/visitors_m1_page1_x.ndjson"
+
+
+def feed(spark, dataset, records, path=PATH):
+    """Bronze rows as text, the way they are read."""
+    import json
+
+    lines = spark.createDataFrame([(json.dumps(r),) for r in records], "line string")
+    schema = as_text(BRONZE[dataset])
+    parsed = lines.select(F.from_json("line", schema).alias("r")).select("r.*")
+    return parsed.withColumn("source_path", F.lit(path))
+
+
+def test_dim_media_flattens_and_types(spark):
+    got = silver.dim_media(feed(spark, "metadata", [media_row("m1")])).first().asDict()
+    assert (got["media_id"], got["duration_seconds"], got["tags"]) == ("m1", 12.5, ["a", "b"])
+    assert (got["project_id"], got["project_name"]) == ("p1", "Project")
+    assert str(got["created_at"]) == "2025-09-01 00:00:00" and str(got["dt"]) == "2025-09-19"
+
+
+def test_dim_media_id_falls_back_to_the_file(spark):
+    path = "file:/b/metadata/dt=2025-09-19/metadata_QX_1.ndjson"
+    got = silver.dim_media(feed(spark, "metadata", [media_row("")], path))
+    assert rows(got, "media_id") == [("QX",)]
+
+
+def test_dim_media_keeps_the_last_update(spark):
+    old = media_row("m1", name="old", updated="2025-09-02T00:00:00Z")
+    new = media_row("m1", name="new", updated="2025-09-03T00:00:00+01:00")
+    none = media_row("m1", name="none", updated=None)
+    got = silver.dim_media(feed(spark, "metadata", [old, new, none]))
+    assert rows(got, "title") == [("new",)]
+
+
+def test_dim_visitor_keeps_the_last_activity_and_one_null_key(spark):
+    early = visitor("a", last_active_at="2025-09-19T01:00:00Z", event="e9")
+    late = visitor("a", last_active_at="2025-09-19T02:00:00Z", event="e1")
+    never = visitor("a", last_active_at="garbage", event="e99")
+    nobody = [visitor(None, event=f"n{i}") for i in range(3)]
+    got = silver.dim_visitor(feed(spark, "visitors", [early, late, never, *nobody]))
+    assert rows(got, "visitor_id", F.hour("last_active")) == [("a", 2), (None, 10)]
+
+
+def test_fact_needs_both_keys(spark):
+    records = [visitor("a"), visitor(None), visitor(""), visitor("b", media=None)]
+    got = silver.fact_media_engagement(feed(spark, "visitors", records, "file:/b/odd.json"))
+    assert rows(got, "media_id", "visitor_id") == [("m1", "a")]
+
+
+def test_fact_tie_goes_to_the_event_key(spark):
+    records = [visitor("a", event=f"e{i}", plays=i) for i in (3, 5, 4)]
+    got = silver.fact_media_engagement(feed(spark, "visitors", records))
+    assert rows(got, "last_event_key", "play_count") == [("e5", 5)]
+
+
+def test_medias_keep_the_largest_counters_and_take_a_title(spark):
+    path = "file:/b/medias/dt=2025-09-19/medias_m1_x.ndjson"
+    records = [{"load_count": 9, "play_count": 1}, {"load_count": 10, "play_count": 0}, {}]
+    dim = silver.dim_media(feed(spark, "metadata", [media_row("m1")]))
+    got = silver.fact_media_daily_raw(feed(spark, "medias", records, path), dim)
+    assert rows(got, "media_id", "load_count", "title") == [("m1", 10, "Title m1")]
+
+
+def test_with_ids_reads_the_path_alone(spark):
+    got = silver.with_ids(feed(spark, "visitors", [visitor("a", media="other")]))
+    assert rows(got, "media_id", "dt", "event_date") == [("m1", "2025-09-19", "2025-09-19")]
+
+
+def test_dedup_does_not_depend_on_order_or_partitions(spark):
+    data = [(i % 7, (i * 13) % 5 or None, i) for i in range(200)]
+    results = []
+    for seed, parts in ((1, 1), (2, 3), (3, 9)):
+        shuffled = data[:]
+        random.Random(seed).shuffle(shuffled)
+        df = spark.createDataFrame(shuffled, "k int, t int, v int").repartition(parts)
+        results.append(rows(dedup.latest_per_key(df, ["k"], ["t"])))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 7
+    assert all(t == 4 for _, t, _ in results[0])
+
+
+def test_dedup_drops_copies_before_the_shuffle(spark):
+    """A third of all rows may be copies of one key; each task passes on one of them."""
+    df = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("t"))
+    got = dedup.latest_per_key(df, ["k"], ["t"])
+    physical = plan(got).split("Physical Plan")[1]
+    below = physical.split("Exchange hashpartitioning")[1]
+    assert "WindowGroupLimit" in below and "Partial" in below
+    assert rows(got) == [(0, 2998), (1, 2999)]
+
+
+def test_latest_dim_and_snapshot(spark):
+    dim = spark.createDataFrame(
+        [("m1", "2025-09-19", "a"), ("m1", "2025-09-20", "b"), ("m2", None, "c")],
+        "media_id string, dt string, title string",
+    )
+    assert rows(dedup.latest_dim(dim, "media_id"), "media_id", "title") == [("m1", "b"), ("m2", "c")]
+    fact = spark.createDataFrame(
+        [("m1", "a", "2025-09-19", 1), ("m1", "a", "2025-09-20", 3), ("m1", "b", "2025-09-19", 2)],
+        "media_id string, visitor_id string, dt string, play_count int",
+    )
+    got = dedup.latest_snapshot(fact)
+    assert rows(got, "visitor_id", "play_count") == [("a", 3), ("b", 2)]
+
+
+def test_require_non_empty(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    assert quality.require_non_empty(df, "t") is df
+    with pytest.raises(quality.QualityError, match="t is empty"):
+        quality.require_non_empty(df.limit(0), "t")
+
+
+def test_check_bronze():
+    fine = {"keyed_rows": 1, "missing_media_id": 0}
+    check_bronze({"metadata": fine, "visitors": fine, "medias": {"keyed_rows": 0}})
+    for dataset in ("metadata", "visitors"):
+        with pytest.raises(quality.QualityError, match="would be empty"):
+            check_bronze({"metadata": fine, "visitors": fine, dataset: {"keyed_rows": 0}})
+    with pytest.raises(quality.QualityError, match="2 visitor rows"):
+        check_bronze({"metadata": fine, "visitors": fine | {"missing_media_id": 2}})
+
+
+def test_row_counts_and_samples(spark):
+    df = spark.range(5)
+    assert rows(quality.row_counts({"a": df, "b": df.limit(0)})) == [("a", 5), ("b", 0)]
+    assert quality.sample_rows(df, 3).count() == 3
