@@ -25,7 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _event_media(events: DataFrame) -> Column:
-    return F.concat(F.lit("m"), F.get_json_object("props", "$.k"))
+    """Props hold one number, k; a pattern finds it several times faster than a JSON parse."""
+    return F.concat(F.lit("m"), F.regexp_extract("props", '^\\{"k": *([0-9]+)\\}$', 1))
 
 
 def _is(*kinds: str) -> Column:
@@ -57,7 +58,7 @@ def visitors_feed(events: DataFrame) -> DataFrame:
     The kind of event decides the spelling of the stamps and whether the media id is in the row,
     missing or empty; the file name always has it.
     """
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = F.to_date("ts").cast("string")
     milli = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     second = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     offset = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+02:00'")
@@ -128,7 +129,7 @@ def metadata_feed(part: DataFrame) -> DataFrame:
 
 def medias_feed(lineitem: DataFrame) -> DataFrame:
     """Raw per-media totals; the media id is in the file name only."""
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    day = F.to_date("l_shipdate").cast("string")
     none = F.lit(None).cast("string")
     return lineitem.select(
         F.col("l_quantity").cast("string").alias("load_count"),
@@ -161,7 +162,7 @@ def daily_totals_feed(events: DataFrame) -> DataFrame:
 
 def old_media_gold(events: DataFrame) -> DataFrame:
     """Media gold in its older naming: text dates and numbers, some unreadable, and watch time."""
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = F.to_date("ts").cast("string")
     return events.select(
         _event_media(events).alias("media_id"),
         F.when(_is("error"), "n/a").otherwise(day).alias("d"),

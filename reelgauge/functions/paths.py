@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 VISITORS_FILE = r"visitors_([A-Za-z0-9]+)_page"
 MEDIAS_FILE = r"medias_([A-Za-z0-9]+)"
 ANY_FILE = r"^(?:medias|metadata|visitors)_([A-Za-z0-9]+).*\.ndjson$"
-DAY_FOLDER = r"^(?:.*/)?dt=([0-9]{4}-[0-9]{2}-[0-9]{2})/"
+DAY_FOLDER = "/dt="
+DAY = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})/"
 
 
 def file_name(path: Column) -> Column:
@@ -23,7 +24,8 @@ def id_from_path(path: Column, pattern: str = ANY_FILE) -> Column:
 
 def dt_from_path(path: Column) -> Column:
     """Day of the innermost ``dt=`` folder as a date, null where there is none."""
-    return F.try_to_date(F.nullif(F.regexp_extract(path, DAY_FOLDER, 1), F.lit("")))
+    behind = F.substring_index(path, DAY_FOLDER, -1)
+    return F.try_to_date(F.regexp_extract(behind, DAY, 1))
 
 
 def bronze_root(base: str, sub_folder: str = "") -> str:

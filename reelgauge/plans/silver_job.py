@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.paths import MEDIAS_FILE, VISITORS_FILE
 from ..operators import silver
 from ..operators.joins import unknown_media
 from ..operators.quality import QualityError, health_measures
-from ..operators.silver import ensure_dt
+from ..operators.silver import ensure_dt, ensure_media_id
 from ..schemas import DATASETS
 from ..session import scratch_path
 from ..sources.bronze import read_bronze, split_corrupt, stage_bronze
 from ..sources.tables import drop_folder, write_partitioned
 
 
+# Datasets whose media id may have to come from the file name.
+FILE_PATTERNS = {"medias": MEDIAS_FILE, "visitors": VISITORS_FILE}
+
+
 def silver_tables(parsed: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The four silver tables of bronze frames without corrupt rows."""
     return {
@@ -50,7 +55,8 @@ def run_silver(
 ) -> dict[str, dict[str, int]]:
     """Build silver for the given days, or for all of bronze; returns the bronze counts.
 
-    The JSON is parsed once into a scratch table and counted on the way; if the counts do not
+    The JSON is parsed once into a scratch table, with day and media id filled in, and counted on
+    the way; if the counts do not
     pass, nothing of silver is touched. A day is always rebuilt from its whole bronze folder, so
     pages that came late are kept and a second run changes nothing. Corrupt lines are left out of
     silver, and written below ``quarantine_base`` if that is given.
@@ -58,9 +64,11 @@ def run_silver(
     scratch = scratch_path(spark, "parsed")
     staged, health = {}, {}
     for dataset in DATASETS:
-        raw = read_bronze(spark, bronze_base, dataset, fmt, days, partitioned)
+        raw = ensure_dt(read_bronze(spark, bronze_base, dataset, fmt, days, partitioned))
+        if dataset in FILE_PATTERNS:
+            raw = ensure_media_id(raw, FILE_PATTERNS[dataset])
         staged[dataset], health[dataset] = stage_bronze(
-            ensure_dt(raw), f"{scratch}/{dataset}", health_measures(dataset)
+            raw, f"{scratch}/{dataset}", health_measures(dataset)
         )
     check_bronze(health)
     split = {dataset: split_corrupt(df) for dataset, df in staged.items()}

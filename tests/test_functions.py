@@ -35,6 +35,21 @@ def test_parse_ts(spark, text, expected):
     assert one(spark, stamp, x=text) == wanted
 
 
+def test_the_cast_reads_every_spelling_of_the_feeds(spark):
+    """What any pattern can read, ``parse_ts`` reads as the same instant."""
+    days = ("2025-09-19", "2024-02-29", "1999-12-31", "0001-01-01", "9999-12-31", "2025-02-30")
+    clocks = ("00:00:00", "23:59:59", "10:11:12", "24:00:00", "10:61:00")
+    fractions = ("", ".000", ".345", ".3", ".123456")
+    zones = ("Z", "+00:00", "-00:00", "+02:00", "-05:30", "+14:00", "+18:00", "+19:00", "+0200", "")
+    texts = [f"{d}T{c}{f}{z}" for d in days for c in clocks for f in fractions for z in zones]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    tried = F.coalesce(*[F.try_to_timestamp("x", F.lit(p)) for p in times.STAMP_PATTERNS])
+    read = df.select("x", tried.alias("tried"), times.parse_ts(F.col("x")).alias("cast"))
+    read = read.where("tried is not null")
+    assert read.count() > 100
+    assert read.where("not (tried <=> cast)").count() == 0
+
+
 def test_written_day_and_utc_day_differ(spark):
     text = "2025-09-19T23:30:00-05:00"
     assert one(spark, times.date10(F.col("x")), x=text) == date(2025, 9, 19)
