@@ -472,6 +472,17 @@ ORACLE: dict[str, str] = {
     "gold_range_pruned": sql(
         f"select {GOLD_MEDIA_COLUMNS} from mg where {RANGE}", *BASE, MEDIA_GOLD
     ),
+    "gold_views_sql": sql(
+        f"""select cast(m.event_date as varchar) as event_date, media_title, plays, visitors
+            from (select event_date, latest.title as media_title,
+                         cast(sum(total_plays) as bigint) as plays
+                  from mg left join latest on mg.media_id = latest.media_id where {RANGE}
+                  group by event_date, latest.title) m
+            join (select event_date, count(distinct visitor_id) as visitors
+                  from vg where {RANGE} group by event_date) v
+              on m.event_date = v.event_date""",
+        *BASE, MEDIA_GOLD, VISITOR_GOLD,
+    ),
     "bronze_to_gold_media": sql(f"select {GOLD_MEDIA_COLUMNS} from mg", *FROM_BRONZE, MEDIA_GOLD),
     "bronze_to_gold_visitor": sql(
         f"select {GOLD_VISITOR_COLUMNS} from vg", *FROM_BRONZE, VISITOR_GOLD

@@ -19,6 +19,7 @@ from ..operators.dedup import latest_dim, latest_per_key
 from ..operators.filters import date_between, media_in
 from ..plans.gold_job import MEDIA, VISITOR, GoldRefresh, run_gold
 from ..plans.silver_job import run_silver
+from ..plans.views import gold_views
 from ..schemas import DATASETS, GOLD
 from ..session import scratch_path, use_utc
 from ..sources import bronze, tables
@@ -562,6 +563,28 @@ def bronze_to_gold_visitor(spark: SparkSession, sf: str) -> DataFrame:
     return stored.drop("year", "month", "day")
 
 
+@query
+def gold_views_sql(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_path(spark, "views")
+    tables.write_partitioned(media_dim(spark, sf), f"{base}/silver", "dim_media")
+    tables.write_gold(media_gold(spark, sf), f"{base}/gold", MEDIA)
+    tables.write_gold(visitor_gold(spark, sf), f"{base}/gold", VISITOR)
+    gold_views(spark, f"{base}/gold", f"{base}/silver")
+    return spark.sql(
+        """
+        select m.event_date, m.media_title, m.plays, v.visitors
+        from (select event_date, media_title, sum(total_plays) as plays
+              from agg_media_daily_p where event_date between :start and :end
+              group by event_date, media_title) m
+        join (select event_date, count(distinct visitor_id) as visitors
+              from agg_visitor_daily_p where event_date between :start and :end
+              group by event_date) v
+          on m.event_date = v.event_date
+        """,
+        args={"start": START, "end": END},
+    )
+
+
 @query
 def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks land as later pages of days already taken in; the result equals one batch."""

@@ -8,9 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import with_ymd
-from ..operators.event_date import media_days, resolve_event_date
+from ..operators.event_date import media_days, own_day, resolve_event_date
 from ..operators.gold import media_daily, visitor_daily
-from ..sources.tables import YMD, drop_days, read_silver, write_full, write_gold
+from ..sources.tables import (
+    YMD,
+    drop_days,
+    drop_folder,
+    read_silver,
+    write_full,
+    write_gold,
+)
 
 MEDIA, VISITOR = "agg_media_daily", "agg_visitor_daily"
 
@@ -66,7 +73,8 @@ class GoldRefresh:
     a date left without rows is deleted. Not for running-total facts (``latest_only``), where a
     new day changes which older row counts; rebuild those in full.
 
-    ``snapshot`` is a folder all executors share; the media days as they were go there.
+    ``snapshot`` is a folder all executors share; the media days as they were go there until
+    ``apply`` is through. The first gold of all comes from ``run_gold``.
     """
 
     def __init__(
@@ -98,18 +106,22 @@ class GoldRefresh:
         """Rebuild the touched event dates; returns them."""
         touched = self.before | self._days_of_changed_rows() | self._days_of_moved_media()
         fact, media = self._silver()
+        known = [F.lit(d) for d in touched if d]
+        # Rows that state another day cannot end up on a touched one: they go before the shuffle.
+        own = own_day(fact)
+        fact = fact.where(own.isNull() | own.isin(known))
         frames = {
             MEDIA: media_daily(fact, media),
             VISITOR: visitor_daily(fact, media, interactions=interactions),
         }
-        known = [F.lit(d) for d in touched if d]
-        wanted = F.col("event_date").isin(known) if known else F.lit(False)
+        wanted = F.col("event_date").isin(known)
         if None in touched:
             wanted = wanted | F.col("event_date").isNull()
         for table, df in frames.items():
             seen = write_gold(df.where(wanted), self.gold_base, table, measures=_days_seen()).get
             left = set(seen.get("days") or ()) | ({None} if seen.get("undated") else set())
             drop_days(self.spark, self.gold_base, table, sorted_days(touched - left))
+        drop_folder(self.spark, self.snapshot)
         return touched
 
 

@@ -8,11 +8,12 @@ from reelgauge.operators.quality import QualityError
 from reelgauge.plans import cli
 from reelgauge.plans.gold_job import MEDIA, VISITOR, GoldRefresh, run_gold
 from reelgauge.plans.silver_job import missing_metadata, run_silver
+from reelgauge.plans.views import gold_views
 from reelgauge.schemas import GOLD
 from reelgauge.sources import tables
 from reelgauge.sources.tables import read_gold, read_silver
 
-from .conftest import land, media_row, rows, visitor, write_lines
+from .conftest import land, media_row, plan, rows, visitor, write_lines
 
 DAY, NEXT = "2025-09-19", "2025-09-20"
 
@@ -206,6 +207,23 @@ def test_gold_append_is_not_idempotent(spark, folder):
     assert spark.read.parquet(f"{folder}/{VISITOR}").count() == 1
 
 
+def test_views_prune_by_event_date(spark, bases):
+    bronze, silver, out = bases
+    land(bronze, DAY, [visitor("a")])
+    land(bronze, NEXT, [visitor("a", day=NEXT, plays=4)])
+    run_silver(spark, bronze, silver)
+    run_gold(spark, silver, out)
+    gold_views(spark, out, silver)
+    text = "select media_title, total_plays from {} where event_date between :a and :b"
+    days = {"a": date(2025, 9, 20), "b": date(2025, 9, 21)}
+    for name in ("agg_media_daily", "agg_media_daily_p"):
+        got = spark.sql(text.format(name), args=days)
+        assert rows(got) == [("Title m1", 4)]
+        assert "make_date" in plan(got).split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    seen = spark.sql("select sum(media_interactions) from agg_visitor_daily_p")
+    assert seen.first()[0] == 2
+
+
 def test_command_line(spark, bases, capsys):
     bronze, silver, out = bases
     land(f"{bronze}/feed", DAY, [visitor("a"), visitor("b", media="m8")])
