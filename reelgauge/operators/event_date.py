@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import day_of
 from .dedup import latest_dim
-from .joins import BROADCAST_BYTES, measured_bytes, narrow_dim, salted_left_join
+from .joins import BROADCAST_BYTES, hot_key_left_join, measured_bytes, narrow_dim
 
 # latest_activity: last_active, else first_seen, else the day the media was created.
 # first_seen: that day only.
@@ -38,8 +38,8 @@ def resolve_event_date(
     """Add ``event_date`` to every fact row; it stays null where nothing gives a day.
 
     The media days are measured first. Up to ``broadcast_bytes`` they are broadcast and the fact
-    is not shuffled. Beyond that only the rows without a day of their own are shuffled, salted,
-    and the others pass by untouched.
+    is not shuffled. Beyond that only the rows without a day of their own are joined, those of
+    hot media still without a shuffle, and the others pass by untouched.
     """
     dated = fact.withColumn("event_date", own_day(fact, mode))
     if mode == "first_seen":
@@ -49,11 +49,11 @@ def resolve_event_date(
         joined = dated.join(F.broadcast(days), "media_id", "left")
         day = F.coalesce("event_date", "media_created_date")
         return joined.withColumn("event_date", day).drop("media_created_date")
-    missing = fact.where(own_day(fact, mode).isNull())
-    found = salted_left_join(missing, days, "media_id").withColumnRenamed(
+    missing = fact.where(own_day(fact, mode).isNull() & F.col("media_id").isNotNull())
+    found = hot_key_left_join(missing, days, "media_id").withColumnRenamed(
         "media_created_date", "event_date"
     )
-    return dated.where("event_date is not null").unionByName(found)
+    return dated.where("event_date is not null or media_id is null").unionByName(found)
 
 
 def event_date_coverage(fact: DataFrame, media_dim: DataFrame) -> DataFrame:

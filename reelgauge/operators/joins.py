@@ -10,7 +10,8 @@ from .dedup import STAMPS, latest_dim
 # A side may be broadcast up to this many bytes, measured before the join is planned.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
-SALTS = 32
+# This many keys are treated as hot where a side is too large to be broadcast.
+HOT_KEYS = 10_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -24,18 +25,23 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()["size"]
 
 
-def salted_left_join(
-    left: DataFrame, right: DataFrame, key: str, salts: int = SALTS
+def hot_key_left_join(
+    left: DataFrame, right: DataFrame, key: str, hot_keys: int = HOT_KEYS
 ) -> DataFrame:
-    """Left join of a fact with a one-row-per-key side, for keys that may be very hot.
+    """Left join of a fact with a one-row-per-key side of any size, for keys that may be very hot.
 
-    Each left row picks one of ``salts`` copies of the right side by a hash of its own columns,
-    so one key is shared by that many tasks and a task that runs again picks the same copy.
+    The ``hot_keys`` most frequent keys of the fact are found first, pre-counted in each task.
+    Their rows are joined by broadcast, which is safe as the side then has at most ``hot_keys``
+    rows, and are not shuffled. Of the rows that are, no key can hold more than one part in
+    ``hot_keys``. Rows with a null key are expected to be kept out by the caller.
     """
-    rest = [F.col(c) for c in left.columns if c != key]
-    spread = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", spread).join(copies, [key, "_salt"], "left").drop("_salt")
+    spark = left.sparkSession
+    top = left.groupBy(key).count().orderBy(F.desc("count"), key).limit(hot_keys).select(key)
+    hot = F.broadcast(spark.createDataFrame(top.collect(), top.schema))
+    few = F.broadcast(right.join(hot, key, "left_semi"))
+    by_broadcast = left.join(hot, key, "left_semi").join(few, key, "left")
+    by_shuffle = left.join(hot, key, "left_anti").join(right, key, "left")
+    return by_broadcast.unionByName(by_shuffle)
 
 
 def narrow_dim(media_dim: DataFrame, *columns: str) -> DataFrame:

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import bronze_root
 from ..functions.times import backfill_days, date10, last_n_days
+from ..operators.event_date import MODES
 from ..operators.filters import media_in
+from ..operators.gold import INTERACTIONS
 from ..operators.kpi import prep_kpi
 from ..operators.quality import infer_bronze, sample_rows, schema_report
 from ..schemas import DATASETS, GOLD
@@ -54,11 +56,12 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--quarantine-base")
 
     gold = command("gold", "silver", "gold")
-    gold.add_argument("--event-date", choices=("latest_activity", "first_seen"))
-    gold.add_argument("--interactions", choices=("rows", "sum_plays"), default="rows")
     gold.add_argument("--latest-only", action="store_true")
 
     refresh = command("refresh", "bronze", "silver", "gold")
+    for sub in (gold, refresh):
+        sub.add_argument("--event-date", choices=MODES, default=MODES[0])
+        sub.add_argument("--interactions", choices=INTERACTIONS, default=INTERACTIONS[0])
     refresh.add_argument("--dt", nargs="+", required=True)
 
     validate = command("validate", "bronze")
@@ -94,13 +97,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         if unknown:
             print(f"warning: {unknown} media ids of the fact have no metadata")
     elif args.command == "gold":
-        mode = args.event_date or "latest_activity"
         print(run_gold(
-            spark, args.silver_base, args.gold_base, mode, args.interactions, args.latest_only
+            spark, args.silver_base, args.gold_base, args.event_date, args.interactions,
+            args.latest_only,
         ))
     elif args.command == "refresh":
         keep = scratch_path(spark, "media-days")
-        job = GoldRefresh(spark, args.silver_base, args.gold_base, args.dt, keep)
+        job = GoldRefresh(
+            spark, args.silver_base, args.gold_base, args.dt, keep, args.event_date,
+            args.interactions,
+        )
         run_silver(spark, args.bronze_base, args.silver_base, args.dt, args.format)
         print(job.apply())
     elif args.command == "validate":

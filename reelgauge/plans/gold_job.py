@@ -64,13 +64,14 @@ def _distinct_days(df: DataFrame) -> set[date | None]:
 class GoldRefresh:
     """Bring gold up to date after some silver days are rebuilt.
 
-        refresh = GoldRefresh(spark, silver, gold, days, snapshot)   # before the rebuild
+        refresh = GoldRefresh(spark, silver, gold, days, snapshot)  # before the rebuild
         run_silver(spark, bronze, silver, days)
-        refresh.apply()                                              # after it
+        refresh.apply()                                             # after it
 
     The event dates to rebuild are those the rows of the days had before, those they have now,
     and both creation days of every media whose day moved. They are rebuilt from all of silver;
-    a date left without rows is deleted. Not for running-total facts (``latest_only``), where a
+    a date left without rows is deleted. ``mode`` and ``interactions`` must be those gold was
+    built with. Not for running-total facts (``latest_only``), where a
     new day changes which older row counts; rebuild those in full.
 
     ``snapshot`` is a folder all executors share; the media days as they were go there until
@@ -78,10 +79,18 @@ class GoldRefresh:
     """
 
     def __init__(
-        self, spark: SparkSession, silver_base: str, gold_base: str, days: list[str], snapshot: str
+        self,
+        spark: SparkSession,
+        silver_base: str,
+        gold_base: str,
+        days: list[str],
+        snapshot: str,
+        mode: str = "latest_activity",
+        interactions: str = "rows",
     ):
         self.spark, self.silver_base, self.gold_base = spark, silver_base, gold_base
         self.days, self.snapshot = days, snapshot
+        self.mode, self.interactions = mode, interactions
         self.before = self._days_of_changed_rows()
         media_days(read_silver(spark, silver_base, "dim_media")).write.parquet(snapshot)
 
@@ -94,7 +103,7 @@ class GoldRefresh:
     def _days_of_changed_rows(self) -> set[date | None]:
         fact, media = self._silver()
         changed = fact.where(F.col("dt").isin([F.lit(d).cast("date") for d in self.days]))
-        return _distinct_days(resolve_event_date(changed, media))
+        return _distinct_days(resolve_event_date(changed, media, self.mode))
 
     def _days_of_moved_media(self) -> set[date | None]:
         old = self.spark.read.parquet(self.snapshot).withColumnRenamed("media_created_date", "old")
@@ -102,17 +111,19 @@ class GoldRefresh:
         moved = old.join(new, "media_id", "full").where(~F.col("old").eqNullSafe(F.col("new")))
         return _distinct_days(moved.select(F.explode(F.array("old", "new")).alias("event_date")))
 
-    def apply(self, interactions: str = "rows") -> set[date | None]:
+    def apply(self) -> set[date | None]:
         """Rebuild the touched event dates; returns them."""
-        touched = self.before | self._days_of_changed_rows() | self._days_of_moved_media()
+        touched = self.before | self._days_of_changed_rows()
+        if self.mode != "first_seen":
+            touched |= self._days_of_moved_media()
         fact, media = self._silver()
         known = [F.lit(d) for d in touched if d]
         # Rows that state another day cannot end up on a touched one: they go before the shuffle.
-        own = own_day(fact)
+        own = own_day(fact, self.mode)
         fact = fact.where(own.isNull() | own.isin(known))
         frames = {
-            MEDIA: media_daily(fact, media),
-            VISITOR: visitor_daily(fact, media, interactions=interactions),
+            MEDIA: media_daily(fact, media, self.mode),
+            VISITOR: visitor_daily(fact, media, self.mode, self.interactions),
         }
         wanted = F.col("event_date").isin(known)
         if None in touched:

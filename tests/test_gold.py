@@ -57,8 +57,8 @@ def test_event_date_order_and_no_fan_out(small):
 def test_beyond_the_broadcast_bound_the_result_is_the_same(small):
     fact, dim = small
     wide = event_date.resolve_event_date(fact, dim)
-    salted = event_date.resolve_event_date(fact, dim, broadcast_bytes=0)
-    assert rows(wide.select(*sorted(wide.columns))) == rows(salted.select(*sorted(wide.columns)))
+    beyond = event_date.resolve_event_date(fact, dim, broadcast_bytes=0)
+    assert rows(wide.select(*sorted(wide.columns))) == rows(beyond.select(*sorted(wide.columns)))
     assert rows(gold.visitor_daily(fact, dim)) == rows(gold.visitor_daily(fact, dim, broadcast_bytes=0))
 
 
@@ -171,17 +171,31 @@ def test_gold_against_brute_force(spark, data, dims):
         assert rows(got) == sorted(((*k, *v) for k, v in visitors.items()), key=repr)
 
 
-def test_salts_split_a_hot_media(spark):
-    """All rows of one media: the salted join spreads them and loses none."""
-    fact = spark.range(4000).select(
-        F.lit("m1").alias("media_id"), F.col("id").cast("string").alias("visitor_id")
+@pytest.mark.parametrize("hot_keys", [1, 2, 10_000])
+def test_hot_keys_are_joined_without_a_shuffle(spark, hot_keys):
+    """One media has most rows; whatever the number of hot keys, no row is lost or doubled."""
+    media = F.when(F.col("id") % 10 < 8, "m1").otherwise(F.concat(F.lit("m"), F.col("id") % 100))
+    fact = spark.range(4000).select(media.alias("media_id"), F.col("id").alias("visitor_id"))
+    days = spark.createDataFrame([("m1", D1), ("m8", D2)], "media_id string, media_created_date date")
+    got = joins.hot_key_left_join(fact, days, "media_id", hot_keys)
+    counts = got.groupBy("media_created_date").count()
+    assert rows(counts) == [("2025-09-19", 3200), ("2025-09-20", 40), (None, 760)]
+    assert got.select("visitor_id").distinct().count() == 4000
+    assert "LeftAnti" in plan(got) and "LeftSemi" in plan(got)
+
+
+def test_rows_without_media_pass_by(spark, small):
+    fact, dim = small
+    nobody = fact.limit(1).select(
+        F.lit(None).cast("string").alias("media_id"),
+        *[c for c in fact.columns if c not in ("media_id", "first_seen", "last_active")],
+        F.lit(None).cast("timestamp").alias("first_seen"),
+        F.lit(None).cast("timestamp").alias("last_active"),
     )
-    days = spark.createDataFrame([("m1", D1)], "media_id string, media_created_date date")
-    got = joins.salted_left_join(fact, days, "media_id")
-    assert got.where("media_created_date is not null").count() == 4000
-    salts = fact.select(F.pmod(F.xxhash64("visitor_id"), F.lit(joins.SALTS)).alias("s"))
-    sizes = [r["count"] for r in salts.groupBy("s").count().collect()]
-    assert len(sizes) == joins.SALTS and max(sizes) < 3 * 4000 / joins.SALTS
+    both = fact.unionByName(nobody)
+    for bound in (joins.BROADCAST_BYTES, 0):
+        got = event_date.resolve_event_date(both, dim, broadcast_bytes=bound)
+        assert got.count() == 5 and got.where("media_id is null and event_date is null").count() == 1
 
 
 def test_measured_bytes(spark):

@@ -148,6 +148,22 @@ def test_refresh_equals_full_rebuild(spark, bases):
     assert not any(day in (None, "2025-09-10", "2025-09-01") for _, day, *_ in got[0])
 
 
+def test_refresh_keeps_the_meanings_gold_was_built_with(spark, bases):
+    bronze, silver, out = bases
+    land(bronze, DAY, [visitor("a", plays=3), visitor("b", created_at=None)])
+    run_silver(spark, bronze, silver)
+    chosen = {"mode": "first_seen", "interactions": "sum_plays"}
+    run_gold(spark, silver, out, **chosen)
+    job = GoldRefresh(spark, silver, out, [DAY], f"{silver}-media-days", **chosen)
+    land(bronze, DAY, [visitor("c", plays=5)], page=2)
+    run_silver(spark, bronze, silver, [DAY])
+    assert job.apply() == {None, date(2025, 9, 19)}
+    stored = read_gold(spark, out, VISITOR, GOLD[VISITOR])
+    assert rows(stored, "visitor_id", "event_date", "media_interactions") == [
+        ("a", DAY, 3), ("b", None, 1), ("c", DAY, 5),
+    ]
+
+
 def test_refresh_without_change(spark, bases):
     bronze, silver, out = bases
     land(bronze, DAY, [visitor("a")])
