@@ -126,6 +126,43 @@ stats as (
     order by l_quantity desc, l_linenumber desc, l_extendedprice desc, l_orderkey desc,
              l_discount desc, l_tax desc) = 1)"""
 
+# (dataset, field, declared, found): the feeds are landed as text, some statistics are not there.
+SCHEMA_ROWS = """
+('medias', 'engagement', 'double', null)
+('medias', 'event_date', 'string', 'string')
+('medias', 'hours_watched', 'double', null)
+('medias', 'load_count', 'bigint', 'string')
+('medias', 'media_id', 'string', 'string')
+('medias', 'play_count', 'bigint', 'string')
+('medias', 'play_rate', 'double', null)
+('medias', 'visitors', 'bigint', 'string')
+('metadata', 'created', 'string', 'string')
+('metadata', 'duration', 'double', 'string')
+('metadata', 'hashed_id', 'string', 'string')
+('metadata', 'name', 'string', 'string')
+('metadata', 'project.id', 'string', 'string')
+('metadata', 'project.name', 'string', 'string')
+('metadata', 'status', 'string', 'string')
+('metadata', 'tags', 'array<string>', 'array<string>')
+('metadata', 'thumbnail.url', 'string', 'string')
+('metadata', 'updated', 'string', 'string')
+('visitors', 'created_at', 'string', 'string')
+('visitors', 'event_date', 'string', 'string')
+('visitors', 'last_active_at', 'string', 'string')
+('visitors', 'last_event_key', 'string', 'string')
+('visitors', 'load_count', 'bigint', 'string')
+('visitors', 'media_id', 'string', 'string')
+('visitors', 'play_count', 'bigint', 'string')
+('visitors', 'user_agent_details.browser', 'string', 'string')
+('visitors', 'user_agent_details.mobile', 'boolean', 'string')
+('visitors', 'user_agent_details.platform', 'string', 'string')
+('visitors', 'visitor_identity.email', 'string', 'string')
+('visitors', 'visitor_identity.name', 'string', 'string')
+('visitors', 'visitor_identity.org.name', 'string', 'string')
+('visitors', 'visitor_identity.org.title', 'string', 'string')
+('visitors', 'visitor_key', 'string', 'string')
+""".strip().splitlines()
+
 STAMP = "%Y-%m-%d %H:%M:%S.%f"
 RANGE = "event_date between date '2024-01-03' and date '2024-01-28'"
 GOLD_MEDIA_COLUMNS = "media_id, cast(event_date as varchar) as event_date, total_loads, total_plays"
@@ -319,6 +356,14 @@ ORACLE: dict[str, str] = {
            from om""",
         OLD_MEDIA,
     ),
+    "media_totals_last_30_days": sql(
+        """select cast(sum(total_plays) as bigint) as total_plays,
+                  cast(sum(total_loads) as bigint) as total_loads,
+                  cast(sum(watch_time_sec) as bigint) as total_watch_time_sec,
+                  round(100.0 * sum(total_plays) / sum(total_loads), 2) as avg_play_rate
+           from om where event_date between date '2024-01-11' and date '2024-02-10'""",
+        OLD_MEDIA,
+    ),
     "media_totals_empty": sql(
         """select cast(coalesce(sum(total_plays), 0) as bigint) as total_plays,
                   cast(coalesce(sum(total_loads), 0) as bigint) as total_loads,
@@ -420,6 +465,14 @@ ORACLE: dict[str, str] = {
            from feed""",
         FEED,
     ),
+    "landed_day": sql(
+        """select '2024-02-01' as dt, '2024-02-01' as event_date, media_id, count(*) as n
+           from f group by media_id""",
+        FACT,
+    ),
+    "schema_report": "select * from (values\n"
+    + ",\n".join(SCHEMA_ROWS)
+    + ") as t(dataset, field, expected, found)",
     "bronze_selected_days": """
         select cast(cast(ts as date) as varchar) as dt, count(*) as n from events
         where cast(ts as date) in (date '2024-01-03', date '2024-01-28')

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import coalesce_text, to_double, to_long
 from ..functions.paths import MEDIAS_FILE, VISITORS_FILE, dt_from_path, id_from_path
-from ..functions.times import backfill_days, date10, parse_ts, with_ymd
+from ..functions.times import backfill_days, date10, last_n_days, parse_ts, with_ymd
 from ..operators import event_date, gold, joins, kpi, quality, silver
 from ..operators.dedup import latest_dim, latest_per_key
 from ..operators.filters import date_between, media_in
@@ -313,6 +313,11 @@ def media_totals_empty(spark: SparkSession, sf: str) -> DataFrame:
     return kpi.media_totals(date_between(old_media(spark, sf), never, never))
 
 
+@query
+def media_totals_last_30_days(spark: SparkSession, sf: str) -> DataFrame:
+    return kpi.media_totals(date_between(old_media(spark, sf), *last_n_days(date(2024, 2, 10))))
+
+
 @query
 def visitor_totals(spark: SparkSession, sf: str) -> DataFrame:
     return kpi.visitor_totals(old_visitors(spark, sf))
@@ -415,6 +420,17 @@ def bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def landed_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Everything fetched on one day, landed twice into its folder."""
+    base, day = scratch_path(spark, "one-day"), date(2024, 2, 1)
+    feed = sample.landed_rows(sample.visitors_feed(events(spark, sf)))
+    for _ in range(2):
+        bronze.land_day(bronze.tag_rows(feed, None, day), base, "visitors", day)
+    rows = bronze.read_bronze(spark, base, "visitors", days=[str(day)])
+    return rows.groupBy("dt", "event_date", "media_id").agg(F.count("visitor_key").alias("n"))
+
+
 @query
 def bronze_selected_days(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "days")

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from .dedup import STAMPS, latest_dim
 
 # A side may be broadcast up to this many bytes, measured before the join is planned.
-BROADCAST_BYTES = 64 * 1024 * 1024
-ROW_OVERHEAD = 32
+BROADCAST_BYTES = 128 * 1024 * 1024
+# What a row of a hash table costs beside its own columns, generously.
+ROW_OVERHEAD = 100
 # This many keys are treated as hot where a side is too large to be broadcast.
 HOT_KEYS = 10_000
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Rough in-memory size of a narrow frame; one aggregation job, one row back."""
+    """Size a narrow frame would have as a hash table; one aggregation job, one row back."""
     width = F.lit(ROW_OVERHEAD)
     for field in df.schema:
         if field.dataType.typeName() == "string":

@@ -10,6 +10,7 @@ from ..functions.paths import MEDIAS_FILE, VISITORS_FILE, dt_from_path, id_from_
 from ..functions.times import parse_ts
 from ..schemas import SOURCE_PATH
 from .dedup import latest_per_key
+from .joins import with_title
 
 
 def filled(name: str) -> Column:
@@ -126,8 +127,4 @@ def fact_media_daily_raw(medias: DataFrame, media_dim: DataFrame | None = None)
     )
     newest = ["load_count", "play_count", "hours_watched", "visitors", "engagement", "play_rate"]
     kept = latest_per_key(rows, ["media_id", "dt"], newest)
-    if media_dim is None:
-        return kept
-    from .joins import with_title
-
-    return with_title(kept, media_dim, "title")
+    return kept if media_dim is None else with_title(kept, media_dim, "title")
