@@ -75,7 +75,8 @@ class GoldRefresh:
     new day changes which older row counts; rebuild those in full.
 
     ``snapshot`` is a folder all executors share; the media days as they were go there until
-    ``apply`` is through. The first gold of all comes from ``run_gold``.
+    ``apply`` is through. The first gold of all comes from ``run_gold``, and so does the gold
+    after a run that died between the two steps.
     """
 
     def __init__(

@@ -6,7 +6,8 @@ day, and not writing the new files' rows, is what keeps a day's earlier pages: a
 overwrite with only the late page would remove them.
 
 The file source does not notice a file rewritten under the same name. Feeds that rewrite files
-should run the batch job with the list of days instead.
+should run the batch job with the list of days instead. Files outside ``dt=`` folders have no day
+to rebuild and are left alone.
 """
 
 from __future__ import annotations
