@@ -10,10 +10,8 @@ from ..operators.joins import unknown_media
 from ..operators.quality import QualityError, health_measures
 from ..operators.silver import ensure_dt, ensure_media_id
 from ..schemas import DATASETS
-from ..session import scratch_path
 from ..sources.bronze import read_bronze, split_corrupt, stage_bronze
-from ..sources.tables import drop_folder, write_partitioned
-
+from ..sources.tables import scratch_folder, write_partitioned
 
 # Datasets whose media id may have to come from the file name.
 FILE_PATTERNS = {"medias": MEDIAS_FILE, "visitors": VISITORS_FILE}
@@ -61,25 +59,24 @@ def run_silver(
     pages that came late are kept and a second run changes nothing. Corrupt lines are left out of
     silver, and written below ``quarantine_base`` if that is given.
     """
-    scratch = scratch_path(spark, "parsed")
-    staged, health = {}, {}
-    for dataset in DATASETS:
-        raw = ensure_dt(read_bronze(spark, bronze_base, dataset, fmt, days, partitioned))
-        if dataset in FILE_PATTERNS:
-            raw = ensure_media_id(raw, FILE_PATTERNS[dataset])
-        staged[dataset], health[dataset] = stage_bronze(
-            raw, f"{scratch}/{dataset}", health_measures(dataset)
-        )
-    check_bronze(health)
-    split = {dataset: split_corrupt(df) for dataset, df in staged.items()}
-    many_days = days is None or len(days) > 1
-    for table, df in silver_tables({d: good for d, (good, _) in split.items()}).items():
-        write_partitioned(df, silver_base, table, mode, files=files, spread=many_days)
-    if quarantine_base:
-        for dataset, (_, bad) in split.items():
-            if health[dataset]["corrupt_rows"]:
-                write_partitioned(bad, quarantine_base, dataset, mode, spread=many_days)
-    drop_folder(spark, scratch)
+    with scratch_folder(spark, "parsed") as scratch:
+        staged, health = {}, {}
+        for dataset in DATASETS:
+            raw = ensure_dt(read_bronze(spark, bronze_base, dataset, fmt, days, partitioned))
+            if dataset in FILE_PATTERNS:
+                raw = ensure_media_id(raw, FILE_PATTERNS[dataset])
+            staged[dataset], health[dataset] = stage_bronze(
+                raw, f"{scratch}/{dataset}", health_measures(dataset)
+            )
+        check_bronze(health)
+        split = {dataset: split_corrupt(df) for dataset, df in staged.items()}
+        many_days = days is None or len(days) > 1
+        for table, df in silver_tables({d: good for d, (good, _) in split.items()}).items():
+            write_partitioned(df, silver_base, table, mode, files=files, spread=many_days)
+        if quarantine_base:
+            for dataset, (_, bad) in split.items():
+                if health[dataset]["corrupt_rows"]:
+                    write_partitioned(bad, quarantine_base, dataset, mode, spread=many_days)
     return health
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.times import with_ymd
 from ..schemas import GOLD, SILVER
+from ..session import scratch_path
 
 YMD = ("year", "month", "day")
 
@@ -136,6 +137,16 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(conf).delete(target, True)
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for intermediate tables, gone after the ``with`` block however that ends."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        drop_folder(spark, path)
+
+
 def drop_days(spark: SparkSession, base: str, table: str, days: list) -> None:
     """Delete gold day folders that have no rows any more (None: rows without a date).
 
