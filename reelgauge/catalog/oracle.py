@@ -188,7 +188,7 @@ f as (
   select * from fd
   qualify row_number() over (partition by media_id, visitor_id order by dt desc) = 1)"""
 FROM_LATEST = (
-    FACT_PER_DAY.replace("\nf as (", "\nraw as (", 1).replace("select * from f\n", "select * from raw\n"),
+    FACT_PER_DAY.replace("\nf as (", "\nraw as (", 1).replace("from f\n", "from raw\n"),
     PER_DAY_LATEST,
     MEDIA,
     DATED,

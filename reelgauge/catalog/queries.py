@@ -124,7 +124,8 @@ def visitor_daily_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def gold_ymd(spark: SparkSession, sf: str) -> DataFrame:
-    return with_ymd(gold.media_daily(fact(spark, sf), mode="first_seen").where("event_date is not null"))
+    dated = gold.media_daily(fact(spark, sf), mode="first_seen").where("event_date is not null")
+    return with_ymd(dated)
 
 
 # --- event date, joins, quality -------------------------------------------------------------

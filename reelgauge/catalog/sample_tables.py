@@ -106,7 +106,8 @@ def metadata_feed(part: DataFrame) -> DataFrame:
     """Raw media metadata, updated once a minute from the start of 2024 on."""
     media = F.concat(F.lit("m"), "p_size")
     start = F.lit("2024-01-01").cast("date")
-    updated = F.timestamp_seconds(F.unix_timestamp(start.cast("timestamp")) + F.col("p_partkey") * 60)
+    first = F.unix_timestamp(start.cast("timestamp"))
+    updated = F.timestamp_seconds(first + F.col("p_partkey") * 60)
     day = F.date_format(updated, "yyyy-MM-dd")
     return part.select(
         media.alias("hashed_id"),

@@ -27,7 +27,8 @@ def gold_views(spark: SparkSession, gold_base: str, silver_base: str) -> None:
     """Register the gold tables as temporary views, the media one with its titles."""
     media = prunable(read_gold(spark, gold_base, MEDIA, GOLD[MEDIA]))
     visitor = prunable(read_gold(spark, gold_base, VISITOR, GOLD[VISITOR]))
-    frames = {MEDIA: with_title(media, read_silver(spark, silver_base, "dim_media")), VISITOR: visitor}
+    titled = with_title(media, read_silver(spark, silver_base, "dim_media"))
+    frames = {MEDIA: titled, VISITOR: visitor}
     for table, df in frames.items():
         for name in VIEW_NAMES[table]:
             df.createOrReplaceTempView(name)

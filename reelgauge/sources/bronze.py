@@ -50,7 +50,8 @@ def read_bronze(
     payload = F.col(df.columns[0])
     df = df.withColumn(CORRUPT, F.coalesce(CORRUPT, F.nullif(payload, payload)))
     if days:
-        day = F.col("dt").try_cast("date") if "dt" in df.columns else dt_from_path(F.col(SOURCE_PATH))
+        folder, path = F.col("dt").try_cast("date"), dt_from_path(F.col(SOURCE_PATH))
+        day = folder if "dt" in df.columns else path
         df = df.where(day.isin([F.lit(d).cast("date") for d in days]))
     return df
 
