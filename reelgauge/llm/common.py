@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches to 2,000 rows and 16 MB, so that a task's Python memory stays bounded.
+def python_tasks(spark: SparkSession) -> None:
+    """Settings for operators whose tasks run Python.
 
-    A session that already asks for smaller batches keeps them.
+    Arrow batches are held to 2,000 rows and 16 MB, so that a task's memory stays bounded; a session
+    that already asks for smaller batches keeps them. Workers also look for this package where the
+    driver found it, so that it need not be installed on a shared file system; elsewhere
+    ``--py-files`` brings it.
     """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     size = "spark.sql.execution.arrow.maxBytesPerBatch"
     if not 0 < int(spark.conf.get(rows, "10000")) <= BATCH_ROWS:

@@ -7,12 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelgauge.llm.common import table
+from reelgauge.llm.decontamination import benchmark_matches
+from reelgauge.llm.html_extraction import extract_text
+from reelgauge.llm.quality_classifier import held_out, learn, quality_scores
 from reelgauge.llm.sentencepiece_codec import encode_decode
 from reelgauge.llm.token_counts import token_counts
 
 PIECES = "piece_bpe_32k.model"
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and their text again, as digests."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -26,6 +35,21 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place in a document where a benchmark item occurs, with its edits."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = benchmark_matches(documents, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labelled rows that are not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn(documents, table(spark, sf_dir, "labels"))
+    scored = quality_scores(documents.withColumn("held_out", held_out(F.col("doc_id"))), model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -34,7 +58,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op3_html_extraction": op3_html_extraction,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_decontamination": op6_decontamination,
+    "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
 }
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelgauge.llm.common import bounded_batches, long_lists
+from reelgauge.llm.common import python_tasks, long_lists
 from reelgauge.llm.pieces import MARK, NEVER, Pieces, text_words
 from reelgauge.llm.token_counts import read_model
 
@@ -266,7 +266,7 @@ def encode_decode(documents: DataFrame, model_path: str, text: str = "text") ->
     One row in, one row out, no shuffle. A null or empty text has no ids and decodes to the empty
     text; repeated rows are encoded each; input columns named like a result are replaced.
     """
-    bounded_batches(documents.sparkSession)
+    python_tasks(documents.sparkSession)
     model = read_model(model_path)
     return (
         documents.withColumn("ids", encoded(F.col(text), model))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelgauge.llm.common import bounded_batches
+from reelgauge.llm.common import python_tasks
 from reelgauge.llm.pieces import MARK, Pieces, text_words
 
 # Merged words a worker remembers; beyond that its table starts anew.
@@ -88,7 +88,7 @@ def token_counts(
     One row in, one row out, no shuffle. A null text has 0 bytes and 0 tokens; an empty table gives
     an empty table; repeated rows are counted each; input columns named like a result are replaced.
     """
-    bounded_batches(documents.sparkSession)
+    python_tasks(documents.sparkSession)
     model = read_model(model_path)
     n_bytes = F.coalesce(F.octet_length(text).cast("long"), F.lit(0).cast("long"))
     return (
