@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from reelgauge.session import scratch_path
+
 # White space that ends a word; bytes.split() without arguments cuts at exactly these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -53,3 +55,18 @@ def long_lists(values: bytes, counts: np.ndarray, kind=pa.int32()) -> pa.Array:
     np.cumsum(counts, out=offsets[1:])
     flat = pa.Array.from_buffers(kind, int(offsets[-1]), [None, pa.py_buffer(values)])
     return pa.ListArray.from_arrays(pa.array(offsets), flat)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the folder all executors share and read again.
+
+    It cuts the lineage: what is lost later is read, not computed anew, and a recomputation cannot
+    deal rows out differently. The folder goes when the application ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)

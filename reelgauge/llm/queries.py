@@ -11,6 +11,7 @@ from reelgauge.llm.decontamination import benchmark_matches
 from reelgauge.llm.html_extraction import extract_text
 from reelgauge.llm.quality_classifier import held_out, learn, quality_scores
 from reelgauge.llm.sentencepiece_codec import encode_decode
+from reelgauge.llm.substring_dedup import deduplicated
 from reelgauge.llm.token_counts import token_counts
 
 PIECES = "piece_bpe_32k.model"
@@ -42,6 +43,15 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that a document with a smaller id has too."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.col("kept").cast("binary"), 256)
+    return deduplicated(documents).select(
+        "doc_id", "n_words", "n_removed", kept.alias("kept_sha256")
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the labelled rows that are not held out."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +71,7 @@ LLM_QUERIES = {
     "op3_html_extraction": op3_html_extraction,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_decontamination": op6_decontamination,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
 }
