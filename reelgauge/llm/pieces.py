@@ -81,13 +81,9 @@ class Pieces:
 
     def cut(self, part: str) -> list[str]:
         """A part cut at the places that no merge crosses."""
-        adjacent, out, start = self.adjacent, [], 0
-        for at in range(1, len(part)):
-            if part[at - 1:at + 1] not in adjacent:
-                out.append(part[start:at])
-                start = at
-        out.append(part[start:])
-        return out
+        adjacent = self.adjacent
+        cuts = [k for k in range(1, len(part)) if part[k - 1:k + 1] not in adjacent]
+        return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])]
 
     def ids(self, symbol: str) -> list[int]:
         """One id, or the ids of the bytes of a character the vocabulary lacks."""

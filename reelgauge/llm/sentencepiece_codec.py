@@ -2,8 +2,8 @@
 
 A sequence of tokens is what the merges make of a text exactly if each token is what they make of
 its own string and each two neighbours are what they make of the two strings put together. So a
-part is encoded from the left: the longest piece that starts at the position (found for all
-positions by one Aho-Corasick run) is tried first, then its shorter prefixes; a piece is taken if
+part is encoded from the left: the longest piece that starts at the position (found by an
+Aho-Corasick automaton) is tried first, then its shorter prefixes; a piece is taken if
 merging it together with the token before it gives these two tokens again. When no piece fits,
 the position is marked as failed in a bit field and the token before it is given up.
 """
@@ -23,22 +23,38 @@ from reelgauge.llm.common import python_tasks, long_lists
 from reelgauge.llm.pieces import MARK, NEVER, Pieces, text_words
 from reelgauge.llm.token_counts import read_model
 
-# Words, and pairs of tokens, a worker remembers; beyond that a table starts anew.
-REMEMBERED = 400_000
+# Words, parts of words, and pairs of tokens that a worker remembers.
+REMEMBERED_WORDS = 200_000
+REMEMBERED_PARTS = 400_000
+REMEMBERED_PAIRS = 400_000
 LONGEST_REMEMBERED = 64
 
 
-class Codec(dict):
+class Memory(dict):
+    """A bounded table. When it is full it becomes the old one, from which what recurs is taken."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def keep(self, text: str, ids: bytes) -> None:
+        if len(text) <= LONGEST_REMEMBERED:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[text] = ids
+
+
+class Codec(Memory):
     """Ids per word, as the bytes of 32-bit numbers; filled as words occur."""
 
     def __init__(self, model: bytes):
-        super().__init__()
+        super().__init__(REMEMBERED_WORDS)
         pieces = self.pieces = Pieces(model)
         proper = [p for p in pieces.id if pieces.merge(p) == [p]]
-        # Tokens of the search, found from the end of a reversed part, the longest first.
         self.matches = ahocorasick.Automaton()
         for p in proper:
-            self.matches.add_word(p[::-1], pieces.id[p])
+            self.matches.add_word(p, pieces.id[p])
         self.matches.make_automaton()
         self.size = list(map(len, pieces.text))
         known = {p: pieces.id[p] for p in proper}
@@ -49,7 +65,7 @@ class Codec(dict):
             self.shorter[i] = next(starts, -1)
         self.spines = {i: s for p, i in known.items() if (s := self._spines(p))}
         self.fits: dict[int, bool] = {}
-        self.inner: dict[str, bytes] = {}
+        self.parts = Memory(REMEMBERED_PARTS)
         self.surface = [
             bytes([i - pieces.bytes_from]) if 0 <= i - pieces.bytes_from < 256
             else b"" if i in pieces.reserved else t.replace(MARK, " ").encode("utf-8")
@@ -106,37 +122,25 @@ class Codec(dict):
                 j += 1
 
     def tokens(self, part: str) -> list[int]:
-        """The ids of a part without runs of marks."""
-        n = len(part)
-        longest: dict[int, int] = {}
-        for end, token in self.matches.iter(part[::-1]):
-            longest.setdefault(n - 1 - end, token)
-        if len(longest) == n:
-            return self._backtrack(longest, 0, n)
-        out, start = [], 0
-        for at in range(n + 1):
-            if at not in longest:
-                out += self._backtrack(longest, start, at)
-                if at < n:  # a character the vocabulary lacks: its bytes, and nothing crosses it
-                    out += self.pieces.ids(part[at])
-                start = at + 1
-        return out
-
-    def _backtrack(self, longest: dict[int, int], start: int, stop: int) -> list[int]:
+        """The ids of a part that no piece is cut out of; it has no run of marks."""
+        if len(part) == 1:
+            return self.pieces.ids(part)
         size, shorter, fits = self.size, self.shorter, self.fits
-        failed = 0  # bit k: nothing fits from position start + k on
+        # The longest tokens one after the other; most parts need no others.
+        longest = {end + 1 - size[t]: t for end, t in self.matches.iter_long(part)}
+        stop = len(part)
+        failed = 0  # bit k: nothing fits from place k on
         found: list[int] = []
-        pos, before = start, -1
-        token = longest[start] if start < stop else -1
+        pos, before, token = 0, -1, longest[0]
         while pos < stop:
             while token >= 0:
                 end = pos + size[token]
-                if end <= stop and not failed >> (end - start) & 1:
+                if not failed >> end & 1:
                     if before < 0:
                         break
                     fit = fits.get(before << 32 | token)
                     if fit is None:
-                        if len(fits) > REMEMBERED:
+                        if len(fits) > REMEMBERED_PAIRS:
                             fits.clear()
                         fit = fits[before << 32 | token] = self._neighbours(before, token)
                     if fit:
@@ -145,11 +149,14 @@ class Codec(dict):
             if token >= 0:
                 found.append(token)
                 pos, before = end, token
-                token = longest[pos] if pos < stop else -1
+                if pos < stop:
+                    token = longest.get(pos, -1)
+                    if token < 0:
+                        token = longest[pos] = next(self.matches.iter_long(part, pos))[1]
                 continue
             if not found:
                 raise ValueError("the vocabulary has no tokens for a part")
-            failed |= 1 << (pos - start)
+            failed |= 1 << pos
             token = found.pop()
             before = found[-1] if found else -1
             pos -= size[token]
@@ -157,25 +164,17 @@ class Codec(dict):
 
     def _part(self, part: str) -> bytes:
         """The ids of a part between two places that no merge crosses."""
-        ids = self.inner.get(part)
+        ids = self.parts.get(part)
         if ids is None:
-            ids = array("i", self.tokens(part)).tobytes()
-            if len(part) <= LONGEST_REMEMBERED:
-                if len(self.inner) > REMEMBERED:
-                    self.inner.clear()
-                self.inner[part] = ids
+            ids = self.parts.old.get(part) or array("i", self.tokens(part)).tobytes()
+            self.parts.keep(part, ids)
         return ids
 
     def __missing__(self, word: str) -> bytes:
-        parts = self.pieces.cut(MARK + word)
-        if len(parts) == 1:
-            ids = array("i", self.tokens(parts[0])).tobytes()
-        else:
-            ids = b"".join(map(self._part, parts))
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) > REMEMBERED:
-                self.clear()
-            self[word] = ids
+        ids = self.old.get(word)
+        if ids is None:
+            ids = b"".join(map(self._part, self.pieces.cut(MARK + word)))
+        self.keep(word, ids)
         return ids
 
     def encode(self, text: str) -> bytes:
