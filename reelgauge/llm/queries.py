@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from reelgauge.llm.common import table
 from reelgauge.llm.decontamination import benchmark_matches
 from reelgauge.llm.html_extraction import extract_text
+from reelgauge.llm.ngram_jaccard import linked_documents
 from reelgauge.llm.quality_classifier import held_out, learn, quality_scores
 from reelgauge.llm.sentencepiece_codec import encode_decode
 from reelgauge.llm.substring_dedup import deduplicated
@@ -17,6 +18,12 @@ from reelgauge.llm.token_counts import token_counts
 PIECES = "piece_bpe_32k.model"
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document: 4-word n-grams, similarity 0.85."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linked_documents(documents, n=4, similarity=(85, 100))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -68,6 +75,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_html_extraction": op3_html_extraction,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_decontamination": op6_decontamination,
