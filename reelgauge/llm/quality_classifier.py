@@ -39,10 +39,6 @@ class CompressionModel:
     slope: float
     intercept: float
 
-    def score(self, difference):
-        z = np.clip(self.slope * np.asarray(difference, float) + self.intercept, -35, 35)
-        return 1 / (1 + np.exp(-z))
-
 
 @lru_cache(maxsize=4)
 def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
@@ -179,8 +175,17 @@ def quality_scores(
     """
     python_tasks(documents.sparkSession)
     found = differences(F.col("text"), model.good, model.bad)
-    z = F.lit(model.slope) * found + F.lit(model.intercept)
     return (
-        documents.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(35.0)), F.lit(-35.0)))))
+        documents.withColumn("score", score_column(found, model))
         .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     )
+
+
+def score_column(difference: Column, model: CompressionModel) -> Column:
+    z = F.lit(model.slope) * difference + F.lit(model.intercept)
+    return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(35.0)), F.lit(-35.0))))
+
+
+def passes(difference: Column, model: CompressionModel, threshold: float = THRESHOLD) -> Column:
+    """Whether a text is not rejected."""
+    return score_column(difference, model) >= threshold

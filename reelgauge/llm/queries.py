@@ -12,11 +12,20 @@ from reelgauge.llm.html_extraction import extract_text
 from reelgauge.llm.ngram_jaccard import linked_documents
 from reelgauge.llm.quality_classifier import held_out, learn, quality_scores
 from reelgauge.llm.sentencepiece_codec import encode_decode
+from reelgauge.llm.sharding import sharded_documents
 from reelgauge.llm.substring_dedup import deduplicated
 from reelgauge.llm.token_counts import token_counts
+from reelgauge.llm.topk_search import top_k
+from reelgauge.llm.url_filters import judged
 
 PIECES = "piece_bpe_32k.model"
 
+# The rules of the URL query (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document: 4-word n-grams, similarity 0.85."""
@@ -24,12 +33,23 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(documents, n=4, similarity=(85, 100))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards of equal counts that keep equal texts together as far as they fit."""
+    return sharded_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: the given rules, else what FP-growth mines from their verdicts."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judged(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and their text again, as digests."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,14 +94,86 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best vectors of every 50th vector, by the threshold algorithm."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 LLM_QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_sharding": op2_sharding,
     "op3_html_extraction": op3_html_extraction,
+    "op4_url_filters": op4_url_filters,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
+    "op10_topk_search": op10_topk_search,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        grams AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i
+                  FROM words WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+            FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * common >= 85 * (x.n + y.n - common)),
+        reach AS (
+            SELECT a AS doc_id, a AS other FROM links
+            UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+        SELECT d.doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles,
+               least(d.doc_id, min(other)) AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach USING (doc_id)
+        GROUP BY d.doc_id""",
+    "op7_substring_dedup": """
+        WITH words AS (
+            SELECT doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS passage
+            FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i
+                  FROM words WHERE len(w) >= 50)),
+        firsts AS (SELECT passage, min(doc_id) AS first FROM windows GROUP BY passage),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p
+            FROM windows JOIN firsts USING (passage) WHERE first < doc_id),
+        places AS (
+            SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM words),
+        kept AS (
+            SELECT doc_id, count(*) AS left_over, string_agg(word, ' ' ORDER BY p) AS text
+            FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(len(w) - coalesce(left_over, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (doc_id)""",
+    "op10_topk_search": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(
+                [x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}
