@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from reelgauge.llm.sentencepiece_codec import Codec, encode_decode
+from reelgauge.llm.token_counts import Counter, read_model, token_counts
+from tests.llm.cases import ROWS, no_documents, odd_documents
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def texts() -> list[str]:
+    rng = random.Random(5)
+    letters = list("  \n\n▁▁aaabehtion the\r\t(){};=<>0x41 éß中文😀\x00①'s,.!")
+    some = ["".join(rng.choices(letters, k=rng.randint(1, 60))) for _ in range(4000)]
+    return some + [r[1] for r in ROWS if r[1]] + [
+        "", " ", "▁", "a" * 300, " " * 40 + "é", "\n\n", " \n", "  x", "x  ", "=" * 200, " " * 1000,
+    ]
+
+
+def test_ids_are_the_librarys(library):
+    codec = Codec(read_model(PATH))
+    for text in texts():
+        ids = np.frombuffer(codec.encode(text), np.int32).tolist()
+        assert ids == library.encode(text), text[:80]
+        assert codec.decode(ids) == library.decode(ids)
+
+
+def test_any_ids_decode_like_the_library(library):
+    codec, rng = Codec(read_model(PATH)), random.Random(6)
+    for _ in range(4000):
+        ids = [rng.choice([rng.randrange(300), rng.randrange(32000)]) for _ in range(rng.randint(0, 8))]
+        assert codec.decode(ids) == library.decode(ids)
+
+
+def test_counts_with_and_without_the_shortcut(library):
+    model = read_model(PATH)
+    quick, slow = Counter(model), Counter(model, shortcut=False)
+    for text in texts():
+        assert quick.count(text) == slow.count(text) == len(library.encode(text))
+
+
+def test_whole_words_encode_alone_as_one_token(library):
+    whole = list(Counter(read_model(PATH)).whole)
+    assert len(whole) > 10_000
+    assert all(len(ids) == 1 for ids in library.encode(whole))
+
+
+def test_a_full_memory_changes_nothing(library, monkeypatch):
+    from reelgauge.llm import sentencepiece_codec, token_counts as counts
+
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED_WORDS", 5)
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED_PARTS", 3)
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED_PAIRS", 3)
+    monkeypatch.setattr(counts, "REMEMBERED", 3)
+    codec, counter = Codec(read_model(PATH)), Counter(read_model(PATH))
+    for text in texts()[:500]:
+        assert np.frombuffer(codec.encode(text), np.int32).tolist() == library.encode(text)
+        assert counter.count(text) == len(library.encode(text))
+
+
+def test_columns_on_odd_rows(spark, library):
+    documents = odd_documents(spark).withColumns({"ids": F.lit(1), "n_tokens": F.lit("x")})
+    coded = encode_decode(documents, PATH)
+    assert coded.columns == [*documents.columns, "decoded"]
+    rows = coded.collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        assert r["ids"] == library.encode(r["text"] or "")
+        assert r["decoded"] == library.decode(r["ids"])
+    for r in token_counts(documents, PATH, limit=3).collect():
+        size = len(library.encode(r["text"] or ""))
+        assert (r["n_tokens"], r["n_bytes"], r["over_limit"]) == (
+            size, len((r["text"] or "").encode()), size > 3
+        )
+    assert encode_decode(no_documents(spark), PATH).count() == 0
+    assert token_counts(no_documents(spark), PATH).count() == 0
+
+
+def test_query_digests(spark, library):
+    from reelgauge.llm.queries import op5_sentencepiece, op9_token_counts
+
+    folder = "/root/testdata/sf0.001"
+    text = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    counts = {r["doc_id"]: r["n_tokens"] for r in op9_token_counts(spark, folder).collect()}
+    rows = op5_sentencepiece(spark, folder).collect()
+    assert len(rows) == len(text) == len(counts)
+    for r in rows:
+        ids = library.encode(text[r["doc_id"]])
+        assert r["n_tokens"] == counts[r["doc_id"]] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
