@@ -38,8 +38,9 @@ from reelgauge.llm.packed import (
 # Signatures a part holds on average, and parts at least.
 PART_SIGNATURES = 2_000_000
 LEAST_PARTS = 32
-# N-grams a block of a family holds on average, if it is more than one document.
-BLOCK_GRAMS = 128_000
+# N-grams a block of a family holds on average, if it is more than one document. Larger blocks take
+# longer in one task, smaller ones send each text to more of them.
+BLOCK_GRAMS = 400_000
 
 
 @dataclass(frozen=True)
@@ -227,6 +228,8 @@ def links_within(sizes, grams, left, right, p: int, q: int) -> list[tuple[int, i
     """
     count = len(sizes)
     owner = np.repeat(np.arange(count), sizes)
+    if not count:
+        return []
     _, gram, often = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
     shared = often[gram] > 1
     gram, owner = gram[shared], owner[shared]
@@ -258,10 +261,6 @@ MEMBER = T.StructType([
     T.StructField("n_shingles", T.LongType()),
 ])
 TIE = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-SET = T.StructType([
-    T.StructField("key", T.LongType()), T.StructField("size", T.LongType()),
-    T.StructField("grams", T.BinaryType()),
-])
 
 
 def linked_documents(
@@ -381,34 +380,20 @@ def verified(
         "to", F.when(F.col("cuts") == 0, whole).otherwise(F.concat(same, up, down))
     ).select("family", "key", F.col("first").alias("doc_id"), "to")
 
-    def sets(batches):
-        for batch in batches:
-            found = Sets(utf8(batch.column("text")), n)
-            right = np.flatnonzero(found.key == np.asarray(batch.column("key")))
-            grams = [
-                found.gram[found.starts[i]:found.starts[i] + found.size[i]].tobytes() for i in right
-            ]
-            rest = batch.select(["family", "key", "to"]).take(pa.array(right))
-            yield pa.RecordBatch.from_arrays(
-                [*rest.columns, pa.array(grams, pa.binary())], ["family", "key", "to", "grams"]
-            )
-
-    kind = dealt.schema["to"].dataType
-    schema = T.StructType([
-        T.StructField("family", T.LongType()), T.StructField("key", T.LongType()),
-        T.StructField("to", kind), T.StructField("grams", T.BinaryType()),
-    ])
-    sized = dealt.join(texts, "doc_id").select("family", "key", "to", "text").mapInArrow(sets, schema)
-    spread = sized.select("family", "key", "grams", F.explode("to").alias("at")).select(
-        "family", "key", "grams", "at.*"
-    )
+    # A text takes half the room of its hashed n-grams, so texts go to the blocks.
+    spread = dealt.join(texts, "doc_id").select(
+        "family", "key", "text", F.explode("to").alias("at")
+    ).select("family", "key", "text", "at.*")
 
     def verify(group: pa.Table) -> pa.Table:
-        keys, once = np.unique(np.asarray(group.column("key").combine_chunks()), return_index=True)
+        sets = Sets(utf8(group.column("text")), n)
+        expected = np.asarray(group.column("key").combine_chunks())
+        right = np.flatnonzero(sets.key == expected)  # an id may have other texts as well
+        keys, once = np.unique(expected[right], return_index=True)
+        once = right[once]
         side = np.asarray(group.column("side").combine_chunks())[once]
-        blobs = group.column("grams").take(pa.array(once)).to_pylist()
-        grams = [np.frombuffer(b, np.uint64) for b in blobs]
-        sizes = np.array([len(g) for g in grams], np.int64)
+        sizes = sets.size[once]
+        grams = [sets.gram[sets.starts[i]:sets.starts[i] + sets.size[i]] for i in once]
         found = links_within(sizes, grams, side != 2, side != 1, p, q)
         a = keys[[i for i, _ in found]] if found else np.zeros(0, np.int64)
         b = keys[[j for _, j in found]] if found else np.zeros(0, np.int64)
