@@ -202,7 +202,7 @@ FACT_COLUMNS = f"""media_id, visitor_id, load_count, play_count, last_event_key,
   {stamp('first_seen')}, {stamp('last_active')}, cast(dt as varchar) as dt"""
 
 RESOLVED = sql(
-    "select last_event_key, media_id, cast(event_date as varchar) as event_date from e", *BASE
+    f"select {FACT_COLUMNS}, cast(event_date as varchar) as event_date from e", *BASE
 )
 
 ORACLE: dict[str, str] = {
@@ -233,11 +233,17 @@ ORACLE: dict[str, str] = {
                   cast(year(cast(first_seen as date)) as integer) as year,
                   cast(month(cast(first_seen as date)) as integer) as month,
                   cast(day(cast(first_seen as date)) as integer) as day
-           from f where first_seen is not null group by media_id, cast(first_seen as date)""",
+           from f group by media_id, cast(first_seen as date)""",
         FACT,
     ),
     "resolve_event_date": RESOLVED,
     "resolve_event_date_unbroadcast": RESOLVED,
+    "resolve_event_date_again": RESOLVED,
+    "sample_rows": sql(
+        f"""select {GOLD_MEDIA_COLUMNS} from mg
+            order by mg.media_id nulls first, mg.event_date nulls first limit 50""",
+        *BASE, MEDIA_GOLD,
+    ),
     "event_date_coverage": sql(
         """select count(*) as fact_rows,
                   count(*) filter (where first_seen is null and last_active is null) as null_before,
@@ -284,7 +290,8 @@ ORACLE: dict[str, str] = {
         MEDIAS,
     ),
     "fact_media_daily_titled": sql(
-        """select stats.media_id, cast(stats.dt as varchar) as dt, load_count, title
+        """select stats.media_id, load_count, play_count, play_rate, hours_watched, engagement,
+                  visitors, cast(stats.dt as varchar) as dt, title
            from stats left join latest on stats.media_id = latest.media_id""",
         MEDIAS, MEDIA,
     ),
@@ -383,12 +390,12 @@ ORACLE: dict[str, str] = {
     ),
     "unique_visitors": sql("select count(distinct visitor_id) as unique_visitors from f", FACT),
     "media_kpis": sql(
-        f"""select media_id, sum(total_plays) as plays, sum(total_loads) as loads,
+        """select media_id, sum(total_plays) as plays, sum(total_loads) as loads,
                    sum(watch_time_sec) as watch_time_sec,
                    case when sum(total_loads) = 0 then 0.0
                         else round(100.0 * sum(total_plays) / sum(total_loads), 2)
                    end as play_rate
-            from om where {RANGE} group by media_id order by plays desc, media_id""",
+            from om group by media_id order by plays desc, media_id""",
         OLD_MEDIA,
     ),
     "media_trend": sql(
@@ -398,9 +405,9 @@ ORACLE: dict[str, str] = {
         OLD_MEDIA,
     ),
     "visitor_trend": sql(
-        f"""select cast(event_date as varchar) as event_date,
+        """select cast(event_date as varchar) as event_date,
                    cast(sum(total_plays) as bigint) as plays, sum(watch_time_sec) as watch_time_sec
-            from ov where {RANGE} group by event_date order by event_date""",
+            from ov group by event_date order by event_date""",
         OLD_VISITORS,
     ),
     "top_visitors": sql(
@@ -466,17 +473,18 @@ ORACLE: dict[str, str] = {
         FEED,
     ),
     "landed_day": sql(
-        """select '2024-02-01' as dt, '2024-02-01' as event_date, media_id, count(*) as n
-           from f group by media_id""",
+        """select last_event_key, visitor_id as visitor_key, media_id, '2024-02-01' as dt,
+                  '2024-02-01' as event_date from f""",
         FACT,
     ),
     "schema_report": "select * from (values\n"
     + ",\n".join(SCHEMA_ROWS)
     + ") as t(dataset, field, expected, found)",
-    "bronze_selected_days": """
-        select cast(cast(ts as date) as varchar) as dt, count(*) as n from events
-        where cast(ts as date) in (date '2024-01-03', date '2024-01-28')
-        group by cast(ts as date)""",
+    "bronze_selected_days": sql(
+        """select last_event_key, visitor_id as visitor_key, media_id, cast(dt as varchar) as dt
+           from feed where dt in (date '2024-01-03', date '2024-01-28')""",
+        FEED,
+    ),
     "multiline_json": sql(
         """select last_event_key, visitor_id as visitor_key,
                   case event_type when 'view' then null when 'error' then '' else media_id end
@@ -488,8 +496,10 @@ ORACLE: dict[str, str] = {
     ),
     "corrupt_rows": """
         select cast(cast(ts as date) as varchar) as dt,
-               count(*) filter (where event_type <> 'error') as good_rows,
-               count(*) filter (where event_type = 'error') as corrupt_rows
+               count(*) filter (where event_type <> 'error' and ts < date '2024-01-28'
+                                or event_type <> 'error' and ts >= date '2024-01-29') as good_rows,
+               count(*) filter (where event_type = 'error'
+                                or cast(ts as date) = date '2024-01-28') as corrupt_rows
         from events group by cast(ts as date)""",
     "bronze_health": sql(
         """select 'visitors' as dataset, count(*) as "rows", cast(0 as bigint) as corrupt_rows,
@@ -502,26 +512,51 @@ ORACLE: dict[str, str] = {
         FACT,
     ),
     "dt_overwrite": sql(
-        """select cast(dt as varchar) as dt, count(*) as n,
-                  cast(sum(play_count) as bigint) as plays,
-                  (select count(*) from fd where load_count > 0) as written
-           from fd where load_count > 0 group by dt""",
+        f"""select {FACT_COLUMNS}, (select count(*) from fd where load_count > 0) as written
+            from fd where load_count > 0""",
         *FACT_DAYS,
     ),
     "append_mode": sql(
-        "select cast(dt as varchar) as dt, 2 * count(*) as n from fd group by dt", *FACT_DAYS
+        f"select {FACT_COLUMNS} from fd union all select {FACT_COLUMNS} from fd", *FACT_DAYS
     ),
     "fact_by_event_date": sql(
-        """select cast(event_date as varchar) as event_date,
-                  cast(sum(load_count) as bigint) as loads
-           from e group by event_date""",
+        f"select {FACT_COLUMNS}, cast(event_date as varchar) as event_date from e",
         *FACT_DAYS, "\nf as (select * from fd)", MEDIA, DATED,
     ),
     "read_gold_merged": """
-        select cast(user_id as varchar) as visitor_id, count(*) as n,
-               cast(sum(case when event_type = 'click' then floor(value) end) as bigint)
-                 as watch_time
-        from events group by user_id""",
+        select cast(user_id as varchar) as visitor_id,
+               cast(cast(ts as date) as varchar) as event_date,
+               cast(case when event_type = 'click' then floor(value) end as bigint) as watch_time
+        from events""",
+    "unique_visitors_approximate": sql(
+        "select count(distinct visitor_id) as unique_visitors, true as near from f", FACT
+    ),
+    "media_in_list": sql(
+        f"select {GOLD_MEDIA_COLUMNS} from mg where media_id in ('m1', 'm7', 'm77')",
+        *BASE, MEDIA_GOLD,
+    ),
+    "media_in_long_list": sql(
+        f"""select {GOLD_MEDIA_COLUMNS} from mg
+            where cast(substr(media_id, 2) as integer) % 3 = 0""",
+        *BASE, MEDIA_GOLD,
+    ),
+    "written_in_files": sql(f"select {FACT_COLUMNS}, true as few_files from fd", *FACT_DAYS),
+    "kpi_job_mixed_naming": sql(
+        """select media_id, cast(event_date as varchar) as event_date, total_plays, total_loads,
+                  watch_time_sec from om""",
+        OLD_MEDIA,
+    ),
+    "kpi_job_outputs": sql(
+        """select 'media' as frame, media_id as name, sum(total_plays) as plays,
+                  sum(watch_time_sec) as watch_time_sec
+           from om where event_date between date '2024-01-01' and date '2024-12-31'
+           group by media_id
+           union all
+           select 'day', cast(event_date as varchar), sum(total_plays), sum(watch_time_sec)
+           from om where event_date between date '2024-01-01' and date '2024-12-31'
+           group by event_date""",
+        OLD_MEDIA,
+    ),
     "gold_range_pruned": sql(
         f"select {GOLD_MEDIA_COLUMNS} from mg where {RANGE}", *BASE, MEDIA_GOLD
     ),
@@ -542,5 +577,6 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_silver": sql(f"select {FACT_COLUMNS} from s", FEED_FACT),
 }
+ORACLE["media_in_empty"] = ORACLE["cached_gold"] = ORACLE["media_daily"]
 ORACLE["gold_rerun_idempotent"] = ORACLE["media_daily"]
 ORACLE["gold_refresh"] = ORACLE["bronze_to_gold_visitor"]

@@ -17,6 +17,7 @@ from ..functions.times import backfill_days, date10, last_n_days, parse_ts, with
 from ..operators import event_date, gold, joins, kpi, quality, silver
 from ..operators.dedup import latest_dim, latest_per_key
 from ..operators.filters import date_between, media_in
+from ..plans import cli
 from ..plans.gold_job import MEDIA, VISITOR, GoldRefresh, run_gold
 from ..plans.silver_job import run_silver
 from ..plans.views import gold_views
@@ -124,8 +125,7 @@ def visitor_daily_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def gold_ymd(spark: SparkSession, sf: str) -> DataFrame:
-    dated = gold.media_daily(fact(spark, sf), mode="first_seen").where("event_date is not null")
-    return with_ymd(dated)
+    return with_ymd(gold.media_daily(fact(spark, sf), mode="first_seen"))
 
 
 # --- event date, joins, quality -------------------------------------------------------------
@@ -133,16 +133,23 @@ def gold_ymd(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def resolve_event_date(spark: SparkSession, sf: str) -> DataFrame:
-    dated = event_date.resolve_event_date(fact(spark, sf), media_dim(spark, sf))
-    return dated.select("last_event_key", "media_id", "event_date")
+    return event_date.resolve_event_date(fact(spark, sf), media_dim(spark, sf))
 
 
 @query
 def resolve_event_date_unbroadcast(spark: SparkSession, sf: str) -> DataFrame:
-    dated = event_date.resolve_event_date(
+    return event_date.resolve_event_date(
         fact(spark, sf), media_dim(spark, sf), broadcast_bytes=0
     )
-    return dated.select("last_event_key", "media_id", "event_date")
+
+
+@query
+def resolve_event_date_again(spark: SparkSession, sf: str) -> DataFrame:
+    """A fact that already has an event date, beyond the broadcast limit, with few hot keys."""
+    stale = fact(spark, sf).withColumn("event_date", F.lit("1990-01-01").cast("date"))
+    return event_date.resolve_event_date(
+        stale, media_dim(spark, sf), broadcast_bytes=0, hot_keys=3
+    )
 
 
 @query
@@ -173,7 +180,7 @@ def row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.sample_rows(media_gold(spark, sf), 50)
+    return quality.sample_rows(media_gold(spark, sf), 50, ordered=True)
 
 
 # --- silver ---------------------------------------------------------------------------------
@@ -207,8 +214,7 @@ def fact_media_daily_raw(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def fact_media_daily_titled(spark: SparkSession, sf: str) -> DataFrame:
     feed = sample.medias_feed(sample.table(spark, sf, "lineitem"))
-    titled = silver.fact_media_daily_raw(feed, media_dim(spark, sf))
-    return titled.select("media_id", "dt", "load_count", "title")
+    return silver.fact_media_daily_raw(feed, media_dim(spark, sf))
 
 
 # --- scalar functions -----------------------------------------------------------------------
@@ -329,9 +335,18 @@ def unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
     return kpi.unique_visitors(visitor_gold(spark, sf))
 
 
+@query
+def unique_visitors_approximate(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact number, and whether the approximate one is within a tenth of it."""
+    seen = visitor_gold(spark, sf)
+    near = kpi.unique_visitors(seen, approximate=True).scalar()
+    exact = F.col("unique_visitors")
+    return kpi.unique_visitors(seen).withColumn("near", F.abs(near - exact) <= exact / 10)
+
+
 @query
 def media_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    return kpi.media_kpis(date_between(old_media(spark, sf), START, END))
+    return kpi.media_kpis(old_media(spark, sf))
 
 
 @query
@@ -341,7 +356,7 @@ def media_trend(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def visitor_trend(spark: SparkSession, sf: str) -> DataFrame:
-    return kpi.trend(date_between(old_visitors(spark, sf), START, END))
+    return kpi.trend(old_visitors(spark, sf))
 
 
 @query
@@ -389,6 +404,22 @@ def media_in_selection(spark: SparkSession, sf: str) -> DataFrame:
     return media_in(media, kpi.default_media(media))
 
 
+@query
+def media_in_list(spark: SparkSession, sf: str) -> DataFrame:
+    return media_in(media_gold(spark, sf), ["m1", "m7", "m77", "none of them"])
+
+
+@query
+def media_in_long_list(spark: SparkSession, sf: str) -> DataFrame:
+    return media_in(media_gold(spark, sf), [f"m{3 * i}" for i in range(250)])
+
+
+@query
+def media_in_empty(spark: SparkSession, sf: str) -> DataFrame:
+    media = media_gold(spark, sf)
+    return media_in(media_in(media, []), media.select("media_id").limit(0))
+
+
 # --- sources, sinks and jobs ----------------------------------------------------------------
 
 
@@ -429,7 +460,7 @@ def landed_day(spark: SparkSession, sf: str) -> DataFrame:
     for _ in range(2):
         bronze.land_day(bronze.tag_rows(feed, None, day), base, "visitors", day)
     rows = bronze.read_bronze(spark, base, "visitors", days=[str(day)])
-    return rows.groupBy("dt", "event_date", "media_id").agg(F.count("visitor_key").alias("n"))
+    return rows.select("last_event_key", "visitor_key", "media_id", "dt", "event_date")
 
 
 @query
@@ -439,7 +470,7 @@ def bronze_selected_days(spark: SparkSession, sf: str) -> DataFrame:
         sample.landed_rows(sample.visitors_feed(events(spark, sf))), base, "visitors"
     )
     rows = bronze.read_bronze(spark, base, "visitors", days=[str(START), str(END)])
-    return rows.groupBy("dt").agg(F.count("visitor_key").alias("n"))
+    return rows.select("last_event_key", "visitor_key", "media_id", "dt")
 
 
 @query
@@ -459,15 +490,17 @@ def corrupt_rows(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "corrupt")
     feed = sample.landed_rows(sample.visitors_feed(events(spark, sf)))
     line = F.to_json(F.struct(*[c for c in feed.columns if c != "dt"]))
-    broken = F.col("visitor_identity.org.title") == "error"
+    # All errors, and whatever came on the last day of the range: a day corrupt throughout.
+    broken = (F.col("visitor_identity.org.title") == "error") | (F.col("dt") == F.lit(END))
     lines = feed.select(F.when(broken, F.lit("{broken")).otherwise(line).alias("value"), "dt")
     lines.hint("rebalance", F.col("dt")).write.partitionBy("dt").text(f"{base}/visitors")
     good, bad = bronze.split_corrupt(bronze.read_bronze(spark, base, "visitors"))
-    kept = good.groupBy("dt").agg(F.count("last_event_key").alias("good_rows"))
-    lost = bad.groupBy("dt").agg(
-        F.count("_corrupt_record").alias("corrupt_rows")
+    kinds = good.select("dt", F.lit(True).alias("good")).unionByName(
+        bad.select("dt", F.lit(False).alias("good"))
+    )
+    return kinds.groupBy("dt").agg(
+        F.count_if("good").alias("good_rows"), F.count_if(~F.col("good")).alias("corrupt_rows")
     )
-    return kept.join(lost, "dt", "left").select("dt", "good_rows", "corrupt_rows")
 
 
 @query
@@ -498,9 +531,7 @@ def dt_overwrite(spark: SparkSession, sf: str) -> DataFrame:
         rows.where("load_count > 0"), base, "fact_media_engagement",
         measures={"rows": F.count(F.lit(1))},
     )
-    out = tables.read_silver(spark, base, "fact_media_engagement").groupBy("dt").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("play_count").alias("plays")
-    )
+    out = tables.read_silver(spark, base, "fact_media_engagement")
     return out.withColumn("written", F.lit(seen.get["rows"]))
 
 
@@ -510,8 +541,7 @@ def append_mode(spark: SparkSession, sf: str) -> DataFrame:
     rows = fact_per_day(spark, sf)
     for _ in range(2):
         tables.write_partitioned(rows, base, "fact_media_engagement", mode="append")
-    stored = tables.read_silver(spark, base, "fact_media_engagement")
-    return stored.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
+    return tables.read_silver(spark, base, "fact_media_engagement")
 
 
 @query
@@ -519,8 +549,7 @@ def fact_by_event_date(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "by-event-date")
     dated = event_date.resolve_event_date(fact_per_day(spark, sf), media_dim(spark, sf))
     tables.write_full(dated, base, "fact_by_event_date", by=("event_date",))
-    stored = spark.read.parquet(tables.table_path(base, "fact_by_event_date"))
-    return stored.groupBy("event_date").agg(F.sum("load_count").alias("loads"))
+    return spark.read.parquet(tables.table_path(base, "fact_by_event_date"))
 
 
 @query
@@ -545,9 +574,81 @@ def read_gold_merged(spark: SparkSession, sf: str) -> DataFrame:
     clicks = F.col("event_type") == "click"
     rows.where(clicks).drop("event_type").write.mode("append").parquet(path)
     rows.where(~clicks).drop("event_type", "watch_time").write.mode("append").parquet(path)
-    return tables.read_gold(spark, base, VISITOR).groupBy("visitor_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("watch_time").alias("watch_time")
+    return tables.read_gold(spark, base, VISITOR)
+
+
+def mixed_gold(spark: SparkSession, sf: str) -> str:
+    """Media gold of the events, clicks in the canonical naming, the others in the older one."""
+    base = scratch_path(spark, "mixed")
+    path = tables.table_path(base, MEDIA)
+    rows = events(spark, sf).select(
+        F.concat(F.lit("m"), F.get_json_object("props", "$.k")).alias("media_id"),
+        F.to_date("ts").alias("event_date"), "event_type",
+        F.floor("value").cast("double").alias("seconds"),
     )
+    clicks = F.col("event_type") == "click"
+    rows.where(clicks).select(
+        "media_id", "event_date", F.lit(1).cast("long").alias("total_plays"),
+        F.lit(1).cast("long").alias("total_loads"), F.col("seconds").alias("watch_time"),
+    ).write.mode("append").parquet(path)
+    rows.where(~clicks).select(
+        "media_id",
+        F.when(F.col("event_type") == "error", "n/a").otherwise(
+            F.col("event_date").cast("string")).alias("d"),
+        F.lit("0").alias("plays"),
+        F.when(F.col("event_type") == "view", 1).otherwise(0).alias("loads"),
+        F.col("seconds").alias("seconds_watched"),
+    ).write.mode("append").parquet(path)
+    return base
+
+
+@query
+def kpi_job_mixed_naming(spark: SparkSession, sf: str) -> DataFrame:
+    """Old and new files under one table, in canonical names by the job's own read."""
+    return kpi.prep_kpi(tables.read_gold(spark, mixed_gold(spark, sf), MEDIA)).select(
+        "media_id", "event_date", "total_plays", "total_loads", "watch_time_sec"
+    )
+
+
+@query
+def kpi_job_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole media KPIs and trend as the command writes them."""
+    base = mixed_gold(spark, sf)
+    tables.write_gold(visitor_gold(spark, sf), base, VISITOR)
+    cli.run(spark, cli.parser().parse_args([
+        "kpi", "--gold-base", base, "--start", "2024-01-01", "--end", "2024-12-31", "--media",
+        "--output", f"{base}/out",
+    ]))
+    by_media = spark.read.parquet(f"{base}/out/media_kpis").select(
+        F.lit("media").alias("frame"), F.col("media_id").alias("name"), "plays", "watch_time_sec"
+    )
+    by_day = spark.read.parquet(f"{base}/out/media_trend").select(
+        F.lit("day").alias("frame"), F.col("event_date").cast("string").alias("name"), "plays",
+        "watch_time_sec",
+    )
+    return by_media.unionByName(by_day)
+
+
+@query
+def cached_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Two reports from one kept frame; the second is returned."""
+    with tables.cached_gold(media_gold(spark, sf)) as kept:
+        kpi.media_list(kept).count()
+        return tables.staged(kept, "cached-gold")
+
+
+@query
+def written_in_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver written as one file per task for three tasks, and an unpartitioned table beside it."""
+    base = scratch_path(spark, "files")
+    rows = fact_per_day(spark, sf)
+    tables.write_partitioned(rows, base, "fact_media_engagement", files=3)
+    tables.write_full(rows, base, "unpartitioned")
+    stored = tables.read_silver(spark, base, "fact_media_engagement")
+    files = stored.select("dt", F.input_file_name().alias("file")).distinct()
+    most = files.groupBy("dt").count().agg((F.max("count") <= 3).alias("few")).scalar()
+    whole = spark.read.parquet(tables.table_path(base, "unpartitioned"))
+    return whole.select(*stored.columns).withColumn("few_files", most)
 
 
 @query

@@ -11,20 +11,25 @@ def to_double(value: Column) -> Column:
 
 
 def to_long(text: Column) -> Column:
-    """Text to bigint; a decimal or exponent spelling is cut to its whole part.
+    """Text to bigint, exactly; a decimal or exponent spelling is cut to its whole part.
 
     A cast that fails raises and is caught inside Spark, which costs many times what looking at
     the text does; so each cast is only tried on text it can be expected to read.
     """
+    text = F.trim(text)
     whole = F.when(text.rlike("^[+-]?[0-9]{1,19}$"), text.try_cast("bigint"))
-    cut = F.when(text.rlike("[0-9]"), text.try_cast("double").try_cast("bigint"))
+    cut = F.when(text.rlike("[0-9]"), text.try_cast("decimal(38,10)").try_cast("bigint"))
     return F.coalesce(whole, cut)
 
 
+def number(value: Column) -> Column:
+    """As double; unreadable and NaN values are null."""
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
+
+
 def number_or_zero(value: Column, as_type: str = "double") -> Column:
     """Unreadable, missing and NaN values count as 0."""
-    number = F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
-    return F.coalesce(number, F.lit(0.0)).cast(as_type)
+    return F.coalesce(number(value), F.lit(0.0)).cast(as_type)
 
 
 def zero_long(value: Column) -> Column:

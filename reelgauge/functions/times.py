@@ -7,28 +7,30 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The ISO-8601 spellings the feeds use.
-STAMP_PATTERNS = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'",
-    "yyyy-MM-dd'T'HH:mm:ss'Z'",
-)
+
+def has_day(text: Column) -> Column:
+    """Whether a text begins like ``2025-09-19``: a year of four digits, a month and a day of two.
+
+    Spark's casts also read a time alone, as one of the day of the run, and years of five digits.
+    """
+    return (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
 
 
 def parse_ts(text: Column) -> Column:
-    """Text to timestamp; text in no known spelling gives null, also under ANSI mode.
+    """Text to timestamp; text in no known spelling or without a day gives null, also under ANSI
+    mode.
 
-    Spark's cast reads every spelling in ``STAMP_PATTERNS`` (a test holds it to that) and more.
-    Trying the patterns one after the other would only cost: text that none of them matches
-    raises and catches an exception per pattern and row.
+    Spark's cast reads every ISO-8601 spelling the feeds use (a test holds it to that) and more.
+    Trying patterns one after the other would only cost: text that none of them matches raises and
+    catches an exception per pattern and row.
     """
-    return F.try_to_timestamp(text)
+    text = F.trim(text)
+    return F.when(has_day(text), F.try_to_timestamp(text))
 
 
 def date10(text: Column) -> Column:
     """Day as written: the first ten characters, whatever the offset behind them says."""
-    return F.try_to_date(F.substring(text, 1, 10))
+    return F.when(has_day(text), F.try_to_date(F.substring(text, 1, 10)))
 
 
 def day_of(df: DataFrame, name: str) -> Column:

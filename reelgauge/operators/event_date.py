@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.times import day_of
 from .dedup import latest_dim
-from .joins import BROADCAST_BYTES, hot_key_left_join, measured_bytes, narrow_dim
+from ..sources.tables import staged
+from .joins import BROADCAST_BYTES, HOT_KEYS, hot_key_left_join, measured_bytes, narrow_dim
 
 # latest_activity: last_active, else first_seen, else the day the media was created.
 # first_seen: that day only.
@@ -34,13 +35,18 @@ def resolve_event_date(
     media_dim: DataFrame,
     mode: str = "latest_activity",
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Add ``event_date`` to every fact row; it stays null where nothing gives a day.
 
+    The columns are those of the fact and ``event_date`` last; one the fact had is replaced.
+
     The media days are measured first. Up to ``broadcast_bytes`` they are broadcast and the fact
     is not shuffled. Beyond that only the rows without a day of their own are joined, those of
-    hot media still without a shuffle, and the others pass by untouched.
+    the ``hot_keys`` most frequent media still without a shuffle, and the others pass by untouched.
+    The rows to join are staged, so that the fact itself is read twice and not once per step.
     """
+    fact = fact.drop("event_date")
     dated = fact.withColumn("event_date", own_day(fact, mode))
     if mode == "first_seen":
         return dated
@@ -48,11 +54,13 @@ def resolve_event_date(
     if measured_bytes(days) <= broadcast_bytes:
         joined = dated.join(F.broadcast(days), "media_id", "left")
         day = F.coalesce("event_date", "media_created_date")
-        return joined.withColumn("event_date", day).drop("media_created_date")
-    missing = fact.where(own_day(fact, mode).isNull() & F.col("media_id").isNotNull())
-    found = hot_key_left_join(missing, days, "media_id").withColumnRenamed(
-        "media_created_date", "event_date"
+        return joined.withColumn("event_date", day).select(*dated.columns)
+    missing = staged(
+        fact.where(own_day(fact, mode).isNull() & F.col("media_id").isNotNull()), "missing-day"
     )
+    found = hot_key_left_join(missing, days, "media_id", hot_keys).withColumnRenamed(
+        "media_created_date", "event_date"
+    ).select(*dated.columns)
     return dated.where("event_date is not null or media_id is null").unionByName(found)
 
 

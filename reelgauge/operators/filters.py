@@ -26,7 +26,10 @@ def date_between(df: DataFrame, start: date, end: date, name: str = "event_date"
 
 
 def media_in(df: DataFrame, chosen: Sequence[str] | DataFrame | None) -> DataFrame:
-    """Rows of the chosen media ids (a list, or a frame with ``media_id``); none chosen: all."""
+    """Rows of the chosen media ids (a list, or a frame with ``media_id``); none chosen: all.
+
+    A list and a frame with the same ids give the same rows and columns, an empty one all rows.
+    """
     if chosen is None:
         return df
     if not isinstance(chosen, DataFrame):
@@ -36,4 +39,7 @@ def media_in(df: DataFrame, chosen: Sequence[str] | DataFrame | None) -> DataFra
         if len(ids) <= LITERAL_IDS:
             return df.where(F.col("media_id").isin(ids))
         chosen = df.sparkSession.createDataFrame([(i,) for i in ids], "media_id string")
-    return df.join(chosen.select("media_id").distinct(), "media_id", "left_semi")
+    ids = chosen.select(F.col("media_id").alias("_chosen")).where("_chosen is not null").distinct()
+    if ids.isEmpty():
+        return df
+    return df.join(ids, df["media_id"] == F.col("_chosen"), "left_semi")

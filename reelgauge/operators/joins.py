@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import staged
 from .dedup import STAMPS, latest_dim
 
 # A side may be broadcast up to this many bytes, measured before the join is planned.
@@ -31,14 +32,14 @@ def hot_key_left_join(
 ) -> DataFrame:
     """Left join of a fact with a one-row-per-key side of any size, for keys that may be very hot.
 
-    The ``hot_keys`` most frequent keys of the fact are found first, pre-counted in each task.
-    Their rows are joined by broadcast, which is safe as the side then has at most ``hot_keys``
-    rows, and are not shuffled. Of the rows that are, no key can hold more than one part in
-    ``hot_keys``. Rows with a null key are expected to be kept out by the caller.
+    The ``hot_keys`` most frequent keys of the fact are found first, pre-counted in each task, and
+    kept in a scratch table. Their rows are joined by broadcast, which is safe as the side then has
+    at most ``hot_keys`` rows, and are not shuffled. Of the rows that are, no key can hold more than
+    one part in ``hot_keys``. Rows with a null key are expected to be kept out by the caller, and
+    ``left`` to be cheap to read, as it is read three times.
     """
-    spark = left.sparkSession
     top = left.groupBy(key).count().orderBy(F.desc("count"), key).limit(hot_keys).select(key)
-    hot = F.broadcast(spark.createDataFrame(top.collect(), top.schema))
+    hot = F.broadcast(staged(top, "hot-keys"))
     few = F.broadcast(right.join(hot, key, "left_semi"))
     by_broadcast = left.join(hot, key, "left_semi").join(few, key, "left")
     by_shuffle = left.join(hot, key, "left_anti").join(right, key, "left")

@@ -9,36 +9,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numbers import number_or_zero, per_head, percent, zero_long
+from ..functions.numbers import number, per_head, percent, zero_long
 from .filters import date_between, media_in
 
 # Column names of older gold files and what they are called here.
 ALIASES = {"d": "event_date", "plays": "total_plays", "loads": "total_loads"}
-# Sources of the watch time, the first one present wins.
+# Sources of the watch time, the first one a row has wins.
 WATCH_COLUMNS = ("watch_time", "seconds_watched")
 
 
 def unify_watch_time(df: DataFrame) -> DataFrame:
-    """``watch_time_sec`` from the first watch column there is, unreadable as 0; else all 0."""
-    for name in WATCH_COLUMNS:
-        if name in df.columns:
-            return df.withColumn("watch_time_sec", number_or_zero(F.col(name)))
-    return df.withColumn("watch_time_sec", F.lit(0.0))
+    """``watch_time_sec`` from the first watch column a row has a number in, else 0."""
+    found = [number(F.col(name)) for name in WATCH_COLUMNS if name in df.columns]
+    return df.withColumn("watch_time_sec", F.coalesce(*found, F.lit(0.0)))
 
 
 def prep_kpi(df: DataFrame, numeric: Sequence[str] = ("total_plays", "total_loads")) -> DataFrame:
-    """Gold in canonical names and types, whichever naming its files use.
+    """Gold in canonical names and types, whichever naming its files use, alone or mixed.
 
-    A date that cannot be read becomes null, a number 0. Whole-number columns keep their type.
+    Per row the canonical column counts, and the older name where that is null. A date that cannot
+    be read becomes null, a number 0. Whole-number columns keep their type.
     """
-    df = df.withColumnsRenamed({k: v for k, v in ALIASES.items() if k in df.columns})
-    if "event_date" in df.columns and not isinstance(df.schema["event_date"].dataType, T.DateType):
-        df = df.withColumn("event_date", F.try_to_date(F.col("event_date").cast("string")))
-    for name in numeric:
-        if name in df.columns:
-            whole = isinstance(df.schema[name].dataType, T.IntegralType)
-            value = zero_long(F.col(name)) if whole else number_or_zero(F.col(name))
-            df = df.withColumn(name, value)
+    kinds = {f.name: f.dataType for f in df.schema}
+    older = {name: alias for alias, name in ALIASES.items()}
+    for name in ("event_date", *numeric):
+        names = [n for n in (name, older.get(name)) if n in kinds]
+        if not names:
+            continue
+        if name == "event_date":
+            value = F.coalesce(*[
+                F.col(n) if isinstance(kinds[n], T.DateType)
+                else F.try_to_date(F.col(n).cast("string")) for n in names
+            ])
+        elif all(isinstance(kinds[n], T.IntegralType) for n in names):
+            value = zero_long(F.coalesce(*[F.col(n) for n in names]))
+        else:
+            value = F.coalesce(*[number(F.col(n)) for n in names], F.lit(0.0))
+        if name in kinds:
+            df = df.withColumn(name, value).drop(*[n for n in names if n != name])
+        else:  # only the older name: the column keeps its place
+            df = df.withColumn(names[0], value).withColumnRenamed(names[0], name)
     return unify_watch_time(df)
 
 

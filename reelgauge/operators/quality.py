@@ -10,24 +10,13 @@ from pyspark.sql import types as T
 
 from ..functions.paths import VISITORS_FILE
 from ..schemas import BRONZE, CORRUPT, DATASETS
-from .silver import media_id_or_name
+from .silver import filled, media_id_or_name
 
 
 class QualityError(RuntimeError):
     """The input is not fit to be written further."""
 
 
-def require_non_empty(df: DataFrame, name: str) -> DataFrame:
-    """Raise if there is no row.
-
-    Pass the rows before deduplication: they are empty exactly when the table is, and finding
-    one row of them needs no shuffle.
-    """
-    if df.isEmpty():
-        raise QualityError(f"{name} is empty; check the bronze folder, the day and the format")
-    return df
-
-
 def health_measures(dataset: str) -> dict[str, Column]:
     """Counts that say whether a bronze frame is fit for silver: rows, corrupt lines, rows with
     their key, and visitor rows whose media id is neither in them nor in the file name.
@@ -39,7 +28,7 @@ def health_measures(dataset: str) -> dict[str, Column]:
     return {
         "rows": F.count(F.lit(1)),
         "corrupt_rows": F.count_if(~parsed),
-        "keyed_rows": F.count_if(parsed & F.col(BRONZE[dataset].names[0]).isNotNull()),
+        "keyed_rows": F.count_if(parsed & filled(BRONZE[dataset].names[0]).isNotNull()),
         "missing_media_id": F.count_if(parsed & no_media),
     }
 
@@ -50,15 +39,6 @@ def bronze_health(raw: DataFrame, dataset: str) -> DataFrame:
     return raw.agg(*measures).select(F.lit(dataset).alias("dataset"), "*")
 
 
-def require_media_id(raw_visitors: DataFrame) -> DataFrame:
-    """Raise if a visitor row has a media id neither in itself nor in its file name."""
-    missing = F.count_if(media_id_or_name(VISITORS_FILE).isNull())
-    n = raw_visitors.agg(missing.alias("n")).first()["n"]
-    if n:
-        raise QualityError(f"{n} visitor rows have no media id")
-    return raw_visitors
-
-
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """(name, rows) of several frames, in one job."""
     counted = [
@@ -71,9 +51,9 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
-    """Some rows to look at, whichever come first."""
-    return df.limit(n)
+def sample_rows(df: DataFrame, n: int = 5, ordered: bool = False) -> DataFrame:
+    """Some rows to look at: whichever come first, or the first in the order of all columns."""
+    return df.orderBy(*df.columns).limit(n) if ordered else df.limit(n)
 
 
 def _fields(data_type: T.DataType, prefix: str = "") -> dict[str, str]:

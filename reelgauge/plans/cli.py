@@ -4,7 +4,7 @@
     python -m reelgauge.plans.cli gold     --silver-base S --gold-base G
     python -m reelgauge.plans.cli refresh  --bronze-base B --silver-base S --gold-base G --dt D ...
     python -m reelgauge.plans.cli validate --bronze-base B [--dataset visitors] [--dt D]
-    python -m reelgauge.plans.cli kpi      --gold-base G [--start D --end D] [--media M ...]
+    python -m reelgauge.plans.cli kpi      --gold-base G [--start D --end D] [--media M ...] [--output O]
     python -m reelgauge.plans.cli days     --start D --end D [--exec-day D]
     python -m reelgauge.plans.cli follow   --bronze-base B --silver-base S --state F
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import bronze_root
@@ -22,17 +22,20 @@ from ..functions.times import backfill_days, date10, last_n_days
 from ..operators.event_date import MODES
 from ..operators.filters import media_in
 from ..operators.gold import INTERACTIONS
-from ..operators.kpi import prep_kpi
+from ..operators.kpi import default_media, prep_kpi
 from ..operators.quality import infer_bronze, sample_rows, schema_report
-from ..schemas import DATASETS, GOLD
+from ..schemas import DATASETS
 from ..session import build_session, scratch_path
 from ..sources.bronze import FORMATS, read_bronze
 from ..sources.tables import cached_gold, read_gold, read_silver
-from ..streaming.landed_days import follow_bronze
+from ..streaming.landed_days import follow_bronze, waiting
 from .dashboard import in_range, media_frames, visitor_frames
 from .gold_job import MEDIA, VISITOR, GoldRefresh, run_gold
 from .silver_job import missing_metadata, run_silver
 
+# Rows of a KPI frame the command prints; ``--output`` gets all of them.
+PREVIEW = 20
+
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="reelgauge")
@@ -71,7 +74,9 @@ def parser() -> argparse.ArgumentParser:
     kpi = command("kpi", "gold")
     kpi.add_argument("--start", type=date.fromisoformat)
     kpi.add_argument("--end", type=date.fromisoformat)
-    kpi.add_argument("--media", nargs="*")
+    kpi.add_argument("--media", nargs="*", help="the first 15 if left out, all if none is named")
+    kpi.add_argument("--output", help="folder for the whole frames, one sub-folder each")
+    kpi.add_argument("--output-format", choices=("parquet", "json", "csv"), default="parquet")
 
     days = command("days")
     days.add_argument("--start", required=True)
@@ -83,6 +88,11 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def write_frame(df: DataFrame, folder: str, name: str, fmt: str) -> None:
+    """A whole KPI frame below the output folder, in place of the one before."""
+    df.write.mode("overwrite").format(fmt).option("header", True).save(f"{folder}/{name}")
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if getattr(args, "bronze_base", None):
         args.bronze_base = bronze_root(args.bronze_base, args.sub_folder)
@@ -112,31 +122,39 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.command == "validate":
         names = DATASETS if args.dataset == "all" else (args.dataset,)
         found = {n: infer_bronze(spark, args.bronze_base, n, args.format, args.dt) for n in names}
-        schema_report(spark, found, names).show(200, truncate=False)
+        report = schema_report(spark, found, names)
+        report.show(report.count(), truncate=False)
         for name in names:
             rows = read_bronze(
                 spark, args.bronze_base, name, args.format, [args.dt] if args.dt else None
             )
             sample_rows(rows, 10).show(truncate=80)
     elif args.command == "kpi":
-        start, end = last_n_days(date.today())
-        start, end = args.start or start, args.end or end
-        media = read_gold(spark, args.gold_base, MEDIA, GOLD[MEDIA])
-        visitor = read_gold(spark, args.gold_base, VISITOR, GOLD[VISITOR])
-        chosen = media_in(in_range(media, start, end), args.media)
+        start, end = last_n_days(args.end or date.today())
+        start = args.start or start
+        # Without a declared schema: older files hold other names, and the watch time.
+        media = read_gold(spark, args.gold_base, MEDIA)
+        visitor = read_gold(spark, args.gold_base, VISITOR)
+        picked = default_media(prep_kpi(media)) if args.media is None else args.media
+        chosen = media_in(in_range(media, start, end), picked)
         with cached_gold(chosen) as chosen, cached_gold(in_range(visitor, start, end)) as seen:
             frames = media_frames(prep_kpi(media), chosen) | visitor_frames(seen)
             for name, df in frames.items():
-                print(name)
-                df.show(50, truncate=False)
+                if args.output:
+                    write_frame(df, args.output, name, args.output_format)
+                print(f"{name}: preview, the first {PREVIEW} rows at most")
+                df.show(PREVIEW, truncate=False)
     elif args.command == "days":
         today = date10(F.lit(args.exec_day)) if args.exec_day else F.current_date()
         one = spark.range(1)
-        backfill_days(one, date10(F.lit(args.start)), today, date10(F.lit(args.end))).show(10000)
+        found = backfill_days(one, date10(F.lit(args.start)), today, date10(F.lit(args.end)))
+        found.show(found.count())
     elif args.command == "follow":
         print(follow_bronze(
             spark, args.bronze_base, args.silver_base, args.state, fmt=args.format
         ))
+        for row in waiting(spark, args.state).orderBy("dt").toLocalIterator():
+            print(f"waiting: {row['dt'] or 'no day'} has {row['files']} files of {row['datasets']}")
 
 
 def main() -> None:

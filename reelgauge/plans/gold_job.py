@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import with_ymd
@@ -22,14 +22,6 @@ from ..sources.tables import (
 MEDIA, VISITOR = "agg_media_daily", "agg_visitor_daily"
 
 
-def _days_seen() -> dict[str, Column]:
-    """Measures telling which event dates a write had rows for."""
-    return {
-        "days": F.collect_set("event_date"),
-        "undated": F.count_if(F.col("event_date").isNull()),
-    }
-
-
 def run_gold(
     spark: SparkSession,
     silver_base: str,
@@ -56,11 +48,6 @@ def run_gold(
     return written
 
 
-def _distinct_days(df: DataFrame) -> set[date | None]:
-    """The calendar days of a frame: as many as the calendar has, not as the data."""
-    return {row["event_date"] for row in df.select("event_date").distinct().collect()}
-
-
 class GoldRefresh:
     """Bring gold up to date after some silver days are rebuilt.
 
@@ -74,9 +61,10 @@ class GoldRefresh:
     built with. Not for running-total facts (``latest_only``), where a
     new day changes which older row counts; rebuild those in full.
 
-    ``snapshot`` is a folder all executors share; the media days as they were go there until
-    ``apply`` is through. The first gold of all comes from ``run_gold``, and so does the gold
-    after a run that died between the two steps.
+    ``snapshot`` is a folder all executors share; the media days and the touched dates as they were
+    go there until ``apply`` is through, however that ends. The dates stay a table: stamps that are
+    wrong but readable make it longer, and nothing else. The first gold of all comes from
+    ``run_gold``, and so does the gold after a run that died between the two steps.
     """
 
     def __init__(
@@ -92,8 +80,8 @@ class GoldRefresh:
         self.spark, self.silver_base, self.gold_base = spark, silver_base, gold_base
         self.days, self.snapshot = days, snapshot
         self.mode, self.interactions = mode, interactions
-        self.before = self._days_of_changed_rows()
-        media_days(read_silver(spark, silver_base, "dim_media")).write.parquet(snapshot)
+        media_days(read_silver(spark, silver_base, "dim_media")).write.parquet(f"{snapshot}/media")
+        self._days_of_changed_rows().write.parquet(f"{snapshot}/before")
 
     def _silver(self) -> tuple[DataFrame, DataFrame]:
         return (
@@ -101,41 +89,72 @@ class GoldRefresh:
             read_silver(self.spark, self.silver_base, "dim_media"),
         )
 
-    def _days_of_changed_rows(self) -> set[date | None]:
+    def _days_of_changed_rows(self) -> DataFrame:
         fact, media = self._silver()
         changed = fact.where(F.col("dt").isin([F.lit(d).cast("date") for d in self.days]))
-        return _distinct_days(resolve_event_date(changed, media, self.mode))
+        return resolve_event_date(changed, media, self.mode).select("event_date").distinct()
 
-    def _days_of_moved_media(self) -> set[date | None]:
-        old = self.spark.read.parquet(self.snapshot).withColumnRenamed("media_created_date", "old")
+    def _days_of_moved_media(self) -> DataFrame:
+        old = self.spark.read.parquet(f"{self.snapshot}/media")
+        old = old.withColumnRenamed("media_created_date", "old")
         new = media_days(self._silver()[1]).withColumnRenamed("media_created_date", "new")
         moved = old.join(new, "media_id", "full").where(~F.col("old").eqNullSafe(F.col("new")))
-        return _distinct_days(moved.select(F.explode(F.array("old", "new")).alias("event_date")))
-
-    def apply(self) -> set[date | None]:
-        """Rebuild the touched event dates; returns them."""
-        touched = self.before | self._days_of_changed_rows()
+        return moved.select(F.explode(F.array("old", "new")).alias("event_date"))
+
+    def apply(self) -> list[date | None]:
+        """Rebuild the touched event dates; returns them in order, the missing date first."""
+        try:
+            return self._apply()
+        finally:
+            drop_folder(self.spark, self.snapshot)
+
+    def _apply(self) -> list[date | None]:
+        touched = self.spark.read.parquet(f"{self.snapshot}/before")
+        touched = touched.unionByName(self._days_of_changed_rows())
         if self.mode != "first_seen":
-            touched |= self._days_of_moved_media()
+            touched = touched.unionByName(self._days_of_moved_media())
+        touched.distinct().write.parquet(f"{self.snapshot}/touched")
+        touched = self.spark.read.schema("event_date date").parquet(f"{self.snapshot}/touched")
         fact, media = self._silver()
-        known = [F.lit(d) for d in touched if d]
-        # Rows that state another day cannot end up on a touched one: they go before the shuffle.
+        # Rows that state a day outside the touched range are not read, those that state another
+        # day in between go before the shuffle, and what is left is built into both tables.
+        ends = touched.agg(F.min("event_date").alias("a"), F.max("event_date").alias("b")).first()
         own = own_day(fact, self.mode)
-        fact = fact.where(own.isNull() | own.isin(known))
+        fact = self._stating(fact, ends["a"], ends["b"]).withColumn("_own", own)
+        undated = fact.where("_own is null")
+        dated = fact.join(touched.withColumnRenamed("event_date", "_own"), "_own", "left_semi")
+        kept = undated.unionByName(dated.select(*undated.columns)).drop("_own")
+        kept.write.parquet(f"{self.snapshot}/fact")
+        kept = self.spark.read.schema(kept.schema).parquet(f"{self.snapshot}/fact")
         frames = {
-            MEDIA: media_daily(fact, media, self.mode),
-            VISITOR: visitor_daily(fact, media, self.mode, self.interactions),
+            MEDIA: media_daily(kept, media, self.mode),
+            VISITOR: visitor_daily(kept, media, self.mode, self.interactions),
         }
-        wanted = F.col("event_date").isin(known)
-        if None in touched:
-            wanted = wanted | F.col("event_date").isNull()
         for table, df in frames.items():
-            seen = write_gold(df.where(wanted), self.gold_base, table, measures=_days_seen()).get
-            left = set(seen.get("days") or ()) | ({None} if seen.get("undated") else set())
-            drop_days(self.spark, self.gold_base, table, sorted_days(touched - left))
-        drop_folder(self.spark, self.snapshot)
-        return touched
-
-
-def sorted_days(days: set[date | None]) -> list[date | None]:
-    return sorted(days, key=lambda d: d or date.min)
+            days = touched.withColumnRenamed("event_date", "_day")
+            wanted = df["event_date"].eqNullSafe(F.col("_day"))
+            df = df.join(days, wanted, "left_semi")
+            df.write.parquet(f"{self.snapshot}/{table}")
+            df = self.spark.read.schema(df.schema).parquet(f"{self.snapshot}/{table}")
+            write_gold(df, self.gold_base, table)
+            built = df.select(F.col("event_date").alias("_day")).distinct()
+            left = touched.join(built, touched["event_date"].eqNullSafe(F.col("_day")), "left_anti")
+            drop_days(self.spark, self.gold_base, table, left.toLocalIterator())
+        return [row["event_date"] for row in touched.orderBy("event_date").toLocalIterator()]
+
+    def _stating(self, fact: DataFrame, low: date | None, high: date | None) -> DataFrame:
+        """Rows whose stated day may lie in a range, by plain comparisons that reach the files."""
+        first = F.col("first_seen").isNull()
+        inside = first
+        if low:
+            day = (F.col("first_seen") >= F.lit(low)) & (
+                F.col("first_seen") < F.date_add(F.lit(high), 1)
+            )
+            inside = inside | day
+        if self.mode == "first_seen":
+            return fact.where(inside)
+        last = F.col("last_active")
+        if low:
+            recent = (last >= F.lit(low)) & (last < F.date_add(F.lit(high), 1))
+            return fact.where(recent | last.isNull()).where(last.isNotNull() | inside)
+        return fact.where(last.isNull() & inside)

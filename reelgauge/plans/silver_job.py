@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.paths import MEDIAS_FILE, VISITORS_FILE
@@ -27,13 +29,16 @@ def silver_tables(parsed: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def check_bronze(health: dict[str, dict[str, int]]) -> None:
+def check_bronze(
+    health: dict[str, dict[str, int]], needed: Sequence[str] = ("metadata", "visitors")
+) -> None:
     """Raise if silver could not be built from bronze with these counts.
 
     The rows counted are those before deduplication: a table is empty exactly when they are.
+    ``needed`` are the datasets that must have rows.
     """
     for dataset, tables in (("metadata", "dim_media"), ("visitors", "dim_visitor and the fact")):
-        if not health[dataset].get("keyed_rows"):
+        if dataset in needed and not health[dataset].get("keyed_rows"):
             raise QualityError(f"{tables} would be empty; check {dataset}, the day and the format")
     missing = health["visitors"]["missing_media_id"]
     if missing:
@@ -50,6 +55,7 @@ def run_silver(
     files: int | None = None,
     partitioned: bool = True,
     quarantine_base: str | None = None,
+    needed: Sequence[str] = ("metadata", "visitors"),
 ) -> dict[str, dict[str, int]]:
     """Build silver for the given days, or for all of bronze; returns the bronze counts.
 
@@ -68,7 +74,7 @@ def run_silver(
             staged[dataset], health[dataset] = stage_bronze(
                 raw, f"{scratch}/{dataset}", health_measures(dataset)
             )
-        check_bronze(health)
+        check_bronze(health, needed)
         split = {dataset: split_corrupt(df) for dataset, df in staged.items()}
         many_days = days is None or len(days) > 1
         for table, df in silver_tables({d: good for d, (good, _) in split.items()}).items():

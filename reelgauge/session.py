@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,11 +39,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name for intermediate tables, below the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    A session without that setting uses its warehouse, which all executors share as well. The names
+    lie in one folder per application, which is deleted when the application ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="reelgauge-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    own = f"{base.rstrip('/')}/reelgauge-{spark.sparkContext.applicationId}"
+    folder = jvm.org.apache.hadoop.fs.Path(own)
+    system = folder.getFileSystem(conf)
+    if not system.exists(folder):
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+    return f"{system.makeQualified(folder).toString()}/{name}-{uuid.uuid4().hex}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -147,12 +147,22 @@ def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
         drop_folder(spark, path)
 
 
-def drop_days(spark: SparkSession, base: str, table: str, days: list) -> None:
-    """Delete gold day folders that have no rows any more (None: rows without a date).
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the scratch folder and read from there: for a frame that is needed
+    more than once and costs more than its own size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_days(spark: SparkSession, base: str, table: str, days: Iterable) -> None:
+    """Delete gold day folders that have no rows any more; ``days`` are rows with an ``event_date``
+    (null: rows without a date).
 
     Dynamic overwrite only touches partitions it has rows for.
     """
-    for day in days:
+    for row in days:
+        day = row["event_date"]
         parts = (day.year, day.month, day.day) if day else ("__HIVE_DEFAULT_PARTITION__",) * 3
         folder = "/".join(f"{k}={v}" for k, v in zip(YMD, parts))
         drop_folder(spark, f"{table_path(base, table)}/{folder}")

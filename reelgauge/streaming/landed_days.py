@@ -5,9 +5,12 @@ have files not yet worked off are then rebuilt from their whole bronze folders.
 day, and not writing the new files' rows, is what keeps a day's earlier pages: a partition
 overwrite with only the late page would remove them.
 
+Each table is built from the days its dataset has. A day that so far lacks metadata or visitors does
+not hold up others and is rebuilt when they come; ``waiting`` tells which days lack what, and how
+many files have no day at all (they lie outside ``dt=`` folders and are left alone).
+
 The file source does not notice a file rewritten under the same name. Feeds that rewrite files
-should run the batch job with the list of days instead. Files outside ``dt=`` folders have no day
-to rebuild and are left alone.
+should run the batch job with the list of days instead.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from ..schemas import DATASETS
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 LEDGER_SCHEMA = "dataset string, path string, dt date"
+# A day without one of these lacks a silver table.
+NEEDED = ("metadata", "visitors")
 
 
 def note_landed_files(spark: SparkSession, bronze_base: str, dataset: str, state: str) -> None:
@@ -44,8 +49,8 @@ def note_landed_files(spark: SparkSession, bronze_base: str, dataset: str, state
     query.awaitTermination()
 
 
-def pending_files(spark: SparkSession, state: str, datasets=DATASETS) -> DataFrame:
-    """Ledger entries whose day has not been rebuilt since they were noted."""
+def landed_files(spark: SparkSession, state: str, datasets=DATASETS) -> DataFrame:
+    """The whole ledger."""
     parts = [
         spark.read.schema(LEDGER_SCHEMA).parquet(f"{state}/landed/{dataset}")
         for dataset in datasets
@@ -53,6 +58,22 @@ def pending_files(spark: SparkSession, state: str, datasets=DATASETS) -> DataFra
     landed = parts[0]
     for part in parts[1:]:
         landed = landed.unionByName(part)
+    return landed
+
+
+def waiting(spark: SparkSession, state: str) -> DataFrame:
+    """Per day that lacks metadata or visitors: the datasets it has and its files; the day is null
+    for files outside ``dt=`` folders."""
+    found = landed_files(spark, state.rstrip("/")).groupBy("dt").agg(
+        F.sort_array(F.collect_set("dataset")).alias("datasets"), F.count("*").alias("files")
+    )
+    lacking = F.size(F.array_intersect("datasets", F.array(*map(F.lit, NEEDED)))) < len(NEEDED)
+    return found.where(F.col("dt").isNull() | lacking)
+
+
+def pending_files(spark: SparkSession, state: str) -> DataFrame:
+    """Ledger entries whose day has not been rebuilt since they were noted."""
+    landed = landed_files(spark, state)
     done = spark.read.schema(LEDGER_SCHEMA).parquet(f"{state}/done")
     return landed.join(done, ["dataset", "path"], "left_anti")
 
@@ -72,11 +93,14 @@ def follow_bronze(
     spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(f"{state}/done")
     # One run at a time: the ledger must not grow between the rebuild and the marking.
     pending = pending_files(spark, state)
-    days = sorted(
-        str(row["dt"]) for row in pending.select("dt").distinct().collect() if row["dt"]
-    )
+    pending_days = pending.where("dt is not null").select("dt").distinct()
+    days = sorted(str(row["dt"]) for row in pending_days.collect())
     if days:
-        run_silver(spark, bronze_base, silver_base, days, fmt)
+        there = landed_files(spark, state).join(pending_days, "dt", "left_semi")
+        names = {row["dataset"] for row in there.select("dataset").distinct().collect()}
+        run_silver(
+            spark, bronze_base, silver_base, days, fmt, needed=[d for d in NEEDED if d in names]
+        )
         pending.where(F.col("dt").isin([F.lit(d).cast("date") for d in days])).write.mode(
             "append"
         ).parquet(f"{state}/done")

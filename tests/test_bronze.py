@@ -115,12 +115,12 @@ def test_media_id_from_row_or_file(spark, folder):
     assert rows(got, "visitor_id", "media_id") == [("a", "m7"), ("b", "ABC"), ("c", "ABC")]
 
 
-def test_require_media_id(spark, folder):
-    write_lines(folder, "visitors", "visitors_ABC_page1_x.ndjson", [visitor("a", media=None)], DAY)
-    quality.require_media_id(good_rows(spark, folder))
+def test_health_counts_rows_without_ids(spark, folder):
+    write_lines(folder, "visitors", "visitors_ABC_page1_x.ndjson",
+                [visitor("a", media=None), visitor("")], DAY)
     write_lines(folder, "visitors", "something.ndjson", [visitor("b", media="")], DAY)
-    with pytest.raises(quality.QualityError, match="1 visitor rows"):
-        quality.require_media_id(good_rows(spark, folder))
+    health = quality.bronze_health(bronze.read_bronze(spark, folder, "visitors"), "visitors").first()
+    assert (health["rows"], health["keyed_rows"], health["missing_media_id"]) == (3, 2, 1)
 
 
 def test_medias_id_comes_from_the_file(spark, folder):

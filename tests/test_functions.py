@@ -16,9 +16,20 @@ def one(spark, column, **values):
     return df.select(column.alias("v")).first()["v"]
 
 
+# The ISO-8601 spellings the feeds use.
+STAMP_PATTERNS = (
+    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'",
+    "yyyy-MM-dd'T'HH:mm:ss'Z'",
+)
+
+
 @pytest.mark.parametrize(
     "text, expected",
     [
+        ("10:15", None), ("T10:15:00", None), ("12345-01-01", None), ("12345-01-01T00:00:00Z", None),
+        (" 2025-09-19T10:11:12Z ", datetime(2025, 9, 19, 10, 11, 12)), ("2025", None),
         ("2025-09-19T10:11:12.345Z", datetime(2025, 9, 19, 10, 11, 12, 345000)),
         ("2025-09-19T10:11:12Z", datetime(2025, 9, 19, 10, 11, 12)),
         ("2025-09-19T10:11:12+02:00", datetime(2025, 9, 19, 8, 11, 12)),
@@ -43,7 +54,7 @@ def test_the_cast_reads_every_spelling_of_the_feeds(spark):
     zones = ("Z", "+00:00", "-00:00", "+02:00", "-05:30", "+14:00", "+18:00", "+19:00", "+0200", "")
     texts = [f"{d}T{c}{f}{z}" for d in days for c in clocks for f in fractions for z in zones]
     df = spark.createDataFrame([(t,) for t in texts], "x string")
-    tried = F.coalesce(*[F.try_to_timestamp("x", F.lit(p)) for p in times.STAMP_PATTERNS])
+    tried = F.coalesce(*[F.try_to_timestamp("x", F.lit(p)) for p in STAMP_PATTERNS])
     read = df.select("x", tried.alias("tried"), times.parse_ts(F.col("x")).alias("cast"))
     read = read.where("tried is not null")
     assert read.count() > 100
@@ -147,4 +158,10 @@ def test_coalesce_text(spark):
 def test_scratch_is_below_the_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert first.startswith(f"{base}/x-") and first != second
+    assert first.startswith(f"file:{base}/reelgauge-") and "/x-" in first and first != second
+
+
+def test_whole_numbers_are_exact(spark):
+    for text, value in ((" 9007199254740993 ", 9007199254740993), ("9007199254740993.9", 9007199254740993),
+                        ("1e3", 1000), ("-7.9", -7), ("9223372036854775808", None), ("x1", None)):
+        assert one(spark, numbers.to_long(F.col("x")), x=text) == value, text

@@ -10,6 +10,7 @@ from reelgauge.plans.gold_job import MEDIA, VISITOR, GoldRefresh, run_gold
 from reelgauge.plans.silver_job import missing_metadata, run_silver
 from reelgauge.plans.views import gold_views
 from reelgauge.schemas import GOLD
+from reelgauge.session import scratch_path
 from reelgauge.sources import tables
 from reelgauge.sources.tables import read_gold, read_silver
 
@@ -86,12 +87,13 @@ def test_bad_input_writes_nothing(spark, bases):
 
 def test_no_scratch_is_left(spark, bases):
     bronze, silver, _ = bases
-    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    scratch = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    before = set(os.listdir(scratch))
     land(bronze, DAY, [visitor("a")])
     run_silver(spark, bronze, silver)
     with pytest.raises(QualityError):
         run_silver(spark, bronze, silver, ["2020-01-01"])
-    left = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) - before
+    left = set(os.listdir(scratch)) - before
     assert not any(name.startswith("parsed") for name in left)
 
 
@@ -139,7 +141,7 @@ def test_refresh_equals_full_rebuild(spark, bases):
     run_silver(spark, bronze, silver, [DAY])
     touched = job.apply()
     # 2025-08-01: y is undated and of m1, on a day that was not rebuilt, and still moves
-    assert touched == {
+    assert set(touched) == {
         None, date(2025, 8, 1), date(2025, 9, 1), date(2025, 9, 10), date(2025, 9, 12),
         date(2025, 9, 19),
     }
@@ -159,7 +161,7 @@ def test_refresh_keeps_the_meanings_gold_was_built_with(spark, bases):
     job = GoldRefresh(spark, silver, out, [DAY], f"{silver}-media-days", **chosen)
     land(bronze, DAY, [visitor("c", plays=5)], page=2)
     run_silver(spark, bronze, silver, [DAY])
-    assert job.apply() == {None, date(2025, 9, 19)}
+    assert job.apply() == [None, date(2025, 9, 19)]
     stored = read_gold(spark, out, VISITOR, GOLD[VISITOR])
     assert rows(stored, "visitor_id", "event_date", "media_interactions") == [
         ("a", DAY, 3), ("b", None, 1), ("c", DAY, 5),
@@ -174,7 +176,7 @@ def test_refresh_without_change(spark, bases):
     before = gold(spark, out), gold(spark, out, VISITOR)
     job = GoldRefresh(spark, silver, out, [DAY], f"{silver}-media-days")
     run_silver(spark, bronze, silver, [DAY])
-    assert job.apply() == {date(2025, 9, 19)}
+    assert job.apply() == [date(2025, 9, 19)]
     assert (gold(spark, out), gold(spark, out, VISITOR)) == before
 
 
@@ -259,8 +261,66 @@ def test_command_line(spark, bases, capsys):
     assert gold(spark, out) == [("m1", DAY, 1, 1), ("m8", DAY, 1, 1)]
     assert "visitor_identity.org.title" in call("validate", *source, "--dataset", "visitors")
     said = call("kpi", "--gold-base", out, "--start", DAY, "--end", NEXT, "--media", "m8")
-    assert "media_totals" in said and "top_visitors" in said
+    assert "media_totals: preview" in said and "top_visitors" in said
+    call("kpi", "--gold-base", out, "--start", DAY, "--end", NEXT, "--output", f"{out}-kpi")
+    assert rows(spark.read.parquet(f"{out}-kpi/media_kpis"), "media_id", "plays") == [
+        ("m1", 1.0), ("m8", 1.0),
+    ] or rows(spark.read.parquet(f"{out}-kpi/media_kpis"), "media_id", "plays") == [("m1", 1), ("m8", 1)]
     days = call("days", "--start", "2025-09-20", "--end", "2025-10-01",
                 "--exec-day", "2025-09-21T05:00:00Z")
     assert "2025-09-21" in days and "2025-09-22" not in days
     assert DAY in call("follow", *source, "--silver-base", f"{silver}2", "--state", f"{out}-state")
+
+
+def test_the_kpi_command_reads_both_namings_and_writes_whole_frames(spark, folder):
+    """Sixty days of older and newer files under one table; the command prints only a few rows."""
+    cli_args = ["kpi", "--gold-base", folder, "--start", "2025-01-01", "--end", "2025-12-31"]
+    days = spark.range(60).select(
+        F.date_add(F.lit("2025-03-01").cast("date"), F.col("id").cast("int")).alias("day"), "id"
+    )
+    days.where("id < 30").select(
+        F.lit("m1").alias("media_id"), F.col("day").cast("string").alias("d"),
+        F.lit("7").alias("plays"), F.lit(9).alias("loads"), F.lit(33).alias("seconds_watched"),
+    ).write.mode("append").parquet(f"{folder}/{MEDIA}")
+    days.where("id >= 30").select(
+        F.lit("m1").alias("media_id"), F.col("day").alias("event_date"),
+        F.lit(2).cast("long").alias("total_plays"), F.lit(4).cast("long").alias("total_loads"),
+        F.lit(1.5).alias("watch_time"),
+    ).write.mode("append").parquet(f"{folder}/{MEDIA}")
+    cli.run(spark, cli.parser().parse_args([*cli_args, "--output", f"{folder}/kpi"]))
+    trend = spark.read.parquet(f"{folder}/kpi/media_trend")
+    assert trend.count() == 60
+    total = spark.read.parquet(f"{folder}/kpi/media_totals").first()
+    assert (total["total_plays"], total["total_loads"], total["total_watch_time_sec"]) == (
+        30 * 7 + 30 * 2, 30 * 9 + 30 * 4, 30 * 33 + 45
+    )
+
+
+def test_a_refresh_over_odd_stamps(spark, bases):
+    bronze, silver, out = bases
+    odd = ["12345-01-01T00:00:00Z", "10:15", "9999-12-31T00:00:00Z", "garbage"]
+    land(bronze, DAY, [visitor(f"v{i}", last_active_at=t, created_at=None) for i, t in enumerate(odd)])
+    run_silver(spark, bronze, silver)
+    run_gold(spark, silver, out)
+    job = GoldRefresh(spark, silver, out, [DAY], f"{silver}-media-days")
+    run_silver(spark, bronze, silver, [DAY])
+    # the rows without a day of their own fall back to the day the media was created
+    assert job.apply() == [date(2025, 9, 1), date(9999, 12, 31)]
+    assert not os.path.exists(f"{silver}-media-days")
+
+
+def test_a_failed_refresh_leaves_no_snapshot(spark, bases):
+    bronze, silver, out = bases
+    land(bronze, DAY, [visitor("a")])
+    run_silver(spark, bronze, silver)
+    job = GoldRefresh(spark, silver, out, [DAY], f"{silver}-media-days", interactions="no such")
+    with pytest.raises(ValueError):
+        job.apply()
+    assert not os.path.exists(f"{silver}-media-days")
+
+
+def test_an_empty_fact_is_refused(spark, bases):
+    bronze, silver, _ = bases
+    land(bronze, DAY, [visitor(""), visitor("")])
+    with pytest.raises(QualityError):
+        run_silver(spark, bronze, silver)

@@ -45,9 +45,9 @@ def test_prep_accepts_the_older_naming(spark):
     assert rows(got, *columns) == [("2025-09-19", 3.0, 0.0, 1.5), (None, 0.0, 4.0, 0.0)]
 
 
-def test_watch_time_takes_the_first_name_present(spark):
+def test_watch_time_takes_the_first_name_a_row_has(spark):
     df = spark.createDataFrame([("2", "9"), (None, "9")], "watch_time string, seconds_watched string")
-    assert rows(kpi.unify_watch_time(df), "watch_time_sec") == [(0.0,), (2.0,)]
+    assert rows(kpi.unify_watch_time(df), "watch_time_sec") == [(2.0,), (9.0,)]
     assert rows(kpi.unify_watch_time(df.drop("watch_time")), "watch_time_sec") == [(9.0,), (9.0,)]
     none = df.drop("watch_time", "seconds_watched")
     assert rows(kpi.unify_watch_time(none), "watch_time_sec") == [(0.0,), (0.0,)]

@@ -1,8 +1,9 @@
-from types import SimpleNamespace
+import os
+import subprocess
+import sys
+import time
 
-import pytest
-
-from reelgauge.session import build_session, scratch_path
+from reelgauge.session import build_session
 
 
 def test_build_session_pins_zone_and_adaptive_execution(spark):
@@ -17,19 +18,21 @@ def test_build_session_pins_zone_and_adaptive_execution(spark):
         spark.conf.unset(advisory)
 
 
-def session_on(master, folder=None):
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda name, default: folder or default),
-        sparkContext=SimpleNamespace(master=master),
+def test_scratch_is_gone_with_the_application(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from reelgauge.sources.tables import staged\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', '{tmp_path}').getOrCreate()\n"
+        "df = staged(s.range(3), 'x')\n"
+        "print('rows', df.count(), df.inputFiles()[0])\n"
     )
-
-
-def test_a_cluster_needs_a_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(session_on("spark://somewhere:7077"), "x")
-    assert scratch_path(session_on("yarn", "hdfs:///scratch/"), "x").startswith("hdfs:///scratch/x-")
-
-
-def test_a_local_session_may_do_without(tmp_path, monkeypatch):
-    monkeypatch.setenv("TMPDIR", str(tmp_path))
-    assert "/x-" in scratch_path(session_on("local[2]"), "x")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert f"rows 3 file://{tmp_path}/reelgauge-local-" in done.stdout, done.stderr[-2000:]
+    for _ in range(100):  # the JVM ends a little after Python
+        left = [name for name in os.listdir(tmp_path) if name.startswith("reelgauge-")]
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left

@@ -113,13 +113,6 @@ def test_latest_dim_and_snapshot(spark):
     assert rows(got, "visitor_id", "play_count") == [("a", 3), ("b", 2)]
 
 
-def test_require_non_empty(spark):
-    df = spark.createDataFrame([(1,)], "a int")
-    assert quality.require_non_empty(df, "t") is df
-    with pytest.raises(quality.QualityError, match="t is empty"):
-        quality.require_non_empty(df.limit(0), "t")
-
-
 def test_check_bronze():
     fine = {"keyed_rows": 1, "missing_media_id": 0}
     check_bronze({"metadata": fine, "visitors": fine, "medias": {"keyed_rows": 0}})

@@ -49,3 +49,21 @@ def test_only_names_are_read(spark, folder):
     ledger = spark.read.parquet(f"{folder}/state/landed/visitors")
     assert ledger.columns == ["dataset", "path", "dt"]
     assert rows(ledger, "dataset", "dt") == [("visitors", DAY)]
+
+
+def test_a_day_without_metadata_holds_up_no_other(spark, folder):
+    land(f"{folder}/bronze", DAY, [visitor("a")])
+    assert follow(spark, folder) == [DAY]
+    write_lines(f"{folder}/bronze", "visitors", f"visitors_m1_page1_{NEXT}.ndjson",
+                [visitor("z", day=NEXT)], NEXT)
+    write_lines(f"{folder}/bronze", "visitors", "visitors_m1_page1_nowhere.ndjson", [visitor("y")])
+    assert follow(spark, folder) == [NEXT]
+    assert fact(spark, folder) == [("a", DAY), ("z", NEXT)]
+    found = landed_days.waiting(spark, f"{folder}/state").selectExpr(
+        "cast(dt as string) as dt", "concat_ws(',', datasets) as datasets", "files"
+    )
+    assert set(rows(found)) == {(None, "visitors", 1), (NEXT, "visitors", 1)}
+    land(f"{folder}/bronze", NEXT, [visitor("z", day=NEXT)])
+    assert follow(spark, folder) == [NEXT]
+    assert rows(read_silver(spark, f"{folder}/silver", "dim_media"), "dt") == [(DAY,), (NEXT,)]
+    assert rows(landed_days.waiting(spark, f"{folder}/state"), "dt") == [(None,)]
