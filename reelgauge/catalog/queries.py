@@ -366,7 +366,7 @@ def top_visitors(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def media_list(spark: SparkSession, sf: str) -> DataFrame:
-    return kpi.media_list(joins.with_title(media_gold(spark, sf), media_dim(spark, sf)))
+    return kpi.media_list(media_gold(spark, sf), media_dim(spark, sf))
 
 
 @query

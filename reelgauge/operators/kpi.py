@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.numbers import number, per_head, percent, zero_long
 from .filters import date_between, media_in
+from .joins import with_title
 
 # Column names of older gold files and what they are called here.
 ALIASES = {"d": "event_date", "plays": "total_plays", "loads": "total_loads"}
@@ -121,10 +122,15 @@ def top_visitors(visitors: DataFrame, n: int = 25) -> DataFrame:
     )
 
 
-def media_list(media: DataFrame) -> DataFrame:
-    """Distinct media ids, with titles where the frame has them, sorted for the selector."""
+def media_list(media: DataFrame, media_dim: DataFrame | None = None) -> DataFrame:
+    """Distinct media ids, with titles where the frame has them, sorted for the selector.
+
+    ``media_dim`` gives the titles to a frame without them, to one row per media.
+    """
     names = [c for c in ("media_id", "media_title") if c in media.columns]
     listed = media.where("media_id is not null").select(*names).distinct()
+    if media_dim is not None:
+        listed, names = with_title(listed, media_dim), ["media_id", "media_title"]
     return listed.orderBy(*reversed(names))
 
 

@@ -112,7 +112,8 @@ def fact_media_engagement(visitors: DataFrame) -> DataFrame:
 def fact_media_daily_raw(medias: DataFrame, media_dim: DataFrame | None = None) -> DataFrame:
     """The feed's own totals per media and day; the largest counters are the latest.
 
-    ``media_dim`` adds the title.
+    The order covers every value column, so the latest row is the greatest struct of them: one
+    aggregate that combines in each task. ``media_dim`` adds the title.
     """
     df = ensure_dt(ensure_media_id(medias, MEDIAS_FILE)).where("media_id is not null")
     rows = df.select(
@@ -126,5 +127,7 @@ def fact_media_daily_raw(medias: DataFrame, media_dim: DataFrame | None = None)
         "dt",
     )
     newest = ["load_count", "play_count", "hours_watched", "visitors", "engagement", "play_rate"]
-    kept = latest_per_key(rows, ["media_id", "dt"], newest)
+    values = [c for c in rows.columns if c not in ("media_id", "dt")]
+    latest = rows.groupBy("media_id", "dt").agg(F.max(F.struct(*newest)).alias("latest"))
+    kept = latest.select("media_id", *[F.col("latest")[c].alias(c) for c in values], "dt")
     return kept if media_dim is None else with_title(kept, media_dim, "title")
