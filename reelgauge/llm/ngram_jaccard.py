@@ -110,6 +110,14 @@ def bands(p: int, q: int, largest: int) -> tuple[Band, ...]:
     return tuple(out)
 
 
+def signature_rate(p: int, q: int, size: int = 500) -> float:
+    """Signatures per n-gram of a set of a common size; it sets the number of parts only."""
+    return sum(
+        (b.segments + size * b.loose / b.segments) / size
+        for b in bands(p, q, size) if b.low <= size <= b.partner
+    )
+
+
 class Sets:
     """The n-gram sets of the texts of a batch: sorted hashes, one set after the other."""
 
@@ -290,7 +298,7 @@ def linked_documents(
 
     member = stored(texts.mapInArrow(members, MEMBER), "sets")
     total = member.agg(F.sum("n_shingles")).first()[0] or 0
-    parts = max(LEAST_PARTS, math.ceil(0.3 * total / PART_SIGNATURES))
+    parts = max(LEAST_PARTS, math.ceil(signature_rate(p, q) * total / PART_SIGNATURES))
 
     def send(batches):
         for batch in batches:
