@@ -18,8 +18,10 @@ from reelgauge.llm.common import stored
 
 SHARDS = 24
 ROUNDS = 4
-# Rows of a bucket on average.
+# Rows of a bucket on average, and buckets at least: of all rows, and of the rows of a shard.
 BUCKET = 20_000
+LEAST_BUCKETS = 64
+LEAST_SHARD_BUCKETS = 4
 
 
 def ranked(rows: DataFrame, keys: list[str], order: list[str], name: str, buckets: int) -> DataFrame:
@@ -58,14 +60,15 @@ def balanced_shards(
     is spread over as many shards as it fills. An empty table gives an empty table.
     """
     total = items.count()
-    buckets = max(1, total // (shards * BUCKET))
+    buckets = max(LEAST_SHARD_BUCKETS, total // (shards * BUCKET))
+    all_buckets = max(LEAST_BUCKETS, total // BUCKET)
     # More than a fiftieth of a shard: there are fewer than 50 times the shards of these.
     large = max(2, total // (50 * shards))
     sizes = items.where(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("members"))
     linked = sizes.where("members > 1").select(group, "members")
     by_place = ranked(
         items.select("row_id", group).withColumn("_all", F.lit(0)), [], ["_all", "row_id"],
-        "place", max(1, total // BUCKET),
+        "place", all_buckets,
     )
     low, more = total // shards, total % shards
     start = F.when(
@@ -106,7 +109,7 @@ def balanced_shards(
     ).where("gap > 0").orderBy("shard").collect()  # one row per shard
     over = ranked(
         stay.where("not stays").select("row_id").withColumn("_level", F.lit(0)), [],
-        ["_level", "row_id"], "place", max(1, total // BUCKET),
+        ["_level", "row_id"], "place", all_buckets,
     )
     target, upto = F.lit(None).cast("int"), sum(r["gap"] for r in gaps)
     for r in reversed(gaps):
