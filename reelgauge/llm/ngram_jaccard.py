@@ -41,6 +41,8 @@ LEAST_PARTS = 32
 # N-grams a block of a family holds on average, if it is more than one document. Larger blocks take
 # longer in one task, smaller ones send each text to more of them.
 BLOCK_GRAMS = 400_000
+# What a match by chance costs, in signatures: it can join families that have nothing in common.
+CHANCE = 60
 
 
 @dataclass(frozen=True)
@@ -70,39 +72,46 @@ def thin(low: int, loose: int, strict: int, slack: int) -> bool:
     return slack < 2 * few + none + 3.8 * math.sqrt(4 * few + none)
 
 
+def price(middle: float, loose: int, strict: int) -> float:
+    """Cost of an allocation for a set of middle size: its signatures, and what chance matches of
+    small segments add, which shared passages make likely."""
+    m = loose + strict
+    chance = strict * math.exp(-middle / m) + loose * math.exp(1 - middle / m)
+    return m + middle * loose / m + CHANCE * chance
+
+
 def allocate(low: int, high: int, p: int, q: int) -> Band:
-    """The cheapest allocation of a band: the fewest signatures per set, with enough slack."""
+    """The cheapest allocation of a band with enough slack."""
     differ, partner, middle = high * (q - p) // p, high * q // p, (low + high) / 2
     if differ == 0:
         return Band(low, high, partner, 0, 1, 0)
     # Without any strict segment, two differences per loose one; right for every size.
     loose = differ // 2 + 1
-    best = loose + middle
+    best = price(middle, loose, 0)
     band = Band(low, high, partner, loose, 0, 2 * loose - differ - 1)
     for share in (0.0, 0.25, 0.5, 1.0):
         for slack in range(2 * high):
             need = differ + 1 + slack
             loose = math.ceil(share * need / 2)
             strict = max(0, need - 2 * loose)
-            cost = loose + strict + middle * loose / (loose + strict)
-            if cost >= best:
+            cost = price(middle, loose, strict)
+            if loose + strict >= best:
                 break
-            if not thin(low, loose, strict, 2 * loose + strict - differ - 1):
+            if cost < best and not thin(low, loose, strict, 2 * loose + strict - differ - 1):
                 best = cost
                 band = Band(low, high, partner, loose, strict, 2 * loose + strict - differ - 1)
                 break
     return band
 
 
-@lru_cache(maxsize=8)
-def bands(p: int, q: int, largest: int) -> tuple[Band, ...]:
-    """The bands up to a largest set size, for a similarity of ``p`` / ``q``."""
+def cut_bands(p: int, q: int, largest: int, width: int) -> tuple[Band, ...]:
+    """Bands up to a largest set size, each as wide as ``width`` steps of the similarity."""
     out, low = [], 1
     while low <= largest:
         high = low
         while (high + 1) * (q - p) // p == 0:
             high += 1
-        high = max(high, int(low * (q / p) ** 2))
+        high = max(high, int(low * (q / p) ** width))
         if low == 1:
             high = max(n for n in range(1, high + 1) if n * (q - p) // p == 0)
         out.append(allocate(low, high, p, q))
@@ -110,12 +119,27 @@ def bands(p: int, q: int, largest: int) -> tuple[Band, ...]:
     return tuple(out)
 
 
-def signature_rate(p: int, q: int, size: int = 500) -> float:
-    """Signatures per n-gram of a set of a common size; it sets the number of parts only."""
-    return sum(
-        (b.segments + size * b.loose / b.segments) / size
-        for b in bands(p, q, size) if b.low <= size <= b.partner
-    )
+def rate(found: tuple[Band, ...], size: int) -> float:
+    """Signatures per n-gram of a set of a size, over the bands it takes part in."""
+    mine = [b for b in found if b.low <= size <= b.partner]
+    return sum(b.segments + size * b.loose / b.segments for b in mine) / size
+
+
+@lru_cache(maxsize=8)
+def best_width(p: int, q: int) -> int:
+    """Wide bands suit the sizes in them less, of narrow ones a set takes part in more; the width
+    with the fewest signatures for sets of common sizes."""
+    def mean(width: int) -> float:
+        found = cut_bands(p, q, 1000, width)
+        return sum(rate(found, size) for size in range(100, 1000, 50))
+
+    return min(range(1, 5), key=mean)
+
+
+@lru_cache(maxsize=8)
+def bands(p: int, q: int, largest: int) -> tuple[Band, ...]:
+    """The bands up to a largest set size, for a similarity of ``p`` / ``q``."""
+    return cut_bands(p, q, largest, best_width(p, q))
 
 
 class Sets:
@@ -298,7 +322,7 @@ def linked_documents(
 
     member = stored(texts.mapInArrow(members, MEMBER), "sets")
     total = member.agg(F.sum("n_shingles")).first()[0] or 0
-    parts = max(LEAST_PARTS, math.ceil(signature_rate(p, q) * total / PART_SIGNATURES))
+    parts = max(LEAST_PARTS, math.ceil(rate(bands(p, q, 500), 500) * total / PART_SIGNATURES))
 
     def send(batches):
         for batch in batches:
