@@ -41,8 +41,13 @@ LEAST_PARTS = 32
 # N-grams a block of a family holds on average, if it is more than one document. Larger blocks take
 # longer in one task, smaller ones send each text to more of them.
 BLOCK_GRAMS = 400_000
+# Steps of the similarity a band is wide: wide bands suit the sizes in them less, of narrow ones a
+# set takes part in more.
+WIDTH = 2
 # What a match by chance costs, in signatures: it can join families that have nothing in common.
 CHANCE = 60
+# How much dearer an allocation is in which many sets need signatures for their empty segments.
+THIN = 20
 
 
 @dataclass(frozen=True)
@@ -87,8 +92,8 @@ def allocate(low: int, high: int, p: int, q: int) -> Band:
         return Band(low, high, partner, 0, 1, 0)
     # Without any strict segment, two differences per loose one; right for every size.
     loose = differ // 2 + 1
-    best = price(middle, loose, 0)
     band = Band(low, high, partner, loose, 0, 2 * loose - differ - 1)
+    best = price(middle, loose, 0) * (THIN if thin(low, loose, 0, band.slack) else 1)
     for share in (0.0, 0.25, 0.5, 1.0):
         for slack in range(2 * high):
             need = differ + 1 + slack
@@ -113,7 +118,7 @@ def cut_bands(p: int, q: int, largest: int, width: int) -> tuple[Band, ...]:
             high += 1
         high = max(high, int(low * (q / p) ** width))
         if low == 1:
-            high = max(n for n in range(1, high + 1) if n * (q - p) // p == 0)
+            high = max((n for n in range(1, high + 1) if n * (q - p) // p == 0), default=1)
         out.append(allocate(low, high, p, q))
         low = high + 1
     return tuple(out)
@@ -125,21 +130,10 @@ def rate(found: tuple[Band, ...], size: int) -> float:
     return sum(b.segments + size * b.loose / b.segments for b in mine) / size
 
 
-@lru_cache(maxsize=8)
-def best_width(p: int, q: int) -> int:
-    """Wide bands suit the sizes in them less, of narrow ones a set takes part in more; the width
-    with the fewest signatures for sets of common sizes."""
-    def mean(width: int) -> float:
-        found = cut_bands(p, q, 1000, width)
-        return sum(rate(found, size) for size in range(100, 1000, 50))
-
-    return min(range(1, 5), key=mean)
-
-
 @lru_cache(maxsize=8)
 def bands(p: int, q: int, largest: int) -> tuple[Band, ...]:
     """The bands up to a largest set size, for a similarity of ``p`` / ``q``."""
-    return cut_bands(p, q, largest, best_width(p, q))
+    return cut_bands(p, q, largest, WIDTH)
 
 
 class Sets:
