@@ -30,7 +30,8 @@ sobre su sus también un una y ya
 """.split())
 
 # Elements by their part in a page.
-SKIPPED = "script|style|noscript|template|svg|iframe|title|textarea|select|button|object"
+RAW_TEXT = "script|style|title|textarea"
+SKIPPED = "noscript|template|svg|iframe|select|button|object"
 INLINE = frozenset("""
 a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s
 samp small span strike strong sub sup time tt u var wbr
@@ -55,11 +56,18 @@ LINKS_INSIDE = 0.5
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({SKIPPED})\b[^>]*+(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
+    rf"|<({RAW_TEXT})(?=[\s/>])[^>]*+(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[/!?a-zA-Z][^>]*+(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+SKIPPED_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(script|style)(?=[\s/>])[^>]*+(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
+    rf"|<(/?)({SKIPPED})(?=[\s/>])[^>]*+>",
+    re.DOTALL | re.IGNORECASE,
+)
+SKIPPED_NAMES = frozenset(SKIPPED.split("|"))
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -85,6 +93,25 @@ def beside_by_name(attributes: str) -> bool:
     return False
 
 
+def skipped_parts(page: str) -> dict[int, int]:
+    """Where the skipped elements that are closed begin and end.
+
+    An end tag closes the last open element of its name, so one left open takes nothing with it.
+    """
+    opened: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    for match in SKIPPED_TAG.finditer(page):
+        if match[3] is None:
+            continue
+        starts = opened.setdefault(match[3].lower(), [])
+        if not match[2]:
+            if not match[0].endswith("/>"):
+                starts.append(match.start())
+        elif starts:
+            ends[starts.pop()] = match.end()
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in page order, with their text in one line each."""
     found: list[Block] = []
@@ -110,11 +137,12 @@ def blocks(page: str) -> list[Block]:
             if breaks and not part.isspace():
                 breaks = 0
 
-    for match in TOKEN.finditer(page):
+    skipped = skipped_parts(page)
+    while match := TOKEN.search(page, at):
         text(page[at:match.start()])
-        at = match.end()
+        at = skipped.get(match.start(), match.end())
         name = match[3]
-        if name is None:
+        if name is None or name.lower() in SKIPPED_NAMES:
             continue
         name, closing, attributes = name.lower(), bool(match[2]), match[4]
         if name == "a":

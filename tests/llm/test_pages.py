@@ -81,6 +81,28 @@ def test_odd_markup():
     assert len(main_text("<article>" + "<p>word word</p>" * 20_000 + "</article>").split("\n")) == 20_000
 
 
+def test_skipped_elements_end_where_they_end():
+    rest = f"<p>{PROSE * 3}</p><p>{PROSE * 4}</p>"
+    expected = "\n".join(["T", (PROSE * 3).strip(), (PROSE * 4).strip()])
+    for name in ("svg-icon", "button-group", "title-bar", "select-box", "object-fit", "script-x"):
+        tag = f"<{name} name='x'></{name}>"
+        assert main_text(f"<article><h1>T</h1>{tag}{rest}</article>") == expected
+        real = name.split("-")[0]
+        after = f"<{real}>gone</{real}>"
+        assert main_text(f"<article><h1>T</h1>{tag}{rest}{after}</article>") == expected
+    for name in ("button", "select", "object", "svg", "iframe", "template", "noscript"):
+        assert main_text(f"<article><h1>T</h1><{name} a=b>{rest}</article>") == expected
+        closed = f"<{name}>gone <{name.upper()} x>too</{name}> gone</{name}\n><{name}/>"
+        assert main_text(f"<article><h1>T</h1><{name}>{rest}{closed}</article>") == expected
+        assert main_text(f"<article><h1>T</h1>{closed}{rest}</article>") == expected
+        script = f"<script>'<{name}>'</script><!-- <{name}> -->"
+        assert main_text(f"<article>{script}<h1>T</h1>{rest}</{name}></article>") == expected
+    for name in ("script", "style", "title", "textarea"):
+        assert main_text(f"<article><h1>T</h1><{name}>{rest}") == "T"
+    page = "<article>" + "<button><svg>" * 20_000 + "<p>end</p></article>"
+    assert main_text(page) == "end"
+
+
 def test_rows(spark):
     rows = [(1, "u", None, "old"), (2, None, "", "old"), (3, "u", "<article><p>é😀</p>", "old")]
     pages = spark.createDataFrame(rows * 2, "page_id long, url string, html string, text string")
