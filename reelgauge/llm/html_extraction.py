@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -37,8 +38,10 @@ a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label
 samp small span strike strong sub sup time tt u var wbr
 """.split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BESIDE = frozenset("nav aside form footer menu dialog".split())
-# Words in class, id and role that mark what stands beside an article.
+BESIDE = frozenset("nav aside footer menu dialog".split())
+NEVER_BESIDE = frozenset("html body main".split())
+# Words in class, id and role that mark what stands beside an article, and words that
+# may stand with them: cookie-notice and left-sidebar are marks, no-sidebar and search-results not.
 BESIDE_NAMES = frozenset("""
 ad ads adv advert advertisement adverts banner sponsor sponsored promo promotion comment comments
 reply replies disqus respond sidebar widget nav navbar navigation menu breadcrumb breadcrumbs
@@ -47,6 +50,11 @@ subscription share sharing social related recommended pagination pager login sig
 copyright legal disclaimer hidden skip toolbar complementary contentinfo
 """.split())
 
+NEUTRAL_NAMES = frozenset("""
+left right top bottom main site global primary secondary area bar block box inner item items link
+links list outer section
+""".split())
+
 LENGTH_LOW = 70
 LENGTH_HIGH = 200
 STOP_LOW = 0.15
@@ -73,26 +81,65 @@ NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+@dataclass(eq=False)
+class Part:
+    """An element that makes what is in it article or beside.
+
+    Elements that are beside by their name, and forms, may turn out to hold the article.
+    """
+
+    beside: bool
+    doubtful: bool = False
+    rich: int = 0
+
+
 @dataclass
 class Block:
-    """A run of text between two block elements."""
+    """A run of text between two block elements, with the parts it is in, the innermost last."""
 
-    inside: bool
-    beside: bool
+    within: tuple[Part, ...] = ()
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     text: str = ""
     label: str = ""
+    inside: bool = False
+    beside: bool = False
+
+    @cached_property
+    def links(self) -> float:
+        return len(" ".join(html.unescape("".join(self.linked)).split())) / len(self.text)
+
+    @cached_property
+    def stops(self) -> float:
+        words = LETTERS.findall(self.text.lower())
+        return sum(map(STOP_WORDS.__contains__, words)) / len(words) if words else 0.0
 
 
 def beside_by_name(attributes: str) -> bool:
+    """Whether a whole class, id or role is a mark: of its words all, but for neutral ones."""
     for match in NAMED.finditer(attributes):
-        value = match[1] or match[2] or match[3] or ""
-        if any(part.lower() in BESIDE_NAMES for part in NAME_PART.findall(value)):
-            return True
+        for token in (match[1] or match[2] or match[3] or "").split():
+            words = {part.lower() for part in NAME_PART.findall(token)}
+            if not words.isdisjoint(BESIDE_NAMES) and words <= BESIDE_NAMES | NEUTRAL_NAMES:
+                return True
     return False
 
 
+def part_of(name: str, attributes: str, within: tuple[Part, ...]) -> Part | None:
+    """What an element makes of what is in it; None: nothing new."""
+    if name in BESIDE:
+        return Part(True)
+    # An article within another, or within what stands beside, may be a comment or a teaser.
+    named = name not in NEVER_BESIDE and (name != "article" or bool(within))
+    if name == "form" or named and "=" in attributes and beside_by_name(attributes):
+        return Part(True, doubtful=True)
+    if name in ("article", "main"):
+        return Part(False)
+    if name == "header" and all(part.beside for part in within):
+        return Part(True)
+    return None
+
+
 def skipped_parts(page: str) -> dict[int, int]:
     """Where the skipped elements that are closed begin and end.
 
@@ -115,10 +162,10 @@ def skipped_parts(page: str) -> dict[int, int]:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in page order, with their text in one line each."""
     found: list[Block] = []
-    # Open elements that matter: their name, and whether what is in them is article, beside, or neither.
-    opened: list[tuple[str, str]] = []
-    place, links, breaks, at = "", 0, 0, 0
-    block = Block(False, False)
+    # Open elements that matter: their name, and the parts that what is in them is in.
+    opened: list[tuple[str, tuple[Part, ...]]] = []
+    links, breaks, at = 0, 0, 0
+    block = Block()
 
     def close() -> None:
         nonlocal block, breaks
@@ -126,7 +173,7 @@ def blocks(page: str) -> list[Block]:
             block.text = " ".join(html.unescape("".join(block.parts)).split())
             if block.text:
                 found.append(block)
-        block, breaks = Block(place == "article", place == "beside"), 0
+        block, breaks = Block(opened[-1][1] if opened else ()), 0
 
     def text(part: str) -> None:
         nonlocal breaks
@@ -162,43 +209,52 @@ def blocks(page: str) -> list[Block]:
             if name == "p":  # a paragraph ends the one before it
                 while opened and opened[-1][0] == "p":
                     opened.pop()
-            part = ""
-            if name in BESIDE or attributes and "=" in attributes and beside_by_name(attributes):
-                part = "beside"
-            elif name in ("article", "main"):
-                part = "article"
-            elif name == "header" and not any(p == "article" for _, p in opened):
-                part = "beside"
+            within = opened[-1][1] if opened else ()
+            part = part_of(name, attributes, within)
             if part or name not in INLINE and name not in ("p", "li", "html", "body", "head"):
-                opened.append((name, part))
+                opened.append((name, (*within, part) if part else within))
         if name not in INLINE or opened and opened[-1][0] == name:
             links = 0 if name not in INLINE else links
-            place = next((p for _, p in reversed(opened) if p), "")
             close()
-        else:
-            place = next((p for _, p in reversed(opened) if p), "")
     text(page[at:])
     close()
+    settle(found)
     return found
 
 
+def settle(found: list[Block]) -> None:
+    """Whether blocks are article or beside: what their innermost part says.
+
+    A doubtful part with more than half of the page's long text rich in stop words says nothing;
+    its blocks are judged like those around it.
+    """
+    total = 0
+    if any(part.doubtful for b in found for part in b.within):
+        for b in found:
+            if len(b.text) >= LENGTH_LOW and b.links <= LINKS_OUTSIDE and b.stops >= STOP_HIGH:
+                total += len(b.text)
+                for part in b.within:
+                    part.rich += len(b.text)
+    for b in found:
+        told = [part for part in b.within if not part.doubtful or 2 * part.rich <= total]
+        b.beside = bool(told) and told[-1].beside
+        b.inside = bool(told) and not told[-1].beside
+
+
 def label(block: Block, has_article: bool) -> str:
     """What a block is by itself: good, bad, or open (near or short)."""
     if block.beside or has_article and not block.inside:
         return "bad"
     size = len(block.text)
-    linked = len(" ".join(html.unescape("".join(block.linked)).split())) / size
-    if linked > (LINKS_INSIDE if block.inside else LINKS_OUTSIDE):
+    if block.links > (LINKS_INSIDE if block.inside else LINKS_OUTSIDE):
         return "bad"
     if "©" in block.text and size < LENGTH_HIGH and not block.inside:
         return "bad"
     if size < LENGTH_LOW:
         return "short"
-    words = LETTERS.findall(block.text.lower())
-    stops = sum(map(STOP_WORDS.__contains__, words)) / len(words) if words else 0.0
-    if stops >= STOP_HIGH:
+    if block.stops >= STOP_HIGH:
         return "good" if size >= LENGTH_HIGH or block.inside else "near"
-    if stops >= STOP_LOW:
+    if block.stops >= STOP_LOW:
         return "good" if block.inside else "near"
     return "near" if block.inside else "bad"
 

@@ -103,6 +103,26 @@ def test_skipped_elements_end_where_they_end():
     assert main_text(page) == "end"
 
 
+def test_names_and_forms_around_the_whole_text():
+    rest = f"<p>{PROSE * 3}</p><p>Short.</p><p>{PROSE * 4}</p>"
+    expected = "\n".join([(PROSE * 3).strip(), "Short.", (PROSE * 4).strip()])
+    gone = f"<div class=sidebar><p>{PROSE * 3}</p></div><nav><p>{PROSE * 3}</p></nav>"
+    for name in ("body class='single-post no-sidebar'", "div class='content has-sidebar'",
+                 "main class='search-results'", "form id=aspnetForm", "body class=search",
+                 "html class=hidden", "main class=search", "article class=comments", "div class=widget"):
+        tag = name.split()[0]
+        assert main_text(f"<{name}>{rest}</{tag}>") == expected, name
+        assert main_text(f"<{name}>{gone}{rest}{gone}</{tag}>") == expected, name
+    page = f"<form><div id=search><div class=modal>{gone}<div>{rest}</div>{gone}</div></div></form>"
+    assert main_text(page) == expected
+    article = f"<article>{rest}<div class=left-sidebar><p>{PROSE * 3}</p></div></article>"
+    assert main_text(f"<form id=f>{gone}{article}{gone}</form>") == expected
+    comment = f"<div id=comments><article class='comment'><p>{PROSE * 2}</p></article></div>"
+    assert main_text(f"<main>{rest}{comment}</main>") == expected
+    assert main_text(f"<main>{rest}</main>{comment * 9}") == expected
+    assert main_text(f"<aside>{rest}</aside>") == main_text(f"<footer>{rest}</footer>") == ""
+
+
 def test_rows(spark):
     rows = [(1, "u", None, "old"), (2, None, "", "old"), (3, "u", "<article><p>é😀</p>", "old")]
     pages = spark.createDataFrame(rows * 2, "page_id long, url string, html string, text string")
