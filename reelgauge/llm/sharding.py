@@ -1,9 +1,12 @@
 """Shards of equal counts by balanced label propagation.
 
 Documents that are linked (here: that share a group) pull each other into one shard. Every document
-starts in the shard its place in the table gives. In each round a linked document wants the shard
-that holds most of its group; the moves wanted from one shard to another are granted up to a quota:
-as many as want to go the opposite way, and what room is left. Documents without links give way.
+starts in the shard its place in the table gives. Large groups get their shards first, the largest
+ones whole shards. In each round a document of the others wants the shard that holds most of its
+group; the moves wanted from one shard to another are granted up to a quota: as many as want to go
+the opposite way, and what room is left. Then groups still apart, and those their shard has no room
+for, go whole to shards with room; only a group that fits nowhere whole stays split. Documents
+without links give way.
 
 Everything is DataFrame code. Ranks within a shard never sort a whole shard in one task: rows get a
 bucket, buckets are counted, and a running sum of the counts gives each bucket its first rank.
@@ -11,6 +14,8 @@ bucket, buckets are counted, and a running sum of the counts gives each bucket i
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,32 +29,32 @@ LEAST_BUCKETS = 64
 LEAST_SHARD_BUCKETS = 4
 
 
-def ranked(rows: DataFrame, keys: list[str], order: list[str], name: str, buckets: int) -> DataFrame:
+def ranked(
+    rows: DataFrame, keys: list[str], order: list[str], name: str, buckets: int,
+    weight: str | None = None,
+) -> DataFrame:
     """``rows`` with their rank from 0 within ``keys``: by the first column of ``order``, which
-    holds few values, then by bucket, then by the rest of ``order``.
+    holds few values, then by bucket, then by the rest of ``order``. With ``weight`` it is the sum
+    of the weights before a row.
 
     Two levels: a window over the few counts of the buckets, and one over each bucket.
     """
     level, rest = order[0], order[1:]
     dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(*rest), F.lit(buckets)).cast("int"))
     at = [*keys, level, "_bucket"]
-    counts = dealt.groupBy(*at).agg(F.count("*").alias("_n"))
+    each = F.col(weight) if weight else F.lit(1)
+    counts = dealt.groupBy(*at).agg(F.sum(each).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(level, "_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     firsts = counts.select(*at, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    within = Window.partitionBy(*at).orderBy(*rest)
+    within = Window.partitionBy(*at).orderBy(*rest).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        dealt.withColumn("_rank", F.row_number().over(within) - 1).join(firsts, at)
+        dealt.withColumn("_rank", F.sum(each).over(within) - each).join(firsts, at)
         .withColumn(name, F.col("_first") + F.col("_rank")).drop("_bucket", "_first", "_rank")
     )
 
 
-def capacity(total: int, shards: int, shard: Column) -> Column:
-    """Rows of a shard: all alike, the first ones one more."""
-    return F.lit(total // shards) + F.when(shard < total % shards, 1).otherwise(0)
-
-
 def balanced_shards(
     items: DataFrame, group: str, shards: int = SHARDS, rounds: int = ROUNDS,
 ) -> DataFrame:
@@ -57,7 +62,8 @@ def balanced_shards(
 
     ``items`` has ``row_id``, unique, and a ``group`` column; rows with the same group are linked,
     null groups have no links. Counts of shards differ by at most one. A group larger than a shard
-    is spread over as many shards as it fills. An empty table gives an empty table.
+    is spread over as many shards as it fills; a smaller one is split only if no shard has room for
+    it beside the groups placed before it. An empty table gives an empty table.
     """
     total = items.count()
     buckets = max(LEAST_SHARD_BUCKETS, total // (shards * BUCKET))
@@ -76,77 +82,203 @@ def balanced_shards(
     ).otherwise(more + F.floor((F.col("place") - more * (low + 1)) / max(1, low)))
     placed = stored(by_place.select("row_id", group, start.cast("int").alias("shard")), "start")
 
+    most = [low + (s < more) for s in range(shards)]
     hot = linked.where(F.col("members") > large)
-    movable = stored(
-        placed.join(F.broadcast(hot), group).unionByName(
-            placed.join(F.broadcast(hot.select(group)), group, "left_anti")
-            .join(linked.where(F.col("members") <= large), group)
-        ),
-        "linked",
-    )
+    far, room = spread(placed.join(F.broadcast(hot), group), group, most, buckets, all_buckets)
+    others = placed.join(F.broadcast(hot.select(group)), group, "left_anti")
+    small = linked.where(F.col("members") <= large)
+    movable = stored(others.join(small, group), "linked")
     for _ in range(rounds):
-        movable, moved = propagate(movable, group, shards, total, large, buckets)
+        movable, moved = propagate(movable, group, room, buckets)
         if not moved:
             break
+    near, room = settled(movable, group, room, buckets, all_buckets)
 
     # Documents without links fill what the linked ones leave free, staying where they can.
-    single = placed.join(
-        linked.where(F.col("members") <= large).select(group), group, "left_anti"
-    ).join(F.broadcast(hot.select(group)), group, "left_anti").select("row_id", "shard")
-    taken = movable.groupBy("shard").agg(F.count("*").alias("taken"))
-    every = items.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
-    room = every.join(F.broadcast(taken), "shard", "left").select(
-        "shard",
-        (capacity(total, shards, F.col("shard")) - F.coalesce("taken", F.lit(0))).alias("room"),
-    )
+    single = others.join(small.select(group), group, "left_anti").select("row_id", "shard")
     stay = ranked(
         single.withColumn("_level", F.lit(0)), ["shard"], ["_level", "row_id"], "place", buckets
-    ).join(F.broadcast(room), "shard")
-    stay = stored(stay.select("row_id", "shard", (F.col("place") < F.col("room")).alias("stays")), "stay")
-    kept = stay.where("stays").groupBy("shard").agg(F.count("*").alias("kept"))
-    gaps = room.join(F.broadcast(kept), "shard", "left").select(
-        "shard", (F.col("room") - F.coalesce("kept", F.lit(0))).alias("gap")
-    ).where("gap > 0").orderBy("shard").collect()  # one row per shard
+    )
+    stay = stored(
+        stay.select("row_id", "shard", (F.col("place") < per_shard(room)).alias("stays")), "stay"
+    )
+    kept = {r["shard"]: r["n"] for r in stay.where("stays").groupBy("shard").agg(
+        F.count("*").alias("n")).collect()}  # one row per shard
     over = ranked(
         stay.where("not stays").select("row_id").withColumn("_level", F.lit(0)), [],
         ["_level", "row_id"], "place", all_buckets,
     )
-    target, upto = F.lit(None).cast("int"), sum(r["gap"] for r in gaps)
-    for r in reversed(gaps):
-        target = F.when(F.col("place") < upto, F.lit(r["shard"])).otherwise(target)
-        upto -= r["gap"]
+    gaps = [(s, n - kept.get(s, 0)) for s, n in enumerate(room)]
     final = (
-        movable.select("row_id", "shard")
+        far.unionByName(near)
         .unionByName(stay.where("stays").select("row_id", "shard"))
-        .unionByName(over.select("row_id", target.alias("shard")))
+        .unionByName(over.select("row_id", filling(gaps).alias("shard")))
         .withColumn("_level", F.lit(0))
     )
     slots = ranked(final, ["shard"], ["_level", "row_id"], "slot", buckets)
     return items.join(slots.select("row_id", "shard", F.col("slot").cast("long").alias("slot")), "row_id")
 
 
+def per_shard(values: list[int]) -> Column:
+    """The value of a row's shard."""
+    return F.array(*map(F.lit, values))[F.col("shard")]
+
+
+def filling(gaps: list[tuple[int, int]]) -> Column:
+    """The shard for a ``place``, when the places fill the gaps one after the other."""
+    target, upto = F.lit(None).cast("int"), sum(n for _, n in gaps)
+    for shard, n in reversed(gaps):
+        target = F.when(F.col("place") < upto, F.lit(shard)).otherwise(target)
+        upto -= n
+    return target
+
+
+def steps(shares: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Shards with the first place beyond their share, when the shares follow each other."""
+    upto = list(accumulate(n for _, n in shares))
+    return [(u, shard) for u, (shard, _) in zip(upto, shares)]
+
+
+STEPS = "steps array<struct<upto: bigint, shard: int>>"
+
+
+def step_taken() -> Column:
+    """The shard of the first of the ``steps`` beyond a ``place``; null: none."""
+    return F.get(F.filter("steps", lambda s: s["upto"] > F.col("place")), F.lit(0))["shard"]
+
+
+def spread(
+    rows: DataFrame, group: str, most: list[int], buckets: int, all_buckets: int,
+) -> tuple[DataFrame, list[int]]:
+    """Shards of the large groups, of which there are few, and the room left per shard."""
+    held = rows.groupBy(group, "members", "shard").agg(F.count("*").alias("here"))
+    groups: dict = {}
+    for r in held.collect():  # few groups, a row per shard at most
+        groups.setdefault((-r["members"], r[group]), {})[r["shard"]] = r["here"]
+    room, keeps, goes = list(most), [], []
+    for (size, name), here in sorted(groups.items()):
+        given = shares(-size, here, room)
+        keeps += [(name, s, min(n, here.get(s, 0))) for s, n in given.items()]
+        goes.append((name, steps([(s, n - min(n, here.get(s, 0))) for s, n in given.items()])))
+        room = [n - given.get(s, 0) for s, n in enumerate(room)]
+    spark, kind = rows.sparkSession, rows.schema[group].dataType.simpleString()
+    keep = spark.createDataFrame(keeps, f"`{group}` {kind}, shard int, keep bigint")
+    go = spark.createDataFrame(goes, f"`{group}` {kind}, {STEPS}")
+    at = rows.select("row_id", group, "shard").withColumn("_level", F.lit(0))
+    own = stored(
+        ranked(at, [group, "shard"], ["_level", "row_id"], "place", buckets)
+        .join(F.broadcast(keep), [group, "shard"], "left")
+        .select("row_id", group, "shard", "_level",
+                (F.col("place") < F.coalesce("keep", F.lit(0))).alias("stays")),
+        "large",
+    )
+    moves = ranked(own.where("not stays"), [group], ["_level", "row_id"], "place", all_buckets)
+    moved = moves.join(F.broadcast(go), group).select("row_id", step_taken().alias("shard"))
+    return stored(own.where("stays").select("row_id", "shard").unionByName(moved), "large"), room
+
+
+def shares(size: int, here: dict[int, int], room: list[int]) -> dict[int, int]:
+    """How many of a group go to which shard: all to one with room, where most of them are, the
+    fullest of these; else the emptiest shard is filled and the rest looked at again."""
+    out: dict[int, int] = {}
+    while size:
+        fits = [s for s, n in enumerate(room) if s not in out and n >= size]
+        if fits:
+            out[max(fits, key=lambda s: (here.get(s, 0), -room[s], -s))] = size
+            break
+        s = max((s for s in range(len(room)) if s not in out),
+                key=lambda s: (room[s], here.get(s, 0), -s))
+        out[s] = room[s]
+        size -= room[s]
+    return out
+
+
+def favoured(movable: DataFrame, group: str, room: list[int]) -> DataFrame:
+    """The shard with room that holds most of a group, and how much of it; ties by hash, so that
+    no shard is favoured by all."""
+    held = movable.groupBy(group, "members", "shard").agg(F.count("*").alias("here"))
+    rank = F.struct(per_shard(room) > 0, "here", F.xxhash64(group, "shard"))
+    return held.groupBy(group, "members").agg(
+        F.max_by(F.struct("shard", "here"), rank).alias("best")
+    ).select(group, "members", F.col("best.shard").alias("goal"), F.col("best.here").alias("here"))
+
+
+def settled(
+    movable: DataFrame, group: str, room: list[int], buckets: int, all_buckets: int,
+) -> tuple[DataFrame, list[int]]:
+    """Shards of the documents of small groups, and the room left per shard.
+
+    A group goes to its favoured shard as far as there is room, larger ones first, of like size
+    those that are whole there. The others are counted by size, and each size, from the largest, is
+    dealt to the shards that hold it whole. What fits nowhere fills the rest in the order of groups.
+    """
+    spark, free, room = movable.sparkSession, room, list(room)
+    best = favoured(movable, group, room).withColumnRenamed("goal", "shard").withColumn(
+        "_level", -2 * F.floor(F.log2(F.col("members").cast("double")))
+        - F.when(F.col("here") == F.col("members"), 1).otherwise(0),
+    )
+    best = stored(
+        ranked(best, ["shard"], ["_level", group], "place", buckets, "members").select(
+            group, "members", "shard",
+            (F.col("place") + F.col("members") <= per_shard(room)).alias("fits"),
+        ),
+        "groups",
+    )
+    for r in best.where("fits").groupBy("shard").agg(F.sum("members").alias("n")).collect():
+        room = [n - r["n"] if s == r["shard"] else n for s, n in enumerate(room)]
+    # One row per size: at most the square root of twice the rows.
+    sizes = best.where("not fits").groupBy("members").agg(F.count("*").alias("n")).collect()
+    dealt = []
+    for r in sorted(sizes, key=lambda r: -r["members"]):
+        size, left, given = r["members"], r["n"], []
+        for s, n in enumerate(room):
+            take = min(left, n // size)
+            given.append((s, take))
+            room[s] -= take * size
+            left -= take
+        dealt.append((size, steps([g for g in given if g[1]])))
+    deal = spark.createDataFrame(dealt, f"members bigint, {STEPS}")
+    rest = best.where("not fits").select(group, "members").withColumn("_level", F.lit(0))
+    rest = stored(
+        ranked(rest, ["members"], ["_level", group], "place", all_buckets)
+        .join(F.broadcast(deal), "members").select(group, "members", step_taken().alias("shard")),
+        "groups",
+    )
+    whole = best.where("fits").select(group, "shard").unionByName(
+        rest.where("shard is not null").select(group, "shard")
+    )
+    apart = ranked(
+        rest.where("shard is null").select(group, "members").withColumn("_level", F.lit(0)), [],
+        ["_level", group], "_before", all_buckets, "members",
+    )
+    members = movable.select("row_id", group)
+    number = F.row_number().over(Window.partitionBy(group).orderBy("row_id")) - 1
+    split = members.join(apart.select(group, "_before"), group).withColumn(
+        "place", F.col("_before") + number
+    )
+    gaps = sorted(enumerate(room), key=lambda g: -g[1])
+    found = stored(
+        members.join(whole, group).select("row_id", "shard").unionByName(
+            split.select("row_id", filling(gaps).alias("shard"))
+        ),
+        "settled",
+    )
+    taken = {r["shard"]: r["n"] for r in found.groupBy("shard").agg(
+        F.count("*").alias("n")).collect()}  # one row per shard
+    return found, [n - taken.get(s, 0) for s, n in enumerate(free)]
+
+
 def propagate(
-    movable: DataFrame, group: str, shards: int, total: int, large: int, buckets: int,
+    movable: DataFrame, group: str, room: list[int], buckets: int,
 ) -> tuple[DataFrame, int]:
     """One round: the linked documents with their new shard, and how many moved."""
-    held = movable.groupBy(group, "members", "shard").agg(F.count("*").alias("here"))
-    ordered = Window.partitionBy(group).orderBy(F.desc("here"), "shard")
-    # The shards a group wants: the fullest, as many as it needs.
-    needs = F.ceil(F.col("members") / max(1, total // shards))
-    wanted = held.withColumn("place", F.row_number().over(ordered) - 1).where(F.col("place") < needs)
-    goals = wanted.groupBy(group, "members").agg(
-        F.sort_array(F.collect_list(F.struct("place", "shard", "here"))).alias("goals")
-    )
-    pick = F.col("goals")[F.pmod(F.xxhash64("row_id"), F.size("goals")).cast("int")]
-    already = F.exists("goals", lambda g: g["shard"] == F.col("shard"))
-    want = F.when(already, F.col("shard")).otherwise(pick["shard"])
-    is_hot = F.col("members") > large
-    cold = movable.where(~is_hot).join(goals.where(~is_hot).drop("members"), group)
-    hot = movable.where(is_hot).join(F.broadcast(goals.where(is_hot).drop("members")), group)
+    goals = favoured(movable, group, room).drop("members")
+    open_ = F.array(*(F.lit(n > 0) for n in room))[F.col("goal")]
     wishes = stored(
-        cold.unionByName(hot).select(
-            "row_id", group, "members", "shard", want.alias("goal"),
-            (-F.floor(F.log2(pick["here"].cast("double")))).cast("int").alias("gain"),
+        movable.join(goals, group).select(
+            "row_id", group, "members", "shard",
+            F.when(open_, F.col("goal")).otherwise(F.col("shard")).alias("goal"),
+            (-F.floor(F.log2(F.col("here").cast("double")))).cast("int").alias("gain"),
         ),
         "wishes",
     )
@@ -157,7 +289,7 @@ def propagate(
     if not asked:
         return movable, 0
     now = {r["shard"]: r["n"] for r in wishes.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    quota = quotas(asked, now, [total // shards + (s < total % shards) for s in range(shards)])
+    quota = quotas(asked, now, room)
     rows = [(a, b, n) for (a, b), n in quota.items() if n > 0]
     granted = movable.sparkSession.createDataFrame(rows, "shard int, goal int, quota long")
     accepted = (

@@ -50,6 +50,24 @@ def test_copies_come_together(spark):
     assert len(split) <= 2, {t: (groups[t], where[t]) for t in split}
 
 
+def test_groups_stay_whole_beside_a_hot_one(spark):
+    rng = random.Random(3)
+    texts = ["the hot text"] * 2000
+    for size, count in ((2, 500), (3, 300), (20, 100)):
+        texts += [f"group {size} {i}" for i in range(count)] * size
+    texts += [f"single {i}" for i in range(100)]
+    rng.shuffle(texts)
+    documents = list(enumerate(texts))
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    rows = sharded_documents(frame, shards=6).collect()
+    check_shards(rows, documents, 6)
+    where = defaultdict(set)
+    for r in rows:
+        where[texts[r["doc_id"]]].add(r["shard"])
+    assert len(where.pop("the hot text")) == 2
+    assert sum(len(shards) > 1 for shards in where.values()) == 0
+
+
 def test_shards_of_odd_rows(spark):
     documents = [(d, t) for d, t, _ in ROWS]
     frame = odd_documents(spark).withColumns({"shard": F.lit("old"), "slot": F.lit(1)})
