@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
@@ -66,3 +67,27 @@ def test_run_gives_the_last_stage(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert found.columns == [*COLUMNS, "ids", "decoded"]
     assert 0 < found.count() < 200
+
+
+def test_decontaminate_against_the_plain_table(spark):
+    from reelgauge.llm.decontamination import budget, units
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("length(text) <= 800")
+    texts = [(r["doc_id"], units(r["text"])) for r in docs.collect()]
+    items = [r["text"] for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    # The plain table of all texts at once, one after the other; nothing carries over to the next.
+    first = np.cumsum([0, *(len(t) + 1 for _, t in texts)])[:-1]
+    chars = np.concatenate([np.r_[-1, t.astype(np.int64)] for _, t in texts])
+    shift = np.arange(len(chars)) + (1 << 20) * np.searchsorted(first, np.arange(len(chars)), "right")
+    dirty = np.zeros(len(texts), bool)
+    for item in items:
+        row = np.zeros(len(chars), np.int64)
+        for i, char in enumerate(units(item)):
+            new = np.minimum(row + 1, np.r_[0, row[:-1]] + (chars != char))
+            new[first] = i + 1
+            row = np.minimum.accumulate(new - shift) + shift
+        dirty |= np.minimum.reduceat(row, first) <= budget(len(units(item)))
+    expected = {d for (d, _), gone in zip(texts, dirty) if not gone}
+    assert 0 < len(expected) < len(texts)
+    kept = corpus_pipeline.decontaminate(spark, docs, FOLDER).collect()
+    assert {r["doc_id"] for r in kept} == expected and len(kept) == len(expected)
