@@ -10,6 +10,7 @@ from reelgauge.llm.common import table
 from reelgauge.llm.decontamination import benchmark_matches
 from reelgauge.llm.html_extraction import extract_text
 from reelgauge.llm.ngram_jaccard import linked_documents
+from reelgauge.llm.personal_data import BASE_KINDS, find_personal_data, listed
 from reelgauge.llm.quality_classifier import held_out, learn, quality_scores
 from reelgauge.llm.sentencepiece_codec import encode_decode
 from reelgauge.llm.sharding import sharded_documents
@@ -100,6 +101,22 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans counted and digested, and all spans."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_personal_data(documents)
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [
+        F.size(F.filter(kinds, lambda k: k == F.lit(kind))).cast("long").alias(f"n_{kind}")
+        for kind in BASE_KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 LLM_QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sharding": op2_sharding,
@@ -111,6 +128,7 @@ LLM_QUERIES = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_topk_search": op10_topk_search,
+    "op12_personal_data": op12_personal_data,
 }
 
 LLM_ORACLE: dict[str, str] = {
