@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from reelgauge.llm.common import table
 from reelgauge.llm.decontamination import benchmark_matches
+from reelgauge.llm.filter_audit import audit
 from reelgauge.llm.html_extraction import extract_text
 from reelgauge.llm.ngram_jaccard import linked_documents
 from reelgauge.llm.personal_data import BASE_KINDS, find_personal_data, listed
@@ -117,6 +118,12 @@ def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters on every document, in all 120 orders, per language."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return audit(documents, table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_sharding": op2_sharding,
@@ -129,6 +136,7 @@ LLM_QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_topk_search": op10_topk_search,
     "op12_personal_data": op12_personal_data,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 LLM_ORACLE: dict[str, str] = {
@@ -194,4 +202,62 @@ LLM_ORACLE: dict[str, str] = {
                 PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
             FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op13_filter_audit": """
+        WITH words AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        fails AS (
+            SELECT part, doc_id,
+                   {'A': len(w) < 200,
+                    'B': 100 * len(list_distinct(w)) < 50 * len(w),
+                    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+                    'D': regexp_matches(t, '[#$%&*|]'),
+                    'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS f
+            FROM words),
+        marks AS (
+            SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good,
+                   coalesce(bool_or(toxic = 1), false) AS toxic
+            FROM labels GROUP BY doc_id),
+        cells AS (
+            SELECT part, concat(CASE WHEN f.A THEN 'A' ELSE '' END,
+                                CASE WHEN f.B THEN 'B' ELSE '' END,
+                                CASE WHEN f.C THEN 'C' ELSE '' END,
+                                CASE WHEN f.D THEN 'D' ELSE '' END,
+                                CASE WHEN f.E THEN 'E' ELSE '' END) AS failing,
+                   count(*) AS n, count(*) FILTER (WHERE good) AS n_good,
+                   count(*) FILTER (WHERE toxic) AS n_toxic
+            FROM fails LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+        orders AS (
+            SELECT concat(a, b, c, d, e) AS filter_order
+            FROM unnest(['A', 'B', 'C', 'D', 'E']) p(a), unnest(['A', 'B', 'C', 'D', 'E']) q(b),
+                 unnest(['A', 'B', 'C', 'D', 'E']) r(c), unnest(['A', 'B', 'C', 'D', 'E']) s(d),
+                 unnest(['A', 'B', 'C', 'D', 'E']) u(e)
+            WHERE len(list_distinct([a, b, c, d, e])) = 5),
+        steps AS (
+            SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own,
+                   left(filter_order, step - 1) AS before
+            FROM orders, unnest([1, 2, 3, 4, 5]) t(step)),
+        judged AS (
+            SELECT c.*, s.*, contains(failing, own) AS fails,
+                   len(translate(failing, before, '')) < len(failing) AS gone
+            FROM cells c CROSS JOIN steps s),
+        counted AS (
+            SELECT part, filter_order, step, own,
+                   sum(n) FILTER (WHERE NOT gone AND NOT fails) AS kept,
+                   sum(n) FILTER (WHERE NOT gone AND fails) AS removed,
+                   sum(n) FILTER (WHERE gone AND fails) AS redundant,
+                   sum(n) FILTER (WHERE failing = own) AS unique_fails,
+                   sum(n_good) FILTER (WHERE NOT gone AND fails) AS good_lost,
+                   sum(n_toxic) FILTER (WHERE NOT gone AND fails) AS toxic_lost
+            FROM judged GROUP BY ALL)
+        SELECT part, filter_order, step,
+               CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+               CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+               CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+               CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+               CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+               CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+               CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM counted""",
 }
