@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from reelgauge.llm.common import table
 from reelgauge.llm.decontamination import benchmark_matches
 from reelgauge.llm.filter_audit import audit
+from reelgauge.llm.hard_negatives import hard_negatives
 from reelgauge.llm.html_extraction import extract_text
 from reelgauge.llm.ngram_jaccard import linked_documents
 from reelgauge.llm.personal_data import BASE_KINDS, find_personal_data, listed
@@ -102,6 +103,13 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 positives of every 100th vector and up to 5 hard negatives of each, by shared lists."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0, label)
+
+
 def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans counted and digested, and all spans."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -135,6 +143,7 @@ LLM_QUERIES = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_topk_search": op10_topk_search,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_personal_data": op12_personal_data,
     "op13_filter_audit": op13_filter_audit,
 }
@@ -202,6 +211,34 @@ LLM_ORACLE: dict[str, str] = {
                 PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
             FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT DISTINCT ON (vec_id) vec_id, label, e
+            FROM (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10
+                                           ELSE label END AS BIGINT) AS label,
+                         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+                  FROM embeddings
+                  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(
+                      [x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0)
+            ORDER BY vec_id, label, e),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+                   row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r
+            FROM scored WHERE same),
+        ranked AS (
+            SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score,
+                   score AS negative_score, CAST(row_number() OVER (
+                       PARTITION BY anchor_id, positive_id
+                       ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM positives JOIN scored USING (anchor_id)
+            WHERE r <= 5 AND NOT same
+              AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+        FROM ranked WHERE rank <= 5""",
     "op13_filter_audit": """
         WITH words AS (
             SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
