@@ -187,6 +187,42 @@ PER_DAY_LATEST = """
 f as (
   select * from fd
   qualify row_number() over (partition by media_id, visitor_id order by dt desc) = 1)"""
+
+
+def gained(source: str, target: str, idle: bool) -> str:
+    """Running totals of ``source`` as increments in ``target``."""
+    before = """last_value({0} ignore nulls) over (
+      partition by media_id, visitor_id order by dt
+      rows between unbounded preceding and 1 preceding) as {0}_before"""
+    gain = "case when {0} < {0}_before then {0} else {0} - coalesce({0}_before, 0) end as {0}"
+    totals = "load_count", "play_count"
+    kept = "" if idle else "\n  where coalesce(load_count, 0) <> 0 or coalesce(play_count, 0) <> 0"
+    return f"""
+{target}_before as (
+  select *, {', '.join(before.format(t) for t in totals)} from {source}),
+{target}_gained as (
+  select * replace ({', '.join(gain.format(t) for t in totals)}) from {target}_before),
+{target} as (select * from {target}_gained{kept})"""
+
+
+# Totals per media, one of seven visitors and day, running on for ten days of a month at a time.
+RUNNING = (
+    FACT.replace("\nf as (", "\nraw as (", 1)
+    + """,
+summed as (
+  select media_id, 'v' || cast(cast(visitor_id as bigint) % 7 as varchar) as visitor_id, dt,
+         sum(load_count) as loads, sum(play_count) as plays,
+         max(last_event_key) as last_event_key, min(first_seen) as first_seen,
+         max(last_active) as last_active
+  from raw group by all),
+running as (
+  select * exclude (loads, plays), cast(sum(loads) over since as bigint) as load_count,
+         cast(sum(plays) over since as bigint) as play_count
+  from summed
+  window since as (partition by media_id, visitor_id, date_trunc('month', dt), day(dt) // 10
+                   order by dt))"""
+)
+FROM_RUNNING = (RUNNING, gained("running", "f", idle=False), MEDIA, DATED)
 FROM_LATEST = (
     FACT_PER_DAY.replace("\nf as (", "\nraw as (", 1).replace("from f\n", "from raw\n"),
     PER_DAY_LATEST,
@@ -577,6 +613,32 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_silver": sql(f"select {FACT_COLUMNS} from s", FEED_FACT),
 }
+ORACLE["running_increments"] = sql(
+    f"""select media_id, visitor_id, load_count, play_count, last_event_key, {stamp('first_seen')},
+               {stamp('last_active')}, cast(dt as varchar) as dt
+        from f""",
+    RUNNING, gained("running", "f", idle=True),
+)
+ORACLE["media_daily_increments"] = sql(
+    f"select {GOLD_MEDIA_COLUMNS} from mg", *FROM_RUNNING, MEDIA_GOLD
+)
+ORACLE["visitor_daily_increments"] = sql(
+    f"select {GOLD_VISITOR_COLUMNS} from vg", *FROM_RUNNING, VISITOR_GOLD
+)
+ORACLE["gold_refresh_latest_snapshot"] = sql(
+    f"select {GOLD_MEDIA_COLUMNS} from mg", FEED_FACT, PER_DAY_LATEST.replace("fd", "s"), MEDIA,
+    DATED, MEDIA_GOLD,
+)
+ORACLE["gold_refresh_increments"] = sql(
+    f"select {GOLD_MEDIA_COLUMNS} from mg", FEED_FACT, gained("s", "f", idle=False), MEDIA, DATED,
+    MEDIA_GOLD,
+)
+ORACLE["latest_media_merged"] = sql(
+    f"""select {DIM_MEDIA_COLUMNS.replace("as dt", "as latest_dt")} from dim
+        where dt < date '2024-01-02' or media_id not like '%7'
+        qualify row_number() over (partition by media_id order by dt desc) = 1""",
+    MEDIA,
+)
 ORACLE["media_in_empty"] = ORACLE["cached_gold"] = ORACLE["media_daily"]
 ORACLE["gold_rerun_idempotent"] = ORACLE["media_daily"]
 ORACLE["gold_refresh"] = ORACLE["bronze_to_gold_visitor"]

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from ..functions.numbers import coalesce_text, to_double, to_long
 from ..functions.paths import MEDIAS_FILE, VISITORS_FILE, dt_from_path, id_from_path
 from ..functions.times import backfill_days, date10, last_n_days, parse_ts, with_ymd
-from ..operators import event_date, gold, joins, kpi, quality, silver
+from ..operators import counters, event_date, gold, joins, kpi, quality, silver
 from ..operators.dedup import latest_dim, latest_per_key
 from ..operators.filters import date_between, media_in
-from ..plans import cli
+from ..plans import cli, latest_media
 from ..plans.gold_job import MEDIA, VISITOR, GoldRefresh, run_gold
 from ..plans.silver_job import run_silver
 from ..plans.views import gold_views
@@ -123,6 +123,24 @@ def visitor_daily_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return gold.visitor_daily(fact_per_day(spark, sf), media_dim(spark, sf), latest_only=True)
 
 
+@query
+def running_increments(spark: SparkSession, sf: str) -> DataFrame:
+    return counters.running_increments(sample.running_fact(events(spark, sf)))
+
+
+@query
+def media_daily_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily truth of running totals."""
+    running = sample.running_fact(events(spark, sf))
+    return gold.media_daily(running, media_dim(spark, sf), counters="increments")
+
+
+@query
+def visitor_daily_increments(spark: SparkSession, sf: str) -> DataFrame:
+    running = sample.running_fact(events(spark, sf))
+    return gold.visitor_daily(running, media_dim(spark, sf), counters="increments")
+
+
 @query
 def gold_ymd(spark: SparkSession, sf: str) -> DataFrame:
     return with_ymd(gold.media_daily(fact(spark, sf), mode="first_seen"))
@@ -716,20 +734,59 @@ def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_silver(spark, paths[1], "fact_media_engagement")
 
 
-@query
-def gold_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold after late pages, rebuilt for the touched dates only, equals a full rebuild."""
+def refreshed(spark: SparkSession, sf: str, meaning: str = "daily") -> str:
+    """Gold after late pages, rebuilt for the touched dates only; the folder it is in."""
     base = scratch_path(spark, "refresh")
     raw, silver_base, gold_base = f"{base}/bronze", f"{base}/silver", f"{base}/gold"
     late = F.col("event_type").isin("click", "purchase")
     land_all(spark, sf, raw, ~late)
     run_silver(spark, raw, silver_base)
-    run_gold(spark, silver_base, gold_base)
+    run_gold(spark, silver_base, gold_base, counters=meaning)
     land_late(spark, sf, raw, late)
     stored = tables.read_silver(spark, silver_base, "fact_media_engagement")
     days = [str(row["dt"]) for row in stored.select("dt").distinct().collect()]
-    job = GoldRefresh(spark, silver_base, gold_base, days, f"{base}/media-days")
+    job = GoldRefresh(
+        spark, silver_base, gold_base, days, f"{base}/before", counters=meaning
+    )
     run_silver(spark, raw, silver_base, days)
     job.apply()
-    out = tables.read_gold(spark, gold_base, VISITOR, GOLD[VISITOR])
+    return gold_base
+
+
+@query
+def gold_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold after late pages, rebuilt for the touched dates only, equals a full rebuild."""
+    out = tables.read_gold(spark, refreshed(spark, sf), VISITOR, GOLD[VISITOR])
+    return out.drop("year", "month", "day")
+
+
+@query
+def gold_refresh_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for running totals of which the last counts."""
+    out = tables.read_gold(spark, refreshed(spark, sf, "latest"), MEDIA, GOLD[MEDIA])
     return out.drop("year", "month", "day")
+
+
+@query
+def gold_refresh_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for running totals of which each day's increment counts."""
+    out = tables.read_gold(spark, refreshed(spark, sf, "increments"), MEDIA, GOLD[MEDIA])
+    return out.drop("year", "month", "day")
+
+
+@query
+def latest_media_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored latest dimension after late rows of some days and the loss of others."""
+    base = scratch_path(spark, "latest-media")
+    rows = media_dim(spark, sf)
+    cut = date(2024, 1, 2)
+    odd = F.col("media_id").endswith("3")
+    tables.write_partitioned(rows.where(~(odd & (F.col("dt") >= F.lit(cut)))), base, "dim_media")
+    latest_media.update_latest_media(spark, base, None)
+    stamped = rows.where(F.col("dt") >= F.lit(cut)).select("dt").distinct()
+    days = [str(row["dt"]) for row in stamped.collect()]
+    # What came late for media ending in 3; media ending in 7 are gone from these days.
+    late = rows.where((F.col("dt") >= F.lit(cut)) & ~F.col("media_id").endswith("7"))
+    tables.write_partitioned(late, base, "dim_media")
+    latest_media.update_latest_media(spark, base, days)
+    return latest_media.read_latest_media(spark, base)

@@ -13,7 +13,7 @@ no dimension row. Every table is used whole.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import VISITORS_FILE
@@ -52,6 +52,25 @@ def event_fact(events: DataFrame) -> DataFrame:
     )
 
 
+def running_fact(events: DataFrame) -> DataFrame:
+    """A fact of running totals: per media, one of seven visitors and day, what was loaded and played
+    since the last reset, which comes with every tenth day of a month."""
+    days = event_fact(events).groupBy(
+        "media_id", F.concat(F.lit("v"), F.pmod(F.col("visitor_id").cast("long"), F.lit(7)))
+        .alias("visitor_id"), "dt",
+    ).agg(
+        F.sum("load_count").alias("load_count"), F.sum("play_count").alias("play_count"),
+        F.max("last_event_key").alias("last_event_key"), F.min("first_seen").alias("first_seen"),
+        F.max("last_active").alias("last_active"),
+    )
+    since = Window.partitionBy(
+        "media_id", "visitor_id", F.trunc("dt", "month"), F.floor(F.dayofmonth("dt") / 10)
+    ).orderBy("dt")
+    return days.withColumns({
+        name: F.sum(name).over(since) for name in ("load_count", "play_count")
+    }).select(event_fact(events).columns)
+
+
 def visitors_feed(events: DataFrame) -> DataFrame:
     """Raw visitor rows as they would be landed: nested, all text, some of it unusable.
 

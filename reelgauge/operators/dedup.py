@@ -25,8 +25,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) ->
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+# The day the row of a latest dimension is from; a frame with it has one row per key.
+LATEST_DT = "latest_dt"
+
+
 def latest_dim(dim: DataFrame, key: str) -> DataFrame:
-    """A dimension kept per (key, dt) reduced to one row per key, its last day."""
+    """A dimension kept per (key, dt) reduced to one row per key, its last day.
+
+    A stored latest dimension is one already and passes as it is, without a window or a shuffle.
+    """
+    if LATEST_DT in dim.columns:
+        return dim
     return latest_per_key(dim, [key], [c for c in STAMPS if c in dim.columns])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import staged
-from .dedup import STAMPS, latest_dim
+from .dedup import LATEST_DT, STAMPS, latest_dim
 
 # A side may be broadcast up to this many bytes, measured before the join is planned.
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -48,12 +48,15 @@ def hot_key_left_join(
 
 def narrow_dim(media_dim: DataFrame, *columns: str) -> DataFrame:
     """The media dimension cut to its key, its stamps and the given columns."""
-    keep = ("media_id", *STAMPS, *columns)
+    keep = ("media_id", LATEST_DT, *STAMPS, *columns)
     return media_dim.select(*[c for c in media_dim.columns if c in keep])
 
 
 def with_title(df: DataFrame, media_dim: DataFrame, name: str = "media_title") -> DataFrame:
-    """Add the media title. ``df`` is at most one row per media and day, so no key is hot."""
+    """Add the media title. ``df`` is at most one row per media and day, so no key is hot.
+
+    ``media_dim`` is the history, or the stored latest dimension, which is not ranked again.
+    """
     titles = latest_dim(narrow_dim(media_dim, "title"), "media_id")
     titles = titles.select("media_id", F.col("title").alias(name))
     return df.join(titles, "media_id", "left")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import bronze_root
 from ..functions.times import backfill_days, date10, last_n_days
+from ..operators.counters import COUNTERS
 from ..operators.event_date import MODES
 from ..operators.filters import media_in
 from ..operators.gold import INTERACTIONS
@@ -59,12 +60,15 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--quarantine-base")
 
     gold = command("gold", "silver", "gold")
-    gold.add_argument("--latest-only", action="store_true")
-
     refresh = command("refresh", "bronze", "silver", "gold")
     for sub in (gold, refresh):
         sub.add_argument("--event-date", choices=MODES, default=MODES[0])
         sub.add_argument("--interactions", choices=INTERACTIONS, default=INTERACTIONS[0])
+        sub.add_argument("--counters", choices=COUNTERS, default=COUNTERS[0])
+    gold.add_argument(
+        "--latest-only", dest="counters", action="store_const", const="latest",
+        help="the same as --counters latest",
+    )
     refresh.add_argument("--dt", nargs="+", required=True)
 
     validate = command("validate", "bronze")
@@ -109,13 +113,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.command == "gold":
         print(run_gold(
             spark, args.silver_base, args.gold_base, args.event_date, args.interactions,
-            args.latest_only,
+            args.counters,
         ))
     elif args.command == "refresh":
         keep = scratch_path(spark, "media-days")
         job = GoldRefresh(
             spark, args.silver_base, args.gold_base, args.dt, keep, args.event_date,
-            args.interactions,
+            args.interactions, args.counters,
         )
         run_silver(spark, args.bronze_base, args.silver_base, args.dt, args.format)
         print(job.apply())

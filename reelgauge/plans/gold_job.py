@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import with_ymd
+from ..operators.counters import KEYS, TOTALS, counted
 from ..operators.event_date import media_days, own_day, resolve_event_date
-from ..operators.gold import media_daily, visitor_daily
+from ..operators.gold import media_daily, media_sums, visitor_daily, visitor_sums
 from ..sources.tables import (
     YMD,
     drop_days,
@@ -18,6 +19,7 @@ from ..sources.tables import (
     write_full,
     write_gold,
 )
+from .latest_media import read_latest_media
 
 MEDIA, VISITOR = "agg_media_daily", "agg_visitor_daily"
 
@@ -28,7 +30,7 @@ def run_gold(
     gold_base: str,
     mode: str = "latest_activity",
     interactions: str = "rows",
-    latest_only: bool = False,
+    counters: str = "daily",
 ) -> dict[str, int]:
     """Rebuild both gold tables from all of silver; returns the rows written.
 
@@ -36,10 +38,10 @@ def run_gold(
     a partition-wise overwrite would leave its old copy behind.
     """
     fact = read_silver(spark, silver_base, "fact_media_engagement")
-    media = read_silver(spark, silver_base, "dim_media")
+    media = read_latest_media(spark, silver_base)
     frames = {
-        MEDIA: media_daily(fact, media, mode, latest_only),
-        VISITOR: visitor_daily(fact, media, mode, interactions, latest_only),
+        MEDIA: media_daily(fact, media, mode, counters=counters),
+        VISITOR: visitor_daily(fact, media, mode, interactions, counters=counters),
     }
     written = {}
     for table, df in frames.items():
@@ -55,16 +57,21 @@ class GoldRefresh:
         run_silver(spark, bronze, silver, days)
         refresh.apply()                                             # after it
 
-    The event dates to rebuild are those the rows of the days had before, those they have now,
-    and both creation days of every media whose day moved. They are rebuilt from all of silver;
-    a date left without rows is deleted. ``mode`` and ``interactions`` must be those gold was
-    built with. Not for running-total facts (``latest_only``), where a
-    new day changes which older row counts; rebuild those in full.
-
-    ``snapshot`` is a folder all executors share; the media days and the touched dates as they were
-    go there until ``apply`` is through, however that ends. The dates stay a table: stamps that are
-    wrong but readable make it longer, and nothing else. The first gold of all comes from
-    ``run_gold``, and so does the gold after a run that died between the two steps.
+    The event dates to rebuild are those the rows of the days had before, those they have now, and
+    both creation days of every media whose day moved. They are rebuilt from silver; a date left
+    without rows is deleted. ``mode``, ``interactions`` and ``counters`` must be those gold was built
+    with.
+
+    With running totals a new day also changes what other days' rows count for: the row before it
+    stops being the latest, or the row after it adds less. What all rows of the media and visitors
+    that the days have, or had, count for is therefore kept before the rebuild and compared after it;
+    the dates of what differs are touched too, and their rows counted anew from all rows of their
+    media and visitor.
+
+    ``snapshot`` is a folder all executors share; the media days and the counts as they were go there
+    until ``apply`` is through, however that ends. The dates stay a table: stamps that are wrong but
+    readable make it longer, and nothing else. The first gold of all comes from ``run_gold``, and so
+    does the gold after a run that died between the two steps.
     """
 
     def __init__(
@@ -76,30 +83,41 @@ class GoldRefresh:
         snapshot: str,
         mode: str = "latest_activity",
         interactions: str = "rows",
+        counters: str = "daily",
     ):
         self.spark, self.silver_base, self.gold_base = spark, silver_base, gold_base
         self.days, self.snapshot = days, snapshot
-        self.mode, self.interactions = mode, interactions
-        media_days(read_silver(spark, silver_base, "dim_media")).write.parquet(f"{snapshot}/media")
-        self._days_of_changed_rows().write.parquet(f"{snapshot}/before")
-
-    def _silver(self) -> tuple[DataFrame, DataFrame]:
-        return (
-            read_silver(self.spark, self.silver_base, "fact_media_engagement"),
-            read_silver(self.spark, self.silver_base, "dim_media"),
-        )
-
-    def _days_of_changed_rows(self) -> DataFrame:
-        fact, media = self._silver()
-        changed = fact.where(F.col("dt").isin([F.lit(d).cast("date") for d in self.days]))
-        return resolve_event_date(changed, media, self.mode).select("event_date").distinct()
-
-    def _days_of_moved_media(self) -> DataFrame:
-        old = self.spark.read.parquet(f"{self.snapshot}/media")
-        old = old.withColumnRenamed("media_created_date", "old")
-        new = media_days(self._silver()[1]).withColumnRenamed("media_created_date", "new")
-        moved = old.join(new, "media_id", "full").where(~F.col("old").eqNullSafe(F.col("new")))
-        return moved.select(F.explode(F.array("old", "new")).alias("event_date"))
+        self.mode, self.interactions, self.counters = mode, interactions, counters
+        media_days(read_latest_media(spark, silver_base)).write.parquet(f"{snapshot}/media")
+        fact = self._fact()
+        changing = self._in_days(fact)
+        self._stated(fact.where(changing)).write.parquet(f"{snapshot}/stated")
+        if counters != "daily":
+            pairs = self._kept(fact.where(changing).select(*KEYS).distinct(), "pairs-before")
+            before = counted(fact.join(pairs, [*KEYS], "left_semi"), counters)
+            self._counts(before).write.parquet(f"{snapshot}/before")
+
+    def _fact(self) -> DataFrame:
+        return read_silver(self.spark, self.silver_base, "fact_media_engagement")
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.snapshot}/{name}")
+        return self._read(name, df)
+
+    def _read(self, name: str, like: DataFrame) -> DataFrame:
+        return self.spark.read.schema(like.schema).parquet(f"{self.snapshot}/{name}")
+
+    def _in_days(self, fact: DataFrame) -> Column:
+        days = F.col("dt").isin([F.lit(d).cast("date") for d in self.days])
+        return F.coalesce(days, F.lit(False))
+
+    def _counts(self, rows: DataFrame) -> DataFrame:
+        """What rows add to gold, and the day they state."""
+        return rows.select(*KEYS, *TOTALS, own_day(rows, self.mode).alias("day"))
+
+    def _stated(self, rows: DataFrame) -> DataFrame:
+        """Media and stated day of rows, once each."""
+        return rows.select("media_id", own_day(rows, self.mode).alias("day")).distinct()
 
     def apply(self) -> list[date | None]:
         """Rebuild the touched event dates; returns them in order, the missing date first."""
@@ -108,40 +126,82 @@ class GoldRefresh:
         finally:
             drop_folder(self.spark, self.snapshot)
 
+    def _changed(self) -> DataFrame:
+        """Media and stated day of the rows that the days have or had, and of what else counts now
+        and did not before, or the other way round."""
+        fact = self._fact()
+        changing = self._in_days(fact)
+        now = self._stated(fact.where(changing))
+        changed = now.unionByName(self._read("stated", now))
+        if self.counters != "daily":
+            changed = changed.unionByName(self._differing(fact, changing))
+        return changed.distinct()
+
+    def _differing(self, fact: DataFrame, changing: Column) -> DataFrame:
+        old_pairs = self._read("pairs-before", fact.select(*KEYS))
+        now = fact.where(changing).select(*KEYS).distinct()
+        new_pairs = self._kept(now.join(old_pairs, [*KEYS], "left_anti"), "pairs-new")
+        pairs = old_pairs.unionByName(new_pairs)
+        after = self._counts(counted(fact.join(pairs, [*KEYS], "left_semi"), self.counters))
+        # Media and visitors that are new to the days had only their other rows before.
+        others = fact.where(~changing).join(new_pairs, [*KEYS], "left_semi")
+        before = self._read("before", after).unionByName(
+            self._counts(counted(others, self.counters))
+        )
+        both = after.withColumn("n", F.lit(1)).unionByName(before.withColumn("n", F.lit(-1)))
+        differing = both.groupBy(*after.columns).agg(F.sum("n").alias("n")).where("n <> 0")
+        return differing.select("media_id", "day")
+
+    def _touched(self) -> DataFrame:
+        """The event dates to rebuild, once each."""
+        changed = self._kept(self._changed(), "changed")
+        stated = changed.where("day is not null").select(F.col("day").alias("event_date"))
+        undated = changed.where("day is null").select("media_id")
+        if self.mode == "first_seen":
+            touched = stated.unionByName(undated.select(F.lit(None).cast("date").alias("event_date")))
+        else:
+            new = media_days(read_latest_media(self.spark, self.silver_base))
+            old = self._read("media", new).withColumnRenamed("media_created_date", "old")
+            new = new.withColumnRenamed("media_created_date", "new")
+            days = old.join(new, "media_id", "full")
+            moved = days.where(~F.col("old").eqNullSafe(F.col("new")))
+            both = F.explode(F.array("old", "new")).alias("event_date")
+            touched = stated.unionByName(moved.select(both)).unionByName(
+                undated.join(days, "media_id", "left").select(both)
+            )
+        return self._kept(touched.distinct(), "touched")
+
     def _apply(self) -> list[date | None]:
-        touched = self.spark.read.parquet(f"{self.snapshot}/before")
-        touched = touched.unionByName(self._days_of_changed_rows())
-        if self.mode != "first_seen":
-            touched = touched.unionByName(self._days_of_moved_media())
-        touched.distinct().write.parquet(f"{self.snapshot}/touched")
-        touched = self.spark.read.schema("event_date date").parquet(f"{self.snapshot}/touched")
-        fact, media = self._silver()
+        touched = self._touched()
+        fact, media = self._fact(), read_latest_media(self.spark, self.silver_base)
         # Rows that state a day outside the touched range are not read, those that state another
         # day in between go before the shuffle, and what is left is built into both tables.
         ends = touched.agg(F.min("event_date").alias("a"), F.max("event_date").alias("b")).first()
-        own = own_day(fact, self.mode)
-        fact = self._stating(fact, ends["a"], ends["b"]).withColumn("_own", own)
-        undated = fact.where("_own is null")
-        dated = fact.join(touched.withColumnRenamed("event_date", "_own"), "_own", "left_semi")
-        kept = undated.unionByName(dated.select(*undated.columns)).drop("_own")
-        kept.write.parquet(f"{self.snapshot}/fact")
-        kept = self.spark.read.schema(kept.schema).parquet(f"{self.snapshot}/fact")
-        frames = {
-            MEDIA: media_daily(kept, media, self.mode),
-            VISITOR: visitor_daily(kept, media, self.mode, self.interactions),
-        }
-        for table, df in frames.items():
-            days = touched.withColumnRenamed("event_date", "_day")
-            wanted = df["event_date"].eqNullSafe(F.col("_day"))
-            df = df.join(days, wanted, "left_semi")
-            df.write.parquet(f"{self.snapshot}/{table}")
-            df = self.spark.read.schema(df.schema).parquet(f"{self.snapshot}/{table}")
-            write_gold(df, self.gold_base, table)
-            built = df.select(F.col("event_date").alias("_day")).distinct()
-            left = touched.join(built, touched["event_date"].eqNullSafe(F.col("_day")), "left_anti")
-            drop_days(self.spark, self.gold_base, table, left.toLocalIterator())
+        rows = self._stating(fact, ends["a"], ends["b"])
+        if self.counters != "daily":
+            pairs = self._kept(self._of_dates(rows, touched).select(*KEYS).distinct(), "pairs")
+            rows = counted(fact.join(pairs, [*KEYS], "left_semi"), self.counters)
+        dated = resolve_event_date(self._of_dates(rows, touched), media, self.mode)
+        days = touched.withColumnRenamed("event_date", "_day")
+        same_day = dated["event_date"].eqNullSafe(F.col("_day"))
+        kept = self._kept(
+            dated.join(days, same_day, "left_semi").select(*KEYS, *TOTALS, "event_date"), "rows"
+        )
+        write_gold(media_sums(kept), self.gold_base, MEDIA)
+        write_gold(visitor_sums(kept, self.interactions), self.gold_base, VISITOR)
+        built = kept.select(F.col("event_date").alias("_day")).distinct()
+        empty = touched.join(built, touched["event_date"].eqNullSafe(F.col("_day")), "left_anti")
+        for row in empty.toLocalIterator():
+            for table in (MEDIA, VISITOR):
+                drop_days(self.spark, self.gold_base, table, [row])
         return [row["event_date"] for row in touched.orderBy("event_date").toLocalIterator()]
 
+    def _of_dates(self, rows: DataFrame, touched: DataFrame) -> DataFrame:
+        """Rows that state a touched date, or none."""
+        rows = rows.withColumn("_own", own_day(rows, self.mode))
+        stated = rows.join(touched.withColumnRenamed("event_date", "_own"), "_own", "left_semi")
+        return rows.where("_own is null").unionByName(stated.select(*rows.columns)).drop("_own")
+
     def _stating(self, fact: DataFrame, low: date | None, high: date | None) -> DataFrame:
         """Rows whose stated day may lie in a range, by plain comparisons that reach the files."""
         first = F.col("first_seen").isNull()

@@ -14,6 +14,7 @@ from ..operators.silver import ensure_dt, ensure_media_id
 from ..schemas import DATASETS
 from ..sources.bronze import read_bronze, split_corrupt, stage_bronze
 from ..sources.tables import scratch_folder, write_partitioned
+from .latest_media import invalidate_latest_media, latest_media_holds, update_latest_media
 
 # Datasets whose media id may have to come from the file name.
 FILE_PATTERNS = {"medias": MEDIAS_FILE, "visitors": VISITORS_FILE}
@@ -64,6 +65,9 @@ def run_silver(
     pass, nothing of silver is touched. A day is always rebuilt from its whole bronze folder, so
     pages that came late are kept and a second run changes nothing. Corrupt lines are left out of
     silver, and written below ``quarantine_base`` if that is given.
+
+    The latest media dimension is brought up to date from the days rebuilt. It is out of use while
+    they are written: after a run that died there, readers rank the history until the next run.
     """
     with scratch_folder(spark, "parsed") as scratch:
         staged, health = {}, {}
@@ -77,8 +81,11 @@ def run_silver(
         check_bronze(health, needed)
         split = {dataset: split_corrupt(df) for dataset, df in staged.items()}
         many_days = days is None or len(days) > 1
+        trusted = latest_media_holds(spark, silver_base)
+        invalidate_latest_media(spark, silver_base)
         for table, df in silver_tables({d: good for d, (good, _) in split.items()}).items():
             write_partitioned(df, silver_base, table, mode, files=files, spread=many_days)
+        update_latest_media(spark, silver_base, days, trusted)
         if quarantine_base:
             for dataset, (_, bad) in split.items():
                 if health[dataset]["corrupt_rows"]:

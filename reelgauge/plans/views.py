@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import with_title
 from ..schemas import GOLD
-from ..sources.tables import read_gold, read_silver
+from ..sources.tables import read_gold
 from .gold_job import MEDIA, VISITOR
+from .latest_media import read_latest_media
 
 # The names existing SQL knows the two tables by.
 VIEW_NAMES = {MEDIA: (MEDIA, f"{MEDIA}_p"), VISITOR: (VISITOR, f"{VISITOR}_p")}
@@ -27,7 +28,7 @@ def gold_views(spark: SparkSession, gold_base: str, silver_base: str) -> None:
     """Register the gold tables as temporary views, the media one with its titles."""
     media = prunable(read_gold(spark, gold_base, MEDIA, GOLD[MEDIA]))
     visitor = prunable(read_gold(spark, gold_base, VISITOR, GOLD[VISITOR]))
-    titled = with_title(media, read_silver(spark, silver_base, "dim_media"))
+    titled = with_title(media, read_latest_media(spark, silver_base))
     frames = {MEDIA: titled, VISITOR: visitor}
     for table, df in frames.items():
         for name in VIEW_NAMES[table]:

@@ -107,6 +107,12 @@ SILVER = {
     ),
 }
 
+# One row per media, kept current from dim_media; ``latest_dt`` is the day its row is from.
+LATEST_MEDIA = T.StructType([
+    T.StructField("latest_dt" if f.name == "dt" else f.name, f.dataType)
+    for f in SILVER["dim_media"]
+])
+
 GOLD = {
     "agg_media_daily": _struct(
         media_id=TEXT,
