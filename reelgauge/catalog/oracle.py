@@ -613,6 +613,68 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_silver": sql(f"select {FACT_COLUMNS} from s", FEED_FACT),
 }
+ORACLE["read_gold_mixed_types"] = """
+    select 'e' || cast(event_id as varchar) as visitor_id,
+           cast(cast(ts as date) as varchar) as event_date,
+           case when ts < date '2024-01-10' then floor(value)
+                when ts < date '2024-01-20' then floor(value) / 2 end as watch_time,
+           case when event_type = 'click' then '1' else '0' end as total_plays,
+           cast(year(ts) as integer) as year
+    from events"""
+ORACLE["gold_cache"] = sql(
+    f"""select {GOLD_MEDIA_COLUMNS},
+               (select count(*) from mg where total_plays = 0) as kept_rows
+        from mg""",
+    *BASE, MEDIA_GOLD,
+)
+ORACLE["visitors_by_sketch"] = sql(
+    """select 'week' as range, cast(cast(date_trunc('week', event_date) as date) as varchar) as of,
+              count(distinct visitor_id) as exact, true as within_bound
+       from e where event_date is not null group by all
+       union all
+       select 'selection', null, count(distinct visitor_id), true
+       from e where media_id in ('m1', 'm7', 'm77')""",
+    *BASE,
+)
+ORACLE["missing_days"] = sql(
+    """, lacks as (
+         select cast(d as date) as day, list_sort(list_filter([
+                  case when day(d) in (9, 10, 11, 25) or t.dt is null then 'medias' end,
+                  case when day(d) % 5 = 0 or day(d) = 9 or t.dt is null then 'visitors' end
+                ], lambda x: x is not null)) as lacking
+         from (select unnest(generate_series(min(dt), max(dt) + 2, interval 1 day)) as d from f) x
+         left join (select distinct dt from f) t on t.dt = cast(d as date)),
+       runs as (
+         select *, day - cast(row_number() over (partition by lacking order by day) as integer) as run
+         from lacks where len(lacking) > 0)
+       select cast(min(day) as varchar) as first_day, cast(max(day) as varchar) as last_day,
+              count(*) as days, array_to_string(lacking, ',') as lacking,
+              len(lacking) < 2 as partial
+       from runs group by lacking, run""",
+    FACT,
+)
+ORACLE["bronze_root"] = sql(
+    """select media_id, cast(dt as varchar) as dt,
+              cast(count(*) filter (where event_type in ('view', 'click')) as varchar) as load_count,
+              spelling
+       from f, unnest(['', '/', '/raw', '/raw/']) as s(spelling)
+       group by media_id, dt, spelling""",
+    FACT,
+)
+ORACLE["refused_runs"] = """
+    select 'no metadata' as case_name,
+           'dim_media would be empty; check metadata, the day and the format' as refusal
+    union all
+    select 'no visitors',
+           'dim_visitor and the fact would be empty; check visitors, the day and the format'
+    union all
+    select 'no media id', (select cast(count(*) as varchar) from events
+                           where event_type in ('error', 'signup')) || ' visitor rows have no media id'
+    union all
+    select 'sound', null"""
+ORACLE["schema_report_one_dataset"] = (
+    f"select * from ({ORACLE['schema_report']}) where dataset = 'medias'"
+)
 ORACLE["running_increments"] = sql(
     f"""select media_id, visitor_id, load_count, play_count, last_event_key, {stamp('first_seen')},
                {stamp('last_active')}, cast(dt as varchar) as dt

@@ -12,18 +12,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import coalesce_text, to_double, to_long
+from ..functions import paths
 from ..functions.paths import MEDIAS_FILE, VISITORS_FILE, dt_from_path, id_from_path
 from ..functions.times import backfill_days, date10, last_n_days, parse_ts, with_ymd
-from ..operators import counters, event_date, gold, joins, kpi, quality, silver
+from ..operators import (
+    counters, event_date, gold, joins, kpi, landing, quality, silver, sketches,
+)
 from ..operators.dedup import latest_dim, latest_per_key
 from ..operators.filters import date_between, media_in
 from ..plans import cli, latest_media
-from ..plans.gold_job import MEDIA, VISITOR, GoldRefresh, run_gold
+from ..plans.gold_job import MEDIA, SKETCHES, VISITOR, GoldRefresh, run_gold
 from ..plans.silver_job import run_silver
 from ..plans.views import gold_views
 from ..schemas import DATASETS, GOLD
 from ..session import scratch_path, use_utc
 from ..sources import bronze, tables
+from ..sources.cache import GoldCache
 from ..streaming.landed_days import follow_bronze
 from . import sample_tables as sample
 
@@ -362,6 +366,31 @@ def unique_visitors_approximate(spark: SparkSession, sf: str) -> DataFrame:
     return kpi.unique_visitors(seen).withColumn("near", F.abs(near - exact) <= exact / 10)
 
 
+@query
+def visitors_by_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct visitors of weeks, and of some media, from stored sketches beside the exact count."""
+    base = scratch_path(spark, "sketches")
+    dated = event_date.resolve_event_date(fact(spark, sf), media_dim(spark, sf))
+    tables.write_gold(sketches.visitor_sketches(dated), base, SKETCHES)
+    stored = tables.read_gold(spark, base, SKETCHES, GOLD[SKETCHES])
+    parts = []
+    for name, frame in (
+        ("week", lambda df: df.where("event_date is not null")),
+        ("selection", lambda df: media_in(df, ["m1", "m7", "m77"])),
+    ):
+        key = F.trunc("event_date", "week") if name == "week" else F.lit(None).cast("date")
+        near = sketches.visitors_of(frame(stored), key.alias("of"))
+        exact = frame(dated).groupBy(key.alias("of")).agg(
+            F.count_distinct("visitor_id").alias("exact")
+        )
+        off = F.abs(F.col("visitors") - F.col("exact"))
+        parts.append(exact.join(near, exact["of"].eqNullSafe(near["of"])).select(
+            F.lit(name).alias("range"), exact["of"], "exact",
+            (off <= F.ceil(F.col("exact") * sketches.relative_error())).alias("within_bound"),
+        ))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def media_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return kpi.media_kpis(old_media(spark, sf))
@@ -481,6 +510,76 @@ def landed_day(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("last_event_key", "visitor_key", "media_id", "dt", "event_date")
 
 
+@query
+def missing_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of days that lack the same datasets, found from what is landed."""
+    base = scratch_path(spark, "gaps")
+    rows, of_month = events(spark, sf), F.dayofmonth("dt")
+    totals = sample.daily_totals_feed(rows).where(~of_month.isin(9, 10, 11, 25))
+    visits = sample.landed_rows(sample.visitors_feed(rows)).where((of_month % 5 != 0) & (of_month != 9))
+    bronze.land_bronze(totals, base, "medias")
+    bronze.land_bronze(visits, base, "visitors")
+    day = F.to_date("ts")
+    window = rows.agg(F.min(day).alias("start"), F.max(day).alias("last"))
+    expected = backfill_days(window, F.col("start"), F.date_add("last", 2), F.date_add("last", 5))
+    kinds = ("medias", "visitors")
+    return landing.missing_days(expected, landing.landed_days(spark, base, kinds), kinds)
+
+
+@query
+def bronze_root(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows whether the base names the sub-folder, ends in a slash, or neither."""
+    base = scratch_path(spark, "root")
+    bronze.land_bronze(sample.daily_totals_feed(events(spark, sf)), f"{base}/raw", "medias")
+    out = None
+    for spelling in (base, f"{base}/", f"{base}/raw", f"{base}/raw/"):
+        rows = bronze.read_bronze(spark, paths.bronze_root(spelling, "raw"), "medias").select(
+            "media_id", "dt", "load_count", F.lit(spelling.removeprefix(base)).alias("spelling")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def refused_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver runs that are refused, and why: no metadata, no visitors, rows without a media id."""
+    base = scratch_path(spark, "refused")
+    feed = sample.landed_rows(sample.visitors_feed(events(spark, sf)))
+    metadata = sample.landed_rows(sample.metadata_feed(sample.table(spark, sf, "part")))
+    totals = sample.daily_totals_feed(events(spark, sf))
+    lost = F.col("visitor_identity.org.title").isin("error", "signup")
+    without = feed.withColumn("media_id", F.when(~lost, F.col("media_id")))
+    cases = {
+        "no metadata": (feed, metadata.where("false")),
+        "no visitors": (feed.where("false"), metadata),
+        "no media id": (without, metadata),
+        "sound": (feed, metadata),
+    }
+    found = []
+    for name, (visitors, media) in cases.items():
+        raw = f"{base}/{name.replace(' ', '-')}"
+        bronze.land_bronze(visitors, raw, "visitors")
+        bronze.land_bronze(media, raw, "metadata")
+        bronze.land_bronze(totals, raw, "medias")
+        for dataset in DATASETS:
+            spark.createDataFrame([], "x string").write.mode("append").text(f"{raw}/{dataset}")
+        try:
+            run_silver(spark, raw, f"{base}/silver")
+            found.append((name, None))
+        except quality.QualityError as error:
+            found.append((name, str(error)))
+    return spark.createDataFrame(found, "case_name string, refusal string")
+
+
+@query
+def schema_report_one_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of one dataset only, though all are landed."""
+    base = scratch_path(spark, "one-schema")
+    land_all(spark, sf, base)
+    found = {"medias": quality.infer_bronze(spark, base, "medias")}
+    return quality.schema_report(spark, found, ("medias",))
+
+
 @query
 def bronze_selected_days(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "days")
@@ -595,6 +694,25 @@ def read_gold_merged(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_gold(spark, base, VISITOR)
 
 
+@query
+def read_gold_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Days whose watch time is whole, fractional or missing, and whose plays are text after one."""
+    base = scratch_path(spark, "mixed-types")
+    rows = events(spark, sf).select(
+        F.concat(F.lit("e"), "event_id").alias("visitor_id"),
+        F.to_date("ts").alias("event_date"), F.floor("value").alias("watch_time"),
+        F.when(F.col("event_type") == "click", 1).otherwise(0).cast("long").alias("total_plays"),
+    )
+    first, last = date(2024, 1, 10), date(2024, 1, 20)
+    day, text = F.col("event_date"), F.col("total_plays").cast("string")
+    early, late = day < F.lit(first), day >= F.lit(last)
+    tables.write_gold(rows.where(early), base, VISITOR)
+    middle = rows.where(~early & ~late).withColumn("watch_time", F.col("watch_time") / 2)
+    tables.write_gold(middle, base, VISITOR)
+    tables.write_gold(rows.where(late).drop("watch_time").withColumn("total_plays", text), base, VISITOR)
+    return tables.read_gold(spark, base, VISITOR).drop("month", "day")
+
+
 def mixed_gold(spark: SparkSession, sf: str) -> str:
     """Media gold of the events, clicks in the canonical naming, the others in the older one."""
     base = scratch_path(spark, "mixed")
@@ -655,6 +773,20 @@ def cached_gold(spark: SparkSession, sf: str) -> DataFrame:
         return tables.staged(kept, "cached-gold")
 
 
+@query
+def gold_cache(spark: SparkSession, sf: str) -> DataFrame:
+    """A kept table, and what is served once its age is over and it was rewritten."""
+    base, now = scratch_path(spark, "cache"), 0.0
+    media = media_gold(spark, sf)
+    tables.write_gold(media.where("total_plays = 0"), base, MEDIA)
+    with GoldCache(spark, max_age=300, clock=lambda: now) as cache:
+        kept = cache.get(base, MEDIA, GOLD[MEDIA]).count()
+        tables.write_full(with_ymd(media), base, MEDIA, by=tables.YMD)
+        now = 300.0
+        fresh = tables.staged(cache.get(base, MEDIA, GOLD[MEDIA]), "cached")
+    return fresh.drop("year", "month", "day").withColumn("kept_rows", F.lit(kept).cast("long"))
+
+
 @query
 def written_in_files(spark: SparkSession, sf: str) -> DataFrame:
     """Silver written as one file per task for three tasks, and an unpartitioned table beside it."""
@@ -725,13 +857,13 @@ def gold_views_sql(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks land as later pages of days already taken in; the result equals one batch."""
     base = scratch_path(spark, "follow")
-    paths = f"{base}/bronze", f"{base}/silver", f"{base}/state"
+    folders = f"{base}/bronze", f"{base}/silver", f"{base}/state"
     clicks = F.col("event_type") == "click"
-    land_all(spark, sf, paths[0], ~clicks)
-    follow_bronze(spark, *paths)
-    land_late(spark, sf, paths[0], clicks)
-    follow_bronze(spark, *paths)
-    return tables.read_silver(spark, paths[1], "fact_media_engagement")
+    land_all(spark, sf, folders[0], ~clicks)
+    follow_bronze(spark, *folders)
+    land_late(spark, sf, folders[0], clicks)
+    follow_bronze(spark, *folders)
+    return tables.read_silver(spark, folders[1], "fact_media_engagement")
 
 
 def refreshed(spark: SparkSession, sf: str, meaning: str = "daily") -> str:

@@ -5,7 +5,7 @@
     python -m reelgauge.plans.cli refresh  --bronze-base B --silver-base S --gold-base G --dt D ...
     python -m reelgauge.plans.cli validate --bronze-base B [--dataset visitors] [--dt D]
     python -m reelgauge.plans.cli kpi      --gold-base G [--start D --end D] [--media M ...] [--output O]
-    python -m reelgauge.plans.cli days     --start D --end D [--exec-day D]
+    python -m reelgauge.plans.cli days     --start D --end D [--exec-day D] [--bronze-base B]
     python -m reelgauge.plans.cli follow   --bronze-base B --silver-base S --state F
 """
 
@@ -24,6 +24,7 @@ from ..operators.event_date import MODES
 from ..operators.filters import media_in
 from ..operators.gold import INTERACTIONS
 from ..operators.kpi import default_media, prep_kpi
+from ..operators.landing import incomplete_days, landed_days
 from ..operators.quality import infer_bronze, sample_rows, schema_report
 from ..schemas import DATASETS
 from ..session import build_session, scratch_path
@@ -65,6 +66,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--event-date", choices=MODES, default=MODES[0])
         sub.add_argument("--interactions", choices=INTERACTIONS, default=INTERACTIONS[0])
         sub.add_argument("--counters", choices=COUNTERS, default=COUNTERS[0])
+        sub.add_argument("--sketches", action="store_true", help="also sketches of the visitors")
     gold.add_argument(
         "--latest-only", dest="counters", action="store_const", const="latest",
         help="the same as --counters latest",
@@ -86,6 +88,8 @@ def parser() -> argparse.ArgumentParser:
     days.add_argument("--start", required=True)
     days.add_argument("--end", required=True)
     days.add_argument("--exec-day", help="day or ISO stamp; today if left out")
+    days.add_argument("--bronze-base", help="only the days that lack a dataset there")
+    days.add_argument("--sub-folder", default="", help="folder below the bronze base")
 
     follow = command("follow", "bronze", "silver")
     follow.add_argument("--state", required=True, help="folder for the stream's own state")
@@ -113,13 +117,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.command == "gold":
         print(run_gold(
             spark, args.silver_base, args.gold_base, args.event_date, args.interactions,
-            args.counters,
+            args.counters, args.sketches,
         ))
     elif args.command == "refresh":
         keep = scratch_path(spark, "media-days")
         job = GoldRefresh(
             spark, args.silver_base, args.gold_base, args.dt, keep, args.event_date,
-            args.interactions, args.counters,
+            args.interactions, args.counters, args.sketches,
         )
         run_silver(spark, args.bronze_base, args.silver_base, args.dt, args.format)
         print(job.apply())
@@ -152,7 +156,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         today = date10(F.lit(args.exec_day)) if args.exec_day else F.current_date()
         one = spark.range(1)
         found = backfill_days(one, date10(F.lit(args.start)), today, date10(F.lit(args.end)))
-        found.show(found.count())
+        if args.bronze_base:
+            found = incomplete_days(found, landed_days(spark, args.bronze_base)).orderBy("day")
+        found.show(found.count(), truncate=False)
     elif args.command == "follow":
         print(follow_bronze(
             spark, args.bronze_base, args.silver_base, args.state, fmt=args.format

@@ -11,6 +11,7 @@ from ..functions.times import with_ymd
 from ..operators.counters import KEYS, TOTALS, counted
 from ..operators.event_date import media_days, own_day, resolve_event_date
 from ..operators.gold import media_daily, media_sums, visitor_daily, visitor_sums
+from ..operators.sketches import visitor_sketches
 from ..sources.tables import (
     YMD,
     drop_days,
@@ -22,6 +23,7 @@ from ..sources.tables import (
 from .latest_media import read_latest_media
 
 MEDIA, VISITOR = "agg_media_daily", "agg_visitor_daily"
+SKETCHES = "agg_visitor_sketch"
 
 
 def run_gold(
@@ -31,9 +33,13 @@ def run_gold(
     mode: str = "latest_activity",
     interactions: str = "rows",
     counters: str = "daily",
+    sketches: bool = False,
 ) -> dict[str, int]:
     """Rebuild both gold tables from all of silver; returns the rows written.
 
+    ``sketches`` adds a table with a sketch of the visitors per media and day, from which the
+    distinct visitors of any range and selection are got without reading visitor rows.
+
     The folders are replaced as a whole: a late change can move a row to another event date, and
     a partition-wise overwrite would leave its old copy behind.
     """
@@ -43,6 +49,9 @@ def run_gold(
         MEDIA: media_daily(fact, media, mode, counters=counters),
         VISITOR: visitor_daily(fact, media, mode, interactions, counters=counters),
     }
+    if sketches:
+        dated = resolve_event_date(counted(fact, counters), media, mode)
+        frames[SKETCHES] = visitor_sketches(dated)
     written = {}
     for table, df in frames.items():
         seen = write_full(with_ymd(df), gold_base, table, by=YMD, rows_as="rows")
@@ -59,8 +68,8 @@ class GoldRefresh:
 
     The event dates to rebuild are those the rows of the days had before, those they have now, and
     both creation days of every media whose day moved. They are rebuilt from silver; a date left
-    without rows is deleted. ``mode``, ``interactions`` and ``counters`` must be those gold was built
-    with.
+    without rows is deleted. ``mode``, ``interactions``, ``counters`` and ``sketches`` must be those
+    gold was built with.
 
     With running totals a new day also changes what other days' rows count for: the row before it
     stops being the latest, or the row after it adds less. What all rows of the media and visitors
@@ -84,10 +93,12 @@ class GoldRefresh:
         mode: str = "latest_activity",
         interactions: str = "rows",
         counters: str = "daily",
+        sketches: bool = False,
     ):
         self.spark, self.silver_base, self.gold_base = spark, silver_base, gold_base
         self.days, self.snapshot = days, snapshot
         self.mode, self.interactions, self.counters = mode, interactions, counters
+        self.sketches = sketches
         media_days(read_latest_media(spark, silver_base)).write.parquet(f"{snapshot}/media")
         fact = self._fact()
         changing = self._in_days(fact)
@@ -187,12 +198,15 @@ class GoldRefresh:
         kept = self._kept(
             dated.join(days, same_day, "left_semi").select(*KEYS, *TOTALS, "event_date"), "rows"
         )
-        write_gold(media_sums(kept), self.gold_base, MEDIA)
-        write_gold(visitor_sums(kept, self.interactions), self.gold_base, VISITOR)
+        frames = {MEDIA: media_sums(kept), VISITOR: visitor_sums(kept, self.interactions)}
+        if self.sketches:
+            frames[SKETCHES] = visitor_sketches(kept)
+        for table, df in frames.items():
+            write_gold(df, self.gold_base, table)
         built = kept.select(F.col("event_date").alias("_day")).distinct()
         empty = touched.join(built, touched["event_date"].eqNullSafe(F.col("_day")), "left_anti")
         for row in empty.toLocalIterator():
-            for table in (MEDIA, VISITOR):
+            for table in frames:
                 drop_days(self.spark, self.gold_base, table, [row])
         return [row["event_date"] for row in touched.orderBy("event_date").toLocalIterator()]
 

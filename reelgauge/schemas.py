@@ -133,6 +133,14 @@ GOLD = {
         month=INT,
         day=INT,
     ),
+    "agg_visitor_sketch": _struct(
+        media_id=TEXT,
+        event_date=DAY,
+        visitors_sketch=T.BinaryType(),
+        year=INT,
+        month=INT,
+        day=INT,
+    ),
 }
 
 

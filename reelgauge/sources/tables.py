@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions.times import with_ymd
 from ..schemas import GOLD, SILVER
 from ..session import scratch_path
+from .mixed import read_mixed, unmergeable
 
 YMD = ("year", "month", "day")
 
@@ -33,7 +34,8 @@ def read_gold(
     """All files of a gold table united by column name, absent columns null.
 
     With ``schema`` the files are read as declared, which costs no look at their footers; without
-    it Spark merges the schemas of all files. A table that was never written, or holds no file,
+    it Spark merges the schemas of all files, and files that give a column another type are read
+    apart and cast to the type that holds both. A table that was never written, or holds no file,
     is an empty frame with the gold schema.
     """
     path = table_path(base, table)
@@ -41,10 +43,13 @@ def read_gold(
         if schema is not None:
             return spark.read.schema(schema).parquet(path)
         return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return spark.createDataFrame([], schema or GOLD[table])
+    except Exception as error:
+        if schema is None and unmergeable(error):
+            return read_mixed(spark, path)
+        absent = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+        if isinstance(error, AnalysisException) and error.getCondition() in absent:
+            return spark.createDataFrame([], schema or GOLD[table])
+        raise
 
 
 @contextmanager

@@ -1,0 +1,166 @@
+import os
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from reelgauge.functions.times import backfill_days
+from reelgauge.operators import landing, sketches
+from reelgauge.sources import mixed, tables, versions
+from reelgauge.sources.cache import GoldCache
+
+from .conftest import STATS, plan, rows, visitor, write_lines
+
+MEDIA = "agg_media_daily"
+DAY = date(2025, 9, 1)
+
+
+def gold_file(spark, base, data, schema, day=None):
+    path = f"{base}/{MEDIA}" + (f"/year={day.year}/month={day.month}/day={day.day}" if day else "")
+    spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_types_that_differ_between_days(spark, folder):
+    kinds = ["bigint", "double", "int", "string", "bigint"]
+    values = [1, 2.5, 3, "n/a", 5]
+    for i, (kind, value) in enumerate(zip(kinds, values)):
+        gold_file(spark, folder, [(f"m{i}", value)], f"media_id string, total_plays {kind}",
+                  DAY + timedelta(days=i))
+    got = tables.read_gold(spark, folder, MEDIA)
+    assert got.schema["total_plays"].dataType == T.StringType()
+    assert got.schema["year"].dataType == T.IntegerType()
+    assert rows(got, "media_id", "total_plays", "day") == [
+        ("m0", "1", 1), ("m1", "2.5", 2), ("m2", "3", 3), ("m3", "n/a", 4), ("m4", "5", 5),
+    ]
+    groups = mixed.schema_groups(spark, f"{folder}/{MEDIA}")
+    assert len(groups) == 4  # the first and the last day agree and are read together
+    assert sum(len(files) for files, _ in groups) == 5
+
+
+def test_whole_numbers_beside_fractions_and_absent_columns(spark, folder):
+    gold_file(spark, folder, [("a", 1, DAY)], "media_id string, n bigint, event_date date")
+    gold_file(spark, folder, [("b", 2.5, True)], "media_id string, n double, flag boolean")
+    gold_file(spark, folder, [("c", 7)], "media_id string, n bigint")
+    got = tables.read_gold(spark, folder, MEDIA)
+    assert rows(got, "media_id", "n", "event_date", "flag") == [
+        ("a", 1.0, str(DAY), None), ("b", 2.5, None, True), ("c", 7.0, None, None),
+    ]
+
+
+def test_the_folder_without_a_date_keeps_the_types_of_the_others(spark, folder):
+    gold_file(spark, folder, [("a", 1)], "media_id string, n bigint", DAY)
+    path = f"{folder}/{MEDIA}/" + "/".join(f"{k}=__HIVE_DEFAULT_PARTITION__" for k in tables.YMD)
+    spark.createDataFrame([("b", 2.0)], "media_id string, n double").write.parquet(path)
+    got = tables.read_gold(spark, folder, MEDIA)
+    assert got.schema["year"].dataType == T.IntegerType()
+    assert rows(got, "media_id", "n", "year") == [("a", 1.0, 2025), ("b", 2.0, None)]
+
+
+def test_files_that_agree_are_one_scan(spark, folder):
+    for i in range(3):
+        gold_file(spark, folder, [("a", i)], "media_id string, n bigint", DAY + timedelta(days=i))
+    assert "Union" not in plan(tables.read_gold(spark, folder, MEDIA))
+    assert len(mixed.schema_groups(spark, f"{folder}/{MEDIA}")) == 1
+
+
+def test_common_types():
+    whole, real, text = T.LongType(), T.DoubleType(), T.StringType()
+    assert mixed.common_type([T.IntegerType(), whole]) == whole
+    assert mixed.common_type([whole, T.DecimalType(10, 2)]) == real
+    assert mixed.common_type([T.DateType(), T.TimestampType()]) == T.TimestampType()
+    assert mixed.common_type([T.DateType(), whole]) == text
+    assert mixed.common_type([T.ArrayType(text), T.ArrayType(text)]) == T.ArrayType(text)
+
+
+# --- versions and cache -----------------------------------------------------------------------
+
+
+def test_an_unfinished_version_is_not_read(spark, folder):
+    df, path = spark.range(3), f"{folder}/t"
+    assert versions.read_version(spark, path, df.schema) is None
+    assert versions.write_version(df, path) == 1
+    os.makedirs(f"{path}/version=2")  # a run that died while writing
+    assert versions.read_version(spark, path, df.schema).count() == 3
+    again = versions.read_version(spark, path, df.schema).unionByName(df)
+    assert versions.write_version(again, path) == 2
+    assert versions.read_version(spark, path, df.schema).count() == 6
+
+
+def test_cache_reads_a_changed_table_again_and_an_unchanged_one_not(spark, folder):
+    now = [0.0]
+    schema = "media_id string, n bigint"
+    gold_file(spark, folder, [("a", 1)], schema)
+    cache = GoldCache(spark, max_age=300, clock=lambda: now[0])
+    kept = cache.get(folder, MEDIA)
+    assert kept.count() == 1 and kept.storageLevel.useMemory
+    assert cache.get(folder, MEDIA) is kept
+    now[0] = 400
+    assert cache.get(folder, MEDIA) is kept  # listed again, unchanged
+    # written by someone else: Spark's own writes would refresh what it keeps
+    other = f"{folder}/other"
+    gold_file(spark, other, [("b", 2)], schema)
+    name = next(f for f in os.listdir(f"{other}/{MEDIA}") if f.endswith(".parquet"))
+    with open(f"{other}/{MEDIA}/{name}", "rb") as source:
+        content = source.read()
+    with open(f"{folder}/{MEDIA}/{name}", "wb") as target:
+        target.write(content)
+    now[0] = 650
+    assert cache.get(folder, MEDIA) is kept and kept.count() == 1  # its age is not over
+    now[0] = 701
+    fresh = cache.get(folder, MEDIA)
+    assert fresh is not kept and rows(fresh) == [("a", 1), ("b", 2)]
+    cache.close()
+    assert not fresh.storageLevel.useMemory
+
+
+def test_cache_of_a_table_that_is_not_there(spark, folder):
+    with GoldCache(spark, max_age=0) as cache:
+        assert cache.get(folder, MEDIA).count() == 0
+        gold_file(spark, folder, [("a", 1)], "media_id string, n bigint")
+        assert cache.get(folder, MEDIA).count() == 1
+
+
+# --- landed days and sketches -----------------------------------------------------------------
+
+
+def test_missing_and_partial_days(spark, folder):
+    for day, datasets in {1: "mv", 2: "m", 3: "m", 5: "v", 6: "mv", 9: ""}.items():
+        if "m" in datasets:
+            write_lines(folder, "medias", f"medias_m1_{day}.ndjson", [STATS], f"2025-09-0{day}")
+        if "v" in datasets:
+            write_lines(folder, "visitors", "visitors_m1_page1.ndjson", [visitor("a")], f"2025-09-0{day}")
+    write_lines(folder, "visitors", "empty.ndjson", [], "2025-09-04")  # landed, but nothing in it
+    write_lines(folder, "visitors", "loose.ndjson", [visitor("a")])
+    kinds = ("visitors", "medias")
+    landed = landing.landed_days(spark, folder, kinds)
+    one = spark.range(1)
+    expected = backfill_days(one, F.lit(date(2025, 9, 1)), F.lit(date(2025, 9, 8)), F.lit(date(2025, 9, 30)))
+    got = landing.missing_days(expected, landed, kinds).withColumn("lacking", F.concat_ws(",", "lacking"))
+    assert rows(got) == sorted([
+        ("2025-09-02", "2025-09-03", 2, "visitors", True),
+        ("2025-09-04", "2025-09-04", 1, "medias,visitors", False),
+        ("2025-09-05", "2025-09-05", 1, "medias", True),
+        ("2025-09-07", "2025-09-08", 2, "medias,visitors", False),
+    ], key=repr)
+    assert landing.landed_days(spark, f"{folder}/nowhere").count() == 0
+    assert landing.missing_days(expected.where("false"), landed).count() == 0
+
+
+def test_sketches_of_days_unite(spark):
+    fact = spark.range(40_000).select(
+        F.concat(F.lit("m"), F.col("id") % 3).alias("media_id"),
+        F.when(F.col("id") % 11 > 0, F.concat(F.lit("v"), F.col("id") % 5000)).alias("visitor_id"),
+        F.date_add(F.lit(DAY), (F.col("id") % 10).cast("int")).alias("event_date"),
+    )
+    stored = sketches.visitor_sketches(fact)
+    assert stored.count() == 30
+    near = sketches.visitors_of(stored).first()["visitors"]
+    assert abs(near - 5000) <= 5000 * sketches.relative_error()
+    per_media = {r["media_id"]: r["visitors"] for r in sketches.visitors_of(stored, "media_id").collect()}
+    exact = {r["media_id"]: r["n"] for r in fact.groupBy("media_id").agg(
+        F.count_distinct("visitor_id").alias("n")).collect()}
+    for media, n in exact.items():
+        assert per_media[media] == pytest.approx(n, rel=sketches.relative_error())
+    nobody = fact.where("visitor_id is null")
+    assert sketches.visitors_of(sketches.visitor_sketches(nobody)).first()["visitors"] == 0
