@@ -675,6 +675,38 @@ ORACLE["refused_runs"] = """
 ORACLE["schema_report_one_dataset"] = (
     f"select * from ({ORACLE['schema_report']}) where dataset = 'medias'"
 )
+ORACLE["compacted_gold"] = sql(
+    f"select {GOLD_MEDIA_COLUMNS}, true as one_file_each from mg", *BASE, MEDIA_GOLD
+)
+ORACLE["schema_drift"] = sql(
+    """, typed as (
+         select 'visitor_key' as field, 'STRING' as expected, 'STRING' as found, dt, event_type from f
+         union all
+         select 'org', null, 'OBJECT<name: STRING, title: STRING>', dt, event_type from f
+         union all
+         select 'created_at', 'STRING', 'STRING', dt, event_type from f where event_type <> 'signup'
+         union all
+         select 'load_count', 'BIGINT', case when dt < date '2024-01-15' then 'STRING' else 'BIGINT' end,
+                dt, event_type from f
+         union all
+         select 'play_count', 'BIGINT', null, dt, event_type from f),
+       days as (
+         select field, expected, dt, count(*) as n,
+                coalesce(max(found),
+                         case when bool_and(event_type = 'error') then 'STRING'
+                              when bool_or(event_type = 'error') then 'VARIANT'
+                              else 'BIGINT' end) as found
+         from typed group by field, expected, dt),
+       marked as (
+         select *, case when found is distinct from lag(found) over (partition by field order by dt)
+                        then 1 else 0 end as changed
+         from days),
+       runs as (select *, sum(changed) over (partition by field order by dt) as run from marked)
+       select 'visitors' as dataset, field, expected, found, cast(min(dt) as varchar) as since,
+              cast(max(dt) as varchar) as until, count(*) as days, cast(sum(n) as bigint) as rows
+       from runs group by field, expected, found, run""",
+    FACT,
+)
 ORACLE["running_increments"] = sql(
     f"""select media_id, visitor_id, load_count, play_count, last_event_key, {stamp('first_seen')},
                {stamp('last_active')}, cast(dt as varchar) as dt

@@ -16,7 +16,7 @@ from ..functions import paths
 from ..functions.paths import MEDIAS_FILE, VISITORS_FILE, dt_from_path, id_from_path
 from ..functions.times import backfill_days, date10, last_n_days, parse_ts, with_ymd
 from ..operators import (
-    counters, event_date, gold, joins, kpi, landing, quality, silver, sketches,
+    counters, event_date, gold, joins, kpi, landing, quality, schema_drift, silver, sketches,
 )
 from ..operators.dedup import latest_dim, latest_per_key
 from ..operators.filters import date_between, media_in
@@ -28,6 +28,7 @@ from ..schemas import DATASETS, GOLD
 from ..session import scratch_path, use_utc
 from ..sources import bronze, tables
 from ..sources.cache import GoldCache
+from ..sources.compaction import compact, folder_files
 from ..streaming.landed_days import follow_bronze
 from . import sample_tables as sample
 
@@ -571,6 +572,31 @@ def refused_runs(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(found, "case_name string, refusal string")
 
 
+@query
+def schema_drift_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Visitors land loads as numbers from the 15th on, and plays as numbers where they are any."""
+    base = scratch_path(spark, "drift")
+    feed = sample.landed_rows(sample.visitors_feed(events(spark, sf)))
+    # Fields whose values are not the same in every row have to leave as JSON of their own types.
+    plays, loads = F.col("play_count"), F.col("load_count")
+    late = F.col("dt") >= F.lit(date(2024, 1, 15))
+    whole = loads.cast("double").cast("int").cast("string")
+    quoted = F.concat(F.lit('"'), loads, F.lit('"'))
+    pairs = [
+        F.to_json(F.struct("visitor_key", F.col("visitor_identity.org").alias("org"), "created_at")),
+        F.concat(F.lit('{"load_count":'), F.when(late, whole).otherwise(quoted), F.lit("}")),
+        F.concat(
+            F.lit('{"play_count":'), F.when(plays == "n/a", '"n/a"').otherwise(plays), F.lit("}")
+        ),
+    ]
+    inner = F.concat_ws(",", *[
+        F.nullif(F.substring(text, F.lit(2), F.length(text) - 2), F.lit("")) for text in pairs
+    ])
+    lines = feed.select(F.concat(F.lit("{"), inner, F.lit("}")).alias("value"), "dt")
+    lines.hint("rebalance", F.col("dt")).write.partitionBy("dt").text(f"{base}/visitors")
+    return schema_drift.schema_drift(spark, base, ("visitors",))
+
+
 @query
 def schema_report_one_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """The report of one dataset only, though all are landed."""
@@ -713,6 +739,22 @@ def read_gold_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_gold(spark, base, VISITOR).drop("month", "day")
 
 
+@query
+def compacted_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Days written in many appends, gathered into one file each."""
+    base = scratch_path(spark, "compacted")
+    rows = media_gold(spark, sf)
+    for part in range(4):
+        mine = F.pmod(F.crc32("media_id"), F.lit(4)) == part
+        tables.write_gold(rows.where(mine), base, MEDIA, mode="append")
+    path = tables.table_path(base, MEDIA)
+    compact(spark, path, GOLD[MEDIA], tables.YMD)
+    files = folder_files(spark, path).groupBy("folder").count()
+    single = files.agg((F.max("count") == 1).alias("single")).scalar()
+    stored = tables.read_gold(spark, base, MEDIA, GOLD[MEDIA])
+    return stored.drop("year", "month", "day").withColumn("one_file_each", single)
+
+
 def mixed_gold(spark: SparkSession, sf: str) -> str:
     """Media gold of the events, clicks in the canonical naming, the others in the older one."""
     base = scratch_path(spark, "mixed")

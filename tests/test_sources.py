@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelgauge.functions.times import backfill_days
-from reelgauge.operators import landing, sketches
-from reelgauge.sources import mixed, tables, versions
+from reelgauge.operators import landing, schema_drift, sketches
+from reelgauge.sources import compaction, mixed, tables, versions
 from reelgauge.sources.cache import GoldCache
 
 from .conftest import STATS, plan, rows, visitor, write_lines
@@ -164,3 +164,74 @@ def test_sketches_of_days_unite(spark):
         assert per_media[media] == pytest.approx(n, rel=sketches.relative_error())
     nobody = fact.where("visitor_id is null")
     assert sketches.visitors_of(sketches.visitor_sketches(nobody)).first()["visitors"] == 0
+
+
+# --- compaction and drift ---------------------------------------------------------------------
+
+SCHEMA = "id long, v string, dt date"
+
+
+def days_of(spark, folder, appends, rows_each):
+    for i in range(appends):
+        df = spark.range(i * rows_each, (i + 1) * rows_each).select(
+            "id", F.sha2(F.col("id").cast("string"), 512).alias("v"),
+            F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(
+                F.date_add(F.lit(DAY), (F.col("id") % 3).cast("int"))).alias("dt"),
+        )
+        tables.write_partitioned(df, folder, "t", mode="append")
+    return f"{folder}/t"
+
+
+def test_small_files_of_a_day_are_gathered(spark, folder):
+    path = days_of(spark, folder, 5, 200)
+    before = rows(spark.read.schema(SCHEMA).parquet(path))
+    assert compaction.compact(spark, path, SCHEMA, ("dt",)) == 4
+    files = compaction.folder_files(spark, path)
+    assert rows(files.groupBy("folder").count(), "count") == [(1,)] * 4
+    assert rows(spark.read.schema(SCHEMA).parquet(path)) == before
+    assert compaction.compact(spark, path, SCHEMA, ("dt",)) == 0  # nothing left to do
+
+
+@pytest.mark.parametrize("limit", [1 << 27, 0])
+def test_large_days_get_files_of_about_the_target(spark, folder, limit):
+    path = days_of(spark, folder, 24, 400)
+    before = rows(spark.read.schema(SCHEMA).parquet(path))
+    sizes = compaction.folder_files(spark, path).groupBy("folder").agg(F.sum("bytes").alias("b"))
+    target = sizes.agg(F.max("b")).first()[0] // 3
+    assert compaction.compact(spark, path, SCHEMA, ("dt",), target, limit) == 4
+    after = compaction.folder_files(spark, path)
+    assert after.groupBy("folder").count().agg(F.max("count")).first()[0] in (3, 4)
+    assert after.agg(F.max("bytes")).first()[0] < 1.4 * target
+    assert rows(spark.read.schema(SCHEMA).parquet(path)) == before
+
+
+def test_files_that_need_nothing_stay_as_they_are(spark, folder):
+    path = days_of(spark, folder, 1, 50)
+    names = sorted(os.listdir(f"{path}/dt={DAY}"))
+    assert compaction.compact(spark, path, SCHEMA, ("dt",)) == 0
+    assert sorted(os.listdir(f"{path}/dt={DAY}")) == names
+
+
+def test_drift_shows_when_it_began(spark, folder):
+    lines = {
+        1: [{"load_count": 1, "tags": ["a"]}, {"load_count": 2}],
+        2: [{"load_count": 3}],
+        3: [{"load_count": "4"}, {"load_count": 5, "new": True}],
+        4: [{"load_count": "6"}, "{broken", {"load_count": None}],
+        6: [{"load_count": 7}],
+    }
+    for day, found in lines.items():
+        write_lines(folder, "medias", "medias_m1_x.ndjson", found, f"2025-09-0{day}")
+    got = schema_drift.schema_drift(spark, folder, ("medias",)).where("field = 'load_count'")
+    assert rows(got, "since", "until", "found", "expected", "days", "rows") == [
+        ("2025-09-01", "2025-09-02", "BIGINT", "BIGINT", 2, 3),
+        ("2025-09-03", "2025-09-03", "VARIANT", "BIGINT", 1, 2),
+        ("2025-09-04", "2025-09-04", "STRING", "BIGINT", 1, 2),
+        ("2025-09-06", "2025-09-06", "BIGINT", "BIGINT", 1, 1),
+    ]
+    other = schema_drift.schema_drift(spark, folder, ("medias",)).where("field <> 'load_count'")
+    assert rows(other, "field", "found", "expected", "rows") == [
+        ("new", "BOOLEAN", None, 1), ("tags", "ARRAY<STRING>", None, 1),
+    ]
+    corrupt = schema_drift.schema_drift(spark, folder, ("medias",)).where("field is null")
+    assert rows(corrupt, "since", "rows") == [("2025-09-04", 1)]
