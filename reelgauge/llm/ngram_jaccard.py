@@ -12,9 +12,14 @@ A segment that is empty says nothing and has no signature; the allocation adds s
 segments. The few sets with more empty segments than the slack covers also get a signature per
 empty segment, so that no link is lost.
 
-Signatures are matched packed, members of a match are tied to its least member, and the components
-of these ties are families. Within a family all pairs of compatible size are verified on the whole
-sets, in blocks of bounded size, and only links that join something new leave a block.
+Signatures are matched packed. Sets also match by chance, on segments that hold little but a common
+n-gram, so each carries its parities: a bit per hash value that says whether an odd number of its
+n-grams has that value. The parities of two sets differ in no more bits than the sets differ in
+n-grams; a pair that differs in more than the similarity allows is no link, for certain, and is
+dropped where it is matched. Members of a match are tied to each other only through pairs that
+remain, and the components of these ties are families. Within a family all pairs of compatible size
+are verified on the whole sets, in blocks of bounded size, and only links that join something new
+leave a block.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +42,12 @@ from reelgauge.llm.packed import (
 )
 
 # Signatures a part holds on average, and parts at least.
-PART_SIGNATURES = 2_000_000
+PART_SIGNATURES = 1_000_000
 LEAST_PARTS = 32
+# Text a task works on at once, in bytes: its n-grams and signatures take some forty times as much.
+PIECE_BYTES = 4 << 20
+# Words of 64 bits that hold the parities of a set.
+PARITY_WORDS = 4
 # N-grams a block of a family holds on average, if it is more than one document. Larger blocks take
 # longer in one task, smaller ones send each text to more of them.
 BLOCK_GRAMS = 400_000
@@ -124,16 +134,26 @@ def cut_bands(p: int, q: int, largest: int, width: int) -> tuple[Band, ...]:
     return tuple(out)
 
 
-def rate(found: tuple[Band, ...], size: int) -> float:
-    """Signatures per n-gram of a set of a size, over the bands it takes part in."""
-    mine = [b for b in found if b.low <= size <= b.partner]
-    return sum(b.segments + size * b.loose / b.segments for b in mine) / size
+@lru_cache(maxsize=64)
+def bands_to(p: int, q: int, power: int) -> tuple[Band, ...]:
+    return cut_bands(p, q, 1 << power, WIDTH)
 
 
-@lru_cache(maxsize=8)
 def bands(p: int, q: int, largest: int) -> tuple[Band, ...]:
-    """The bands up to a largest set size, for a similarity of ``p`` / ``q``."""
-    return cut_bands(p, q, largest, WIDTH)
+    """The bands for a similarity of ``p`` / ``q`` up to a largest set size, and some beyond it:
+    they are cut up to a power of two, so that few lists of bands serve all batches."""
+    return bands_to(p, q, max(0, largest - 1).bit_length())
+
+
+def signature_counts(sizes: np.ndarray, p: int, q: int) -> np.ndarray:
+    """How many signatures sets of some sizes have at most, over the bands they take part in."""
+    different, at = np.unique(sizes, return_inverse=True)
+    known = bands(p, q, int(different[-1])) if len(different) else ()
+    count = [
+        sum(b.segments + n * b.loose / b.segments for b in known if b.low <= n <= b.partner)
+        for n in different.tolist()
+    ]
+    return np.ceil(np.array(count)).astype(np.int64)[at] if len(count) else np.zeros(0, np.int64)
 
 
 class Sets:
@@ -167,6 +187,18 @@ class Sets:
             self.key[full] = np.add.reduceat(mixed(self.gram), self.starts[full])
         self.key = mixed(self.key + self.size.astype(np.uint64)).view(np.int64)
 
+    def parities(self, chosen: np.ndarray) -> np.ndarray:
+        """The parities of the chosen sets, ``PARITY_WORDS`` numbers each."""
+        place = np.full(len(self.size), -1)
+        place[chosen] = np.arange(len(chosen))
+        mine = place[self.doc] >= 0
+        spread = mixed(self.gram[mine] * np.uint64(2**32 + 15))
+        bit = (spread >> np.uint64(17)) % np.uint64(64 * PARITY_WORDS)
+        out = np.zeros(len(chosen) * PARITY_WORDS, np.uint64)
+        word = place[self.doc[mine]] * PARITY_WORDS + (bit >> np.uint64(6)).astype(np.int64)
+        np.bitwise_xor.at(out, word, np.uint64(1) << (bit & np.uint64(63)))
+        return out.reshape(-1, PARITY_WORDS)
+
     def signatures(self, chosen: np.ndarray, p: int, q: int):
         """Signatures and the key of their set, for the chosen sets."""
         largest = int(self.size[chosen].max()) if len(chosen) else 0
@@ -222,29 +254,95 @@ def band_signatures(gram: np.ndarray, doc: np.ndarray, band: Band, number: int):
         yield mixed(salt + np.uint64(1)), sets[thin[which_set]]
 
 
-def tagged(tag: np.ndarray, key: np.ndarray) -> bytes:
-    """Tags sorted by their set: the sets, how many tags each has, and the tags."""
+def tagged(
+    tag: np.ndarray, key: np.ndarray, size: np.ndarray, parity: np.ndarray,
+) -> bytes:
+    """Tags sorted by their set, with the key, the number of tags, the size and the parities of each
+    set; ``size`` and ``parity`` are given per tag."""
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     count = np.diff(np.r_[first, len(key)]).astype(np.uint32)
-    return len(first).to_bytes(4, "little") + planes(key[first]) + planes(count) + planes(tag)
-
-
-def ties(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Each set that shares a signature, with the least set that has it too."""
-    tags, keys = [], []
+    return b"".join([
+        len(first).to_bytes(4, "little"), planes(key[first]), planes(count),
+        planes(size[first].astype(np.uint32)), parity[first].tobytes(), planes(tag),
+    ])
+
+
+def untagged(blob: bytes) -> tuple[np.ndarray, ...]:
+    """Tags, the place of each tag's set, and keys, sizes and parities of the sets."""
+    sets, at = int.from_bytes(blob[:4], "little"), 4
+    out = []
+    for kind in (np.int64, np.uint32, np.uint32):
+        width = np.dtype(kind).itemsize * sets
+        out.append(from_planes(blob[at:at + width], kind))
+        at += width
+    width = 8 * PARITY_WORDS * sets
+    parity = np.frombuffer(blob[at:at + width], np.uint64).reshape(sets, PARITY_WORDS)
+    key, count, size = out
+    return (from_planes(blob[at + width:], np.uint32), np.repeat(np.arange(sets), count), key,
+            size.astype(np.int64), parity)
+
+
+class Compatible:
+    """Tells pairs of sets that may be linked from those that cannot."""
+
+    def __init__(self, size: np.ndarray, parity: np.ndarray, p: int, q: int):
+        self.size, self.parity, self.p, self.q = size, parity, p, q
+
+    def __call__(self, a, b) -> np.ndarray:
+        differ = np.bitwise_count(self.parity[a] ^ self.parity[b]).sum(axis=-1, dtype=np.int64)
+        x, y = self.size[a], self.size[b]
+        near = differ * (self.p + self.q) <= (x + y) * (self.q - self.p)
+        return near & (np.minimum(x, y) * self.q >= np.maximum(x, y) * self.p)
+
+
+def tied(members: np.ndarray, compatible: Compatible) -> list[tuple[int, int]]:
+    """Pairs that connect what compatible pairs of the members connect, each with its first member."""
+    left, out = members, []
+    while len(left) > 1:
+        first, left = left[0], left[1:]
+        front = [first]
+        while front and len(left):
+            near = compatible(np.full(len(left), front.pop()), left)
+            found = left[near].tolist()
+            out += [(first, other) for other in found]
+            front += found
+            left = left[~near]
+    return out
+
+
+def ties(blobs: list[bytes], p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sets that share a signature and may be linked, each with the least set it is tied to."""
+    tags, owners, keys, sizes, parities, sets = [], [], [], [], [], 0
     for blob in blobs:
-        sets = int.from_bytes(blob[:4], "little")
-        count = from_planes(blob[4 + 8 * sets:4 + 12 * sets], np.uint32)
-        keys.append(np.repeat(from_planes(blob[4:4 + 8 * sets], np.int64), count))
-        tags.append(from_planes(blob[4 + 12 * sets:], np.uint32))
-    tag, key = np.concatenate(tags), np.concatenate(keys)
-    order = np.lexsort((key, tag))
-    tag, key = tag[order], key[order]
+        tag, owner, key, size, parity = untagged(blob)
+        tags.append(tag)
+        owners.append(owner + sets)
+        keys.append(key)
+        sizes.append(size)
+        parities.append(parity)
+        sets += len(key)
+    # A set comes once per batch that has it; they are numbered in the order of their keys.
+    key, once, number = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    compatible = Compatible(np.concatenate(sizes)[once], np.concatenate(parities)[once], p, q)
+    tag, owner = np.concatenate(tags), number[np.concatenate(owners)]
+    order = np.lexsort((owner, tag))
+    tag, owner = tag[order], owner[order]
+    new = np.r_[True, (tag[1:] != tag[:-1]) | (owner[1:] != owner[:-1])]
+    tag, owner = tag[new], owner[new]
     first = np.flatnonzero(np.r_[True, tag[1:] != tag[:-1]])
-    least = np.repeat(key[first], np.diff(np.r_[first, len(tag)]))
-    other = key != least
-    pairs = np.unique(np.column_stack([least[other], key[other]]), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    count = np.diff(np.r_[first, len(tag)])
+    two = first[count == 2]
+    pairs = np.unique(np.column_stack([owner[two], owner[two + 1]]), axis=0)
+    pairs = pairs[compatible(pairs[:, 0], pairs[:, 1])].tolist()
+    known = set()
+    for start, many in zip(first[count > 2].tolist(), count[count > 2].tolist()):
+        members = owner[start:start + many]
+        same = members.tobytes()  # the members of a cluster share many signatures
+        if same not in known:
+            known.add(same)
+            pairs += tied(members, compatible)
+    found = np.unique(np.array(pairs, np.int64).reshape(-1, 2), axis=0)
+    return key[found[:, 0]], key[found[:, 1]]
 
 
 def links_within(sizes, grams, left, right, p: int, q: int) -> list[tuple[int, int]]:
@@ -284,7 +382,7 @@ def links_within(sizes, grams, left, right, p: int, q: int) -> list[tuple[int, i
 
 MEMBER = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("key", T.LongType()),
-    T.StructField("n_shingles", T.LongType()),
+    T.StructField("n_shingles", T.LongType()), T.StructField("signatures", T.LongType()),
 ])
 TIE = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -312,31 +410,40 @@ def linked_documents(
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(sets.key, pa.int64()),
                 pa.array(sets.size, pa.int64()),
+                pa.array(signature_counts(sets.size, p, q), pa.int64()),
             ], MEMBER.names)
 
     member = stored(texts.mapInArrow(members, MEMBER), "sets")
-    total = member.agg(F.sum("n_shingles")).first()[0] or 0
-    parts = max(LEAST_PARTS, math.ceil(rate(bands(p, q, 500), 500) * total / PART_SIGNATURES))
+    total = member.agg(F.sum("signatures")).first()[0] or 0
+    parts = max(LEAST_PARTS, math.ceil(total / PART_SIGNATURES))
 
     def send(batches):
         for batch in batches:
-            sets = Sets(utf8(batch.column("text")), n)
-            full = np.flatnonzero((sets.size > 0) & np.asarray(batch.column("doc_id").is_valid()))
-            _, once = np.unique(sets.key[full], return_index=True)
-            sig, key = sets.signatures(full[once], p, q)
-            part = ((sig >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-            tag = sig.astype(np.uint32)
-            order = np.lexsort((key, part))
-            part, tag, key = part[order], tag[order], key[order]
-            rows = [(k, 0, tagged(tag[a:b], key[a:b])) for k, a, b in slices(part)]
-            yield pa.RecordBatch.from_arrays(sent_batch(rows), SENT.names)
+            for piece in pieces(batch):
+                sets = Sets(utf8(piece.column("text")), n)
+                named = np.asarray(piece.column("doc_id").is_valid())
+                full = np.flatnonzero((sets.size > 0) & named)
+                _, once = np.unique(sets.key[full], return_index=True)
+                full = full[once]  # in the order of their keys
+                sig, key = sets.signatures(full, p, q)
+                part = ((sig >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+                tag = sig.astype(np.uint32)
+                order = np.lexsort((key, part))
+                part, tag, key = part[order], tag[order], key[order]
+                at = np.searchsorted(sets.key[full], key)
+                size, parity = sets.size[full][at], sets.parities(full)
+                rows = [
+                    (k, 0, tagged(tag[a:b], key[a:b], size[a:b], parity[at[a:b]]))
+                    for k, a, b in slices(part)
+                ]
+                yield pa.RecordBatch.from_arrays(sent_batch(rows), SENT.names)
 
     def tie(group: pa.Table) -> pa.Table:
-        a, b = ties(group.column("blob").to_pylist())
+        a, b = ties(group.column("blob").to_pylist(), p, q)
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], TIE.names)
 
-    tied = texts.mapInArrow(send, SENT).groupBy("part").applyInArrow(tie, TIE).distinct()
-    family = components(tied).withColumnsRenamed({"node": "key", "label": "family"})
+    matched = texts.mapInArrow(send, SENT).groupBy("part").applyInArrow(tie, TIE).distinct()
+    family = components(matched).withColumnsRenamed({"node": "key", "label": "family"})
     known = member.where("n_shingles > 0 and doc_id is not null")
     least = stored(known.groupBy("key", "n_shingles").agg(F.min("doc_id").alias("first")), "least")
     link = verified(texts, family, least, n, p, q)
@@ -353,6 +460,16 @@ def linked_documents(
     ).withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
 
 
+def pieces(batch: pa.RecordBatch):
+    """A batch in slices of about ``PIECE_BYTES`` of text, one longer text being a slice."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(sizes) // PIECE_BYTES
+    edges = np.r_[0, np.flatnonzero(np.diff(piece)) + 1, len(piece)]
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def verified(
     texts: DataFrame, family: DataFrame, least: DataFrame, n: int, p: int, q: int,
 ) -> DataFrame:

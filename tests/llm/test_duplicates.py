@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +167,54 @@ def test_passages_of_odd_rows(spark):
     # "start" before the passage is common to both as well.
     assert removed[10] == 1 + len(PASSAGE.split()) and removed[9] == removed[8] == removed[None] == 0
     assert deduplicated(no_documents(spark)).count() == 0
+
+
+def test_parities_drop_no_link_and_most_chance_matches():
+    rng = random.Random(21)
+    texts = []
+    for _ in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([1, 4, 30, 120, 400]))]
+        texts.append(" ".join(words))
+        for _ in range(2):
+            edited = list(words)
+            for _ in range(max(1, len(words) // rng.choice([20, 60, 200]))):
+                edited[rng.randrange(len(edited))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(edited))
+    sets = ngram_jaccard.Sets([t.encode() for t in texts], 4)
+    every = np.arange(len(texts))
+    own = [set(sets.gram[a:a + n].tolist()) for a, n in zip(sets.starts, sets.size)]
+    for p, q in ((85, 100), (8, 10)):
+        compatible = ngram_jaccard.Compatible(sets.size, sets.parities(every), p, q)
+        links = kept = 0
+        for i in range(len(texts)):
+            near = compatible(np.full(len(texts), i), every)
+            for j in range(i):
+                linked = q * len(own[i] & own[j]) >= p * len(own[i] | own[j])
+                assert near[j] or not linked
+                links, kept = links + linked, kept + bool(near[j])
+        assert links > 20 and kept < 3 * links
+
+
+def test_ties_connect_what_compatible_pairs_connect():
+    rng = np.random.default_rng(4)
+    size = rng.integers(20, 30, 40)
+    parity = np.zeros((40, ngram_jaccard.PARITY_WORDS), np.uint64)
+    for i in range(1, 40):  # a chain: each differs a little from one before it, or wholly
+        parity[i] = parity[rng.integers(0, i)]
+        for _ in range(4 if i % 5 else 120):
+            parity[i, rng.integers(0, 4)] ^= np.uint64(1) << np.uint64(rng.integers(0, 64))
+    compatible = ngram_jaccard.Compatible(size, parity, 80, 100)
+    label = list(range(40))
+    for i in range(40):
+        for j in range(i):
+            if compatible(np.array([i]), np.array([j]))[0] and label[i] != label[j]:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    found = list(range(40))
+    for a, b in ngram_jaccard.tied(np.arange(40), compatible):
+        old, new = found[b], found[a]
+        found = [new if x == old else x for x in found]
+    def groups(labels):
+        return sorted(sorted(i for i in range(40) if labels[i] == x) for x in set(labels))
+
+    assert groups(found) == groups(label) and len(set(label)) > 3
