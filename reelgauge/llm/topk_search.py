@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from reelgauge.llm.common import python_tasks
 
-# Vectors a block holds on average, and the depth of the first read; each read doubles it.
-BLOCK = 8192
+# Vectors of a block and queries of a slice on average, and the depth of the first read; each read
+# doubles it.
+BLOCK, SLICE = 8192, 4096
 FIRST_READ = 32
 
 FOUND = T.StructType([
@@ -45,10 +46,28 @@ class SortedLists:
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[by_id], vectors[by_id]
         self.order = np.argsort(self.vectors, axis=0, kind="stable").T
+        self.largest = float(np.abs(self.vectors.astype(np.float64)).max(initial=0))
+
+    def holds(self, query: np.ndarray) -> bool:
+        """Whether all sums of products stay within 64 bits."""
+        most = float(np.abs(query.astype(np.float64)).max(initial=0))
+        return self.largest * most * len(query) < 2**62
+
+    def best_of_all(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for numbers that 64 bits may not hold: all are scored as whole numbers of any
+        length, and the scores held within 64 bits."""
+        sums = self.vectors.astype(object) @ query.astype(object)
+        scores = np.array([min(max(s, -2**63), 2**63 - 1) for s in sums], np.int64)
+        others = np.flatnonzero(self.ids != own)
+        # Scores may be as low as 64 bits go, where a minus sign would wrap.
+        keep = others[np.lexsort((self.ids[others], ~scores[others]))[:k]]
+        return self.ids[keep], scores[keep]
 
     def best(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the best ``k`` vectors that are not the query's own."""
         n = len(self.ids)
+        if not self.holds(query):
+            return self.best_of_all(query, own, k)
         used = np.flatnonzero(query)
         if not len(used):  # all scores are 0
             at = np.flatnonzero(self.ids != own)[:k]
@@ -84,14 +103,16 @@ class SortedLists:
 
 def top_k(
     vectors: DataFrame, query: Column, k: int = 5, vector: str = "embedding",
+    slice_size: int = SLICE,
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of each query's best ``k`` rows.
 
     ``query`` says which rows are queries; candidates are all rows but those with the query's id.
     Scores are inner products of the quantised vectors; ties go to the smaller id. Rows with a null
     id or a vector that is null, empty or not finite take no part; only vectors of the query's
-    length are compared; repeated rows are one row; an empty table gives an empty table; other
-    columns are not looked at.
+    length are compared; repeated rows are one row; huge components and scores are held within 64
+    bits; an empty table gives an empty table; other columns are not looked at. Every block of
+    candidates meets every slice of the queries, so a task holds one of each.
     """
     python_tasks(vectors.sparkSession)
     known = (
@@ -101,13 +122,23 @@ def top_k(
         ).where("vec_id is not null and v is not null").distinct()
         .withColumn("size", F.size("v"))
     )
-    count = known.count()
-    blocks = max(1, math.ceil(count / BLOCK))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    candidates = known.select("vec_id", "v", "size", block.alias("block"))
+    size = known.agg(F.count("*").alias("n"), F.count_if("is_query").alias("asked")).first()
+    blocks = max(1, math.ceil(size["n"] / BLOCK))
+    slices = max(1, math.ceil(size["asked"] / slice_size))
+
+    def dealt(parts: int) -> Column:
+        return F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")
+
+    def every(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    candidates = known.select(
+        "vec_id", "v", "size", dealt(blocks).alias("block"), every(slices).alias("slice")
+    )
     asked = known.where("is_query").select(
-        "vec_id", "v", "size", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+        "vec_id", "v", "size", dealt(slices).alias("slice"), every(blocks).alias("block")
     )
+    keys = ["block", "slice", "size"]
 
     def search(block_rows: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
@@ -119,9 +150,7 @@ def top_k(
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
         return pa.table([pa.array(c, pa.int64()) for c in columns], FOUND.names)
 
-    found = candidates.groupBy("block", "size").cogroup(
-        asked.groupBy("block", "size")
-    ).applyInArrow(search, FOUND)
+    found = candidates.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(search, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -19,8 +19,10 @@ from reelgauge.llm.common import stored
 # A mined rule holds for at least this share of the labelled URLs, and this often gives its label.
 SUPPORT = 0.002
 CONFIDENCE = 0.6
-# Tokens of a mined rule at most.
-LENGTH = 4
+# How much surer than the share of its label among all labelled URLs a rule must be.
+LIFT = 1.2
+# Token sets that occur most often: that many are joined by broadcast.
+HOT_SETS = 10_000
 DEFAULT = "allow"
 
 AFTER_SCHEME = r"^.*?://([^/?#]*)"
@@ -75,8 +77,9 @@ def mine(
     """Rules from ``labelled`` (``tokens``, ``label``): their tokens, label and how sure they are.
 
     Columns: ``needs`` (array), ``rarest`` (the token to find the rule by), ``label``,
-    ``confidence``, ``support``. Rows with a null label or without tokens are left out; an empty
-    table gives no rule.
+    ``confidence``, ``support``. A rule must be ``CONFIDENCE`` sure, and ``LIFT`` times as sure as its
+    label is frequent: where most labelled URLs are blocked, a token they all share says nothing.
+    Rows with a null label or without tokens are left out; an empty table gives no rule.
     """
     spark = labelled.sparkSession
     marked = labelled.where(F.col("label").isNotNull() & (F.size("tokens") > 0)).select(
@@ -89,7 +92,7 @@ def mine(
     rules = stored(
         model.associationRules.where(F.col("consequent")[0].startswith("label:"))
         .where(~F.exists("antecedent", lambda t: t.startswith("label:")))
-        .where(F.size("antecedent") <= LENGTH)
+        .where(F.col("lift") >= LIFT)
         .select(
             F.array_sort("antecedent").alias("needs"),
             F.substring(F.col("consequent")[0], 7, 1 << 30).alias("label"), "confidence", "support",
@@ -163,13 +166,31 @@ def judged(
             tokens(host(F.col("url")), path(F.col("url"))).alias("tokens"), "label"
         )
     mined = mine(known)
-    with_tokens = ruled.withColumn("_tokens", F.when(
-        F.col("rule").isNull(), tokens(F.col("host"), F.col("path"))
-    ))
-    # The verdict depends on the tokens alone: match each distinct set once.
-    sets = with_tokens.where("_tokens is not null").select(F.col("_tokens").alias("tokens")).distinct()
-    label = matched(sets, mined).select(F.col("tokens").alias("_tokens"), F.col("label").alias("_label"))
-    return with_tokens.join(label, "_tokens", "left").select(
+    # Rows that a given rule decides never meet the join.
+    decided = ruled.where("rule is not null").withColumn("_label", F.lit(None).cast("string"))
+    open_ = ruled.where("rule is null").withColumn("_tokens", tokens(F.col("host"), F.col("path")))
+    found = with_labels(open_, mined).drop("_tokens")
+    return decided.unionByName(found).select(
         *own, "host", "path", "rule",
         F.coalesce(by_rule, F.col("_label"), F.lit(DEFAULT)).alias("verdict"),
     )
+
+
+def with_labels(rows: DataFrame, mined: DataFrame, hot_sets: int = HOT_SETS) -> DataFrame:
+    """``rows``, which have ``_tokens``, with the ``_label`` of the surest mined rule, or null.
+
+    It depends on the tokens alone: each distinct set is matched once. The most frequent sets are
+    joined back by a broadcast of at most ``hot_sets`` rows, so the URLs of a host that holds a
+    third of the pages stay in their tasks.
+    """
+    sets = stored(rows.groupBy(F.col("_tokens").alias("tokens")).agg(F.count("*").alias("n")), "url-sets")
+    label = matched(sets.select("tokens"), mined)
+    known = stored(
+        sets.join(label, "tokens", "left")
+        .select(F.col("tokens").alias("_tokens"), F.col("label").alias("_label"), "n"), "url-labels",
+    )
+    top = known.orderBy(F.desc("n"), "_tokens").limit(hot_sets)
+    hot = F.broadcast(stored(top.select("_tokens", "_label"), "url-hot"))
+    rest = rows.join(hot.select("_tokens"), "_tokens", "left_anti")
+    others = known.select("_tokens", "_label")
+    return rows.join(hot, "_tokens").unionByName(rest.join(others, "_tokens", "left"))
