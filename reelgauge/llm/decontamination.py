@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelgauge.llm.common import python_tasks
+from reelgauge.llm.common import python_tasks, stored
 
 Q = 8
 EDIT_RATE = 0.08
@@ -71,6 +71,46 @@ def budget(size: int, rate: float = EDIT_RATE) -> int:
     return max(0, min(math.floor(rate * size), (size - Q) // Q))
 
 
+def windows(codes: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of the ``size`` units, fewer than eight, from each place on."""
+    n = len(codes) - size + 1
+    out = np.zeros(max(0, n), np.uint64)
+    for i in range(size if n > 0 else 0):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[i:i + n] + np.uint64(1)
+    return out
+
+
+@dataclass
+class Short:
+    """Items of fewer than eight units, which have no q-gram: they have to occur as they are, as
+    whole words, for a few letters occur within words everywhere."""
+
+    by_size: dict[int, tuple[np.ndarray, list[tuple]]]
+
+    @staticmethod
+    def build(items: list[tuple]) -> Short:
+        sizes: dict[int, dict] = {}
+        for item_id, codes in items:
+            key = int(windows(codes, len(codes))[0])
+            sizes.setdefault(len(codes), {}).setdefault((key, codes.tobytes()), []).append(item_id)
+        return Short({
+            size: (np.unique(np.array([k for k, _ in found], np.uint64)), found)
+            for size, found in sizes.items()
+        })
+
+    def find(self, codes: np.ndarray):
+        """Yields item, start and stop."""
+        for size, (keys, items) in self.by_size.items():
+            hashes = windows(codes, size)
+            for start in np.flatnonzero(np.isin(hashes, keys)).tolist():
+                stop = start + size
+                around = [codes[i] for i in (start - 1, stop) if 0 <= i < len(codes)]
+                if any(chr(c).isalnum() for c in around):
+                    continue
+                for item_id in items.get((int(hashes[start]), codes[start:stop].tobytes()), ()):
+                    yield item_id, start, stop
+
+
 @dataclass
 class Index:
     """The q-grams of some benchmark items."""
@@ -85,15 +125,18 @@ class Index:
     item: np.ndarray
     place: np.ndarray
     seen: np.ndarray
+    short: Short
 
     @staticmethod
     def build(rows: tuple[tuple[int | None, str], ...], rate: float) -> Index:
-        ids, items = [], []
+        ids, items, short = [], [], []
         for item_id, text in rows:
             codes = units(text.strip())
             if len(codes) >= Q:
                 ids.append(item_id)
                 items.append(codes)
+            elif len(codes):
+                short.append((item_id, codes))
         sizes = np.array([len(x) for x in items], np.int64)
         budgets = np.array([budget(int(n), rate) for n in sizes], np.int64)
         grams = [qgrams(x) for x in items]
@@ -106,7 +149,7 @@ class Index:
         seen[(codes >> np.uint64(64 - BITS)).astype(np.int64)] = True
         return Index(
             ids, items, budgets, 2 * budgets + 1, sizes - Q + 1 - budgets * Q, codes,
-            np.append(starts, len(code)), item[order], place[order], seen,
+            np.append(starts, len(code)), item[order], place[order], seen, Short.build(short),
         )
 
     def candidates(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
@@ -224,6 +267,10 @@ def find_items(texts: list[str | None], built: Index) -> list[list[dict]]:
                 match = {"item_id": built.ids[which], "start": start, "stop": stop, "edits": edits}
                 if match not in out[k]:
                     out[k].append(match)
+    for item_id, start, stop in built.short.find(whole):
+        k = int(np.searchsorted(bounds, start, side="right")) - 1
+        begin = int(bounds[k])
+        out[k].append({"item_id": item_id, "start": start - begin, "stop": stop - begin, "edits": 0})
     for text, found in zip(texts, out):
         if found and any(ord(c) > 0xFFFF for c in text):
             data = text.encode("utf-16-le", "surrogatepass")
@@ -246,37 +293,55 @@ def matches(text: Column, rows: tuple, rate: float) -> Column:
     return found(text)
 
 
-def benchmark_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> list[tuple]:
-    """The items (null and blank texts left out) in blocks of about ``most`` bytes."""
-    items = benchmark.where(F.length(F.trim("text")) > 0).select(
-        F.col("item_id").cast("long").alias("item_id"), "text"
-    ).distinct()
-    size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    count = -(-size // most)
-    if count <= 1:
-        return [block_rows(items)]
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    return [block_rows(items.where(block == k)) for k in range(count)]
-
-
 def block_rows(items: DataFrame) -> tuple:
     return tuple((r["item_id"], r["text"]) for r in items.orderBy("item_id", "text").collect())
 
 
 def benchmark_matches(
     documents: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``documents`` with ``matches``: item, start and stop (in characters), edits of each place.
 
     An item matches where a passage of the text is at most ``rate`` of its length away in edits (no
-    more than ``budget`` allows). No shuffle; the benchmark goes to the tasks in blocks of 8 MB.
-    Null and empty texts, and all texts against an empty benchmark, have no match; items of fewer
-    than 8 characters are not looked for; repeated rows are searched each; an input column named
-    ``matches`` is replaced.
+    more than ``budget`` allows); one of fewer than 8 characters where it occurs without edits as
+    whole words. The benchmark goes to the tasks in blocks of ``block_bytes``. With one block there
+    is no shuffle; with more, one block after the other is fetched and sent, its finds are written,
+    and the finds of all blocks are put together per row. Null and empty texts, and all texts against
+    an empty benchmark, have no match; very long texts are searched whole; repeated rows are searched
+    each; an empty table gives an empty table; an input column named ``matches`` is replaced.
     """
     python_tasks(documents.sparkSession)
-    parts = [matches(F.col("text"), rows, rate) for rows in benchmark_blocks(benchmark)]
-    return documents.withColumn("matches", parts[0] if len(parts) == 1 else F.concat(*parts))
+    items = benchmark.where(F.length(F.trim("text")) > 0).select(
+        F.col("item_id").cast("long").alias("item_id"), "text"
+    ).distinct()
+    size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    blocks = -(-size // block_bytes)
+    if blocks <= 1:
+        return documents.withColumn("matches", matches(F.col("text"), block_rows(items), rate))
+    numbered = stored(
+        documents.drop("matches").withColumn("_row_number", F.monotonically_increasing_id()), "numbered"
+    )
+    block, found = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)), None
+    for k in range(blocks):
+        here = matches(F.col("text"), block_rows(items.where(block == k)), rate)
+        part = stored(numbered.select("_row_number", F.explode(here).alias("match")), "found")
+        found = part if found is None else found.unionByName(part)
+    in_order = F.array_sort("all", lambda a, b: F.when(_place(a) < _place(b), -1).otherwise(1))
+    grouped = found.groupBy("_row_number").agg(F.collect_list("match").alias("all")).select(
+        "_row_number", in_order.alias("matches")
+    )
+    none = F.array().cast(MATCHES)
+    return numbered.join(grouped, "_row_number", "left").withColumn(
+        "matches", F.coalesce("matches", none)
+    ).drop("_row_number")
+
+
+def _place(match: Column) -> Column:
+    """Order of matches: by place, then item, those without a number last."""
+    return F.struct(
+        match["start"], match["stop"], match["item_id"].isNull(), F.coalesce(match["item_id"], F.lit(0))
+    )
 
 
 def without_benchmark(

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from reelgauge.llm.decontamination import (
-    Index, benchmark_blocks, benchmark_matches, budget, find_items, units, without_benchmark,
+    Index, benchmark_matches, budget, find_items, units, without_benchmark,
 )
 from tests.llm.cases import ROWS, no_documents, odd_documents
 
@@ -94,10 +94,32 @@ def test_odd_rows(spark):
 
 def test_a_large_benchmark_goes_in_blocks(spark):
     folder = "/root/testdata/sf0.01"
-    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
-    one, many = benchmark_blocks(benchmark), benchmark_blocks(benchmark, most=2000)
-    assert len(one) == 1 and len(many) > 3
-    assert sorted(one[0]) == sorted(row for block in many for row in block)
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet").unionByName(
+        spark.createDataFrame([(10**6, "the"), (None, "le")], "item_id long, text string"),
+    )
+    documents = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").where(
+        "doc_id % 3 = 0"
+    )
+    documents = documents.unionByName(documents.limit(5))
+    one, many = (
+        sorted(repr((r["doc_id"], r["matches"])) for r in benchmark_matches(
+            documents, benchmark, block_bytes=size).collect())
+        for size in (8 << 20, benchmark.count() * 40)
+    )
+    assert one == many and len(one) == documents.count()
+
+
+def test_short_items_are_found_as_whole_words():
+    items = [(1, "wxyz"), (2, "a b"), (3, "é"), (4, "seven77"), (5, "WXYZ"), (None, "no"), (6, "😀 x")]
+    built = Index.build(tuple(items), 0.08)
+    texts = ["say wxyz, Wxyz!", "wxyzs or awxyz or wxyz1", "a\tb", "é", "😀 seven77", "no", None, "wxyz",
+             "x 😀 x"]
+    got = [[(m["item_id"], m["start"], m["stop"], m["edits"]) for m in found]
+           for found in find_items(texts, built)]
+    assert got == [
+        [(1, 4, 8, 0), (5, 4, 8, 0), (1, 10, 14, 0), (5, 10, 14, 0)], [], [(2, 0, 3, 0)], [(3, 0, 1, 0)],
+        [(4, 2, 9, 0)], [(None, 0, 2, 0)], [], [(1, 0, 4, 0), (5, 0, 4, 0)], [(6, 2, 5, 0)],
+    ]
 
 
 def test_every_planted_item_is_found(spark):
