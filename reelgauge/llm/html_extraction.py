@@ -55,6 +55,17 @@ left right top bottom main site global primary secondary area bar block box inne
 links list outer section
 """.split())
 
+# Words that make a name a mark where it ends in them (post-comments), where it begins
+# with them (ad-slot), and words that say that a page has, or has not, what is named after them.
+MARKING_TAILS = frozenset("""
+ad ads advert adverts advertisement comment comments disqus replies sidebar nav navbar navigation
+menu breadcrumb breadcrumbs footer cookies newsletter promo sponsored
+""".split())
+MARKING_HEADS = frozenset("""
+ad ads advert advertisement comment comments cookie disqus newsletter promo sidebar sponsored
+""".split())
+OF_THE_PAGE = frozenset("no not has have with without".split())
+
 LENGTH_LOW = 70
 LENGTH_HIGH = 200
 STOP_LOW = 0.15
@@ -72,11 +83,17 @@ TOKEN = re.compile(
 SKIPPED_TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style)(?=[\s/>])[^>]*+(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
-    rf"|<(/?)({SKIPPED})(?=[\s/>])[^>]*+>",
+    rf"|<(/?)({SKIPPED})(?=[\s/>])[^>]*+>"
+    r"|<[a-zA-Z/][^>]*+\Z",  # a tag without an end: no other can follow
     re.DOTALL | re.IGNORECASE,
 )
 SKIPPED_NAMES = frozenset(SKIPPED.split("|"))
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+HIDDEN = re.compile(
+    r"(?:^|[\s\"'])hidden(?=[\s/=]|\Z)|\bstyle\s*=\s*[\"']?[^\"'>]*?\bdisplay\s*:\s*none\b",
+    re.IGNORECASE,
+)
+HEADING = re.compile(r"h[1-6]")
 NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -104,6 +121,7 @@ class Block:
     label: str = ""
     inside: bool = False
     beside: bool = False
+    heading: bool = False
 
     @cached_property
     def links(self) -> float:
@@ -116,18 +134,27 @@ class Block:
 
 
 def beside_by_name(attributes: str) -> bool:
-    """Whether a whole class, id or role is a mark: of its words all, but for neutral ones."""
+    """Whether a whole class, id or role is a mark.
+
+    All its words are marks or neutral ones, or it ends in, or begins with, a word that makes it one;
+    unless a word says that it is the page that has, or has not, what is named.
+    """
     for match in NAMED.finditer(attributes):
         for token in (match[1] or match[2] or match[3] or "").split():
-            words = {part.lower() for part in NAME_PART.findall(token)}
-            if not words.isdisjoint(BESIDE_NAMES) and words <= BESIDE_NAMES | NEUTRAL_NAMES:
+            words = [part.lower() for part in NAME_PART.findall(token)]
+            if not words or not OF_THE_PAGE.isdisjoint(words):
+                continue
+            if words[-1] in MARKING_TAILS or words[0] in MARKING_HEADS:
+                return True
+            every = set(words)
+            if not every.isdisjoint(BESIDE_NAMES) and every <= BESIDE_NAMES | NEUTRAL_NAMES:
                 return True
     return False
 
 
 def part_of(name: str, attributes: str, within: tuple[Part, ...]) -> Part | None:
     """What an element makes of what is in it; None: nothing new."""
-    if name in BESIDE:
+    if name in BESIDE or attributes and name not in NEVER_BESIDE and HIDDEN.search(attributes):
         return Part(True)
     # An article within another, or within what stands beside, may be a comment or a teaser.
     named = name not in NEVER_BESIDE and (name != "article" or bool(within))
@@ -216,6 +243,7 @@ def blocks(page: str) -> list[Block]:
         if name not in INLINE or opened and opened[-1][0] == name:
             links = 0 if name not in INLINE else links
             close()
+            block.heading = not closing and HEADING.fullmatch(name) is not None
     text(page[at:])
     close()
     settle(found)
@@ -241,8 +269,12 @@ def settle(found: list[Block]) -> None:
         b.inside = bool(told) and not told[-1].beside
 
 
-def label(block: Block, has_article: bool) -> str:
-    """What a block is by itself: good, bad, or open (near or short)."""
+def label(block: Block, has_article: bool, known: bool = True) -> str:
+    """What a block is by itself: good, bad, or open (near or short).
+
+    ``known`` says that the page is in a language whose stop words are known; otherwise length and
+    links alone decide.
+    """
     if block.beside or has_article and not block.inside:
         return "bad"
     size = len(block.text)
@@ -252,7 +284,7 @@ def label(block: Block, has_article: bool) -> str:
         return "bad"
     if size < LENGTH_LOW:
         return "short"
-    if block.stops >= STOP_HIGH:
+    if block.stops >= STOP_HIGH or not known:
         return "good" if size >= LENGTH_HIGH or block.inside else "near"
     if block.stops >= STOP_LOW:
         return "good" if block.inside else "near"
@@ -265,8 +297,9 @@ def main_text(page: str | None) -> str:
         return ""
     found = blocks(page)
     has_article = any(b.inside and not b.beside for b in found)
+    known = any(b.stops >= STOP_LOW for b in found if len(b.text) >= LENGTH_LOW and not b.beside)
     for b in found:
-        b.label = label(b, has_article)
+        b.label = label(b, has_article, known)
     inner = [b for b in found if b.inside and not b.beside] if has_article else found
     before: list[tuple[str, int]] = []
     last = ("", -1)
@@ -286,7 +319,8 @@ def main_text(page: str | None) -> str:
         elif len({name for _, name in near}) == 1:
             own = near[0][1] == "good"
         elif near[0][0] == near[1][0]:
-            own = has_article or b.label == "near"
+            # Of equally near ones a heading follows what it stands over.
+            own = has_article or b.label == "near" or b.heading and after[0] == "good"
         else:
             own = min(near)[1] == "good"
         b.label = b.label + (" good" if own else " bad")

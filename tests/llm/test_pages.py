@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import html
 import re
+import time
 from html.parser import HTMLParser
 
+import pytest
 from pyspark.sql import functions as F
 
 from reelgauge.llm.html_extraction import extract_text, main_text
@@ -139,3 +141,47 @@ def test_markup_never_remains(spark):
         text = main_text(r["html"])
         assert not re.search(r"</?(p|b|article|nav|div)\b", text)
         assert html.escape(text, quote=False).count("&amp;nbsp;") == 0
+
+
+def test_reader_comments_and_adverts_within_an_article_go():
+    wanted = f"{PROSE * 3}".strip()
+    for name in ("post-comments", "ad-slot", "commentList", "comment-thread", "advert_box", "site_nav",
+                 "cookie-bar-wide"):
+        page = f"<article><p>{PROSE * 3}</p><div class='{name}'><p>{PROSE * 2}</p></div></article>"
+        assert main_text(page) == wanted, name
+    for name in ("no-comments", "has-sidebar", "with-ads", "search-results", "post-content", "admin"):
+        page = f"<article><div class='{name}'><p>{PROSE * 3}</p></div></article>"
+        assert main_text(page) == wanted, name
+
+
+def test_a_title_between_menu_and_text_stays():
+    menu = "<div><a href=a>One</a> <a href=b>Two</a> <a href=c>Three</a></div>"
+    page = f"<body>{menu}<h1>A title</h1><p>{PROSE * 4}</p></body>"
+    assert main_text(page).splitlines() == ["A title", (PROSE * 4).strip()]
+    page = f"<body><p>{PROSE * 4}</p><h2>More</h2>{menu}</body>"
+    assert main_text(page) == (PROSE * 4).strip()
+
+
+def test_hidden_parts_go():
+    for hidden in ("hidden", "hidden=''", "style='color:red; display: none'", 'style="display:none"'):
+        page = f"<article><p>{PROSE * 3}</p><div {hidden}><p>{PROSE * 3}</p></div></article>"
+        assert main_text(page) == (PROSE * 3).strip(), hidden
+    page = f"<article><p data-hidden=1 style='display:block'>{PROSE * 3}</p></article>"
+    assert main_text(page) == (PROSE * 3).strip()
+
+
+def test_other_languages_without_an_article():
+    line = "Съешь же ещё этих мягких французских булок, да выпей чаю. " * 5
+    page = f"<nav><a href=x>дом</a></nav><div><a href=y>{line[:80]}</a></div><p>{line}</p><p>{line}</p>"
+    assert main_text(page) == "\n".join([line.strip()] * 2)
+
+
+@pytest.mark.parametrize("bit", [
+    "<style ", "<script ", "<script>", "<title ", "<svg ", "<!--", "<a href='", '<a "', "<button ",
+    "</", "<style/", "<textarea", "&", "&#", "<p hidden ", "< ", "<b class=\"x",
+])
+def test_a_megabyte_of_unclosed_tags_is_read_in_linear_time(bit):
+    page = f"<p>{PROSE * 3}</p>" + bit * ((1 << 20) // len(bit))
+    start = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - start < 8
