@@ -2,11 +2,13 @@
 
 Documents that are linked (here: that share a group) pull each other into one shard. Every document
 starts in the shard its place in the table gives. Large groups get their shards first, the largest
-ones whole shards. In each round a document of the others wants the shard that holds most of its
-group; the moves wanted from one shard to another are granted up to a quota: as many as want to go
-the opposite way, and what room is left. Then groups still apart, and those their shard has no room
-for, go whole to shards with room; only a group that fits nowhere whole stays split. Documents
-without links give way.
+ones whole shards. Then the others propagate: in each round a group that is still open wants the
+shard in which most of its documents are, among those that have room for all of it, else another
+with room; each shard has a quota, the room it has left, and takes what wants it up to the quota,
+larger groups first, of like size those that have more of their documents there. What is refused
+wants again in the next round, knowing the room left, until all are placed or nothing fits any more.
+Only groups that then fit nowhere whole are packed into what is left, and split. Documents without
+links give way.
 
 Everything is DataFrame code. Ranks within a shard never sort a whole shard in one task: rows get a
 bucket, buckets are counted, and a running sum of the counts gives each bucket its first rank.
@@ -22,7 +24,8 @@ from pyspark.sql import functions as F
 from reelgauge.llm.common import stored
 
 SHARDS = 24
-ROUNDS = 4
+# Rounds at most; they end when all groups are placed, or none that is open fits anywhere.
+ROUNDS = 24
 # Rows of a bucket on average, and buckets at least: of all rows, and of the rows of a shard.
 BUCKET = 20_000
 LEAST_BUCKETS = 64
@@ -88,11 +91,8 @@ def balanced_shards(
     others = placed.join(F.broadcast(hot.select(group)), group, "left_anti")
     small = linked.where(F.col("members") <= large)
     movable = stored(others.join(small, group), "linked")
-    for _ in range(rounds):
-        movable, moved = propagate(movable, group, room, buckets)
-        if not moved:
-            break
-    near, room = settled(movable, group, room, buckets, all_buckets)
+    whole, open_, room = propagated(movable, group, room, buckets, rounds)
+    near, room = with_rest(movable, group, whole, open_, room, all_buckets)
 
     # Documents without links fill what the linked ones leave free, staying where they can.
     single = others.join(small.select(group), group, "left_anti").select("row_id", "shard")
@@ -193,41 +193,81 @@ def shares(size: int, here: dict[int, int], room: list[int]) -> dict[int, int]:
     return out
 
 
-def favoured(movable: DataFrame, group: str, room: list[int]) -> DataFrame:
-    """The shard with room that holds most of a group, and how much of it; ties by hash, so that
-    no shard is favoured by all."""
+def whole_room(room: list[int]) -> Column:
+    """The shards that have room for all members of a group, in order."""
+    free = F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(n).alias("free")) for s, n in enumerate(room)])
+    return F.transform(F.filter(free, lambda f: f["free"] >= F.col("members")), lambda f: f["shard"])
+
+
+def wanted(group: str, room: list[int], number: int) -> tuple[Column, Column]:
+    """The shard a group wants, and how many of its documents are there: of the shards with room for
+    all of it the one with most of them, ties by hash so that no shard is wanted by all; if it has
+    documents in none of these, one of them by hash, another one each round. Null: none has room."""
+    fits = whole_room(room)
+    near = F.filter("held", lambda h: F.array_contains(fits, h["shard"]))
+    best = F.array_max(F.transform(near, lambda h: F.struct(
+        h["here"], F.xxhash64(F.col(group), h["shard"]).alias("by"), h["shard"]
+    )))
+    many = F.greatest(F.size(fits), F.lit(1))
+    other = F.get(fits, F.pmod(F.xxhash64(F.col(group), F.lit(number)), many).cast("int"))
+    return F.coalesce(best["shard"], other), F.coalesce(best["here"], F.lit(0))
+
+
+def propagated(
+    movable: DataFrame, group: str, room: list[int], buckets: int, rounds: int,
+) -> tuple[DataFrame, DataFrame, list[int]]:
+    """The groups that were placed, with their shard; those still open; the room left per shard.
+
+    All documents of a group have the same neighbours and so want the same shard: a round joins and
+    ranks one row per open group. What comes to the driver is a row per shard and round.
+    """
     held = movable.groupBy(group, "members", "shard").agg(F.count("*").alias("here"))
-    rank = F.struct(per_shard(room) > 0, "here", F.xxhash64(group, "shard"))
-    return held.groupBy(group, "members").agg(
-        F.max_by(F.struct("shard", "here"), rank).alias("best")
-    ).select(group, "members", F.col("best.shard").alias("goal"), F.col("best.here").alias("here"))
+    open_ = stored(
+        held.groupBy(group, "members").agg(
+            F.collect_list(F.struct("shard", "here")).alias("held")  # a row per shard at most
+        ), "groups",
+    )
+    placed, room = open_.select(group, F.lit(None).cast("int").alias("shard")).where("false"), list(room)
+    for number in range(rounds):
+        goal, here = wanted(group, room, number)
+        wishes = open_.withColumns({"shard": goal, "here": here})
+        level = -2 * F.floor(F.log2(F.col("members").cast("double"))) - F.when(
+            2 * F.col("here") > F.col("members"), 1
+        ).otherwise(0)
+        asked = ranked(
+            wishes.where("shard is not null").withColumn("_level", level), ["shard"],
+            ["_level", group], "before", buckets, "members",
+        )
+        judged = stored(
+            asked.select(group, "members", "held", "shard", (
+                F.col("before") + F.col("members") <= per_shard(room)).alias("taken"))
+            .unionByName(wishes.where("shard is null").select(
+                group, "members", "held", "shard", F.lit(False).alias("taken"))), "wishes",
+        )
+        taken = {r["shard"]: r["n"] for r in judged.where("taken").groupBy("shard").agg(
+            F.sum("members").alias("n")).collect()}  # one row per shard
+        if not taken:
+            break
+        room = [n - taken.get(s, 0) for s, n in enumerate(room)]
+        placed = placed.unionByName(judged.where("taken").select(group, "shard"))
+        open_ = judged.where("not taken").select(group, "members", "held")
+        if not open_.limit(1).count():
+            break
+    return placed, open_, room
 
 
-def settled(
-    movable: DataFrame, group: str, room: list[int], buckets: int, all_buckets: int,
+def with_rest(
+    movable: DataFrame, group: str, placed: DataFrame, open_: DataFrame, room: list[int],
+    all_buckets: int,
 ) -> tuple[DataFrame, list[int]]:
-    """Shards of the documents of small groups, and the room left per shard.
+    """Shards of all documents of small groups, and the room left per shard.
 
-    A group goes to its favoured shard as far as there is room, larger ones first, of like size
-    those that are whole there. The others are counted by size, and each size, from the largest, is
-    dealt to the shards that hold it whole. What fits nowhere fills the rest in the order of groups.
+    Open groups are counted by size, and each size, from the largest, is dealt to the shards that hold
+    it whole. What fits nowhere fills the rest in the order of groups.
     """
-    spark, free, room = movable.sparkSession, room, list(room)
-    best = favoured(movable, group, room).withColumnRenamed("goal", "shard").withColumn(
-        "_level", -2 * F.floor(F.log2(F.col("members").cast("double")))
-        - F.when(F.col("here") == F.col("members"), 1).otherwise(0),
-    )
-    best = stored(
-        ranked(best, ["shard"], ["_level", group], "place", buckets, "members").select(
-            group, "members", "shard",
-            (F.col("place") + F.col("members") <= per_shard(room)).alias("fits"),
-        ),
-        "groups",
-    )
-    for r in best.where("fits").groupBy("shard").agg(F.sum("members").alias("n")).collect():
-        room = [n - r["n"] if s == r["shard"] else n for s, n in enumerate(room)]
+    spark, room = movable.sparkSession, list(room)
     # One row per size: at most the square root of twice the rows.
-    sizes = best.where("not fits").groupBy("members").agg(F.count("*").alias("n")).collect()
+    sizes = open_.groupBy("members").agg(F.count("*").alias("n")).collect()
     dealt = []
     for r in sorted(sizes, key=lambda r: -r["members"]):
         size, left, given = r["members"], r["n"], []
@@ -237,25 +277,25 @@ def settled(
             room[s] -= take * size
             left -= take
         dealt.append((size, steps([g for g in given if g[1]])))
+    members = movable.select("row_id", group)
+    if not dealt:
+        return stored(members.join(placed, group).select("row_id", "shard"), "settled"), room
     deal = spark.createDataFrame(dealt, f"members bigint, {STEPS}")
-    rest = best.where("not fits").select(group, "members").withColumn("_level", F.lit(0))
+    rest = open_.select(group, "members").withColumn("_level", F.lit(0))
     rest = stored(
         ranked(rest, ["members"], ["_level", group], "place", all_buckets)
         .join(F.broadcast(deal), "members").select(group, "members", step_taken().alias("shard")),
         "groups",
     )
-    whole = best.where("fits").select(group, "shard").unionByName(
-        rest.where("shard is not null").select(group, "shard")
-    )
+    whole = placed.unionByName(rest.where("shard is not null").select(group, "shard"))
     apart = ranked(
         rest.where("shard is null").select(group, "members").withColumn("_level", F.lit(0)), [],
         ["_level", group], "_before", all_buckets, "members",
     )
-    members = movable.select("row_id", group)
-    number = F.row_number().over(Window.partitionBy(group).orderBy("row_id")) - 1
-    split = members.join(apart.select(group, "_before"), group).withColumn(
-        "place", F.col("_before") + number
-    )
+    split = ranked(
+        members.join(apart.select(group, "_before"), group).withColumn("_level", F.lit(0)), [group],
+        ["_level", "row_id"], "_within", LEAST_SHARD_BUCKETS,
+    ).withColumn("place", F.col("_before") + F.col("_within"))
     gaps = sorted(enumerate(room), key=lambda g: -g[1])
     found = stored(
         members.join(whole, group).select("row_id", "shard").unionByName(
@@ -263,62 +303,11 @@ def settled(
         ),
         "settled",
     )
-    taken = {r["shard"]: r["n"] for r in found.groupBy("shard").agg(
-        F.count("*").alias("n")).collect()}  # one row per shard
-    return found, [n - taken.get(s, 0) for s, n in enumerate(free)]
-
-
-def propagate(
-    movable: DataFrame, group: str, room: list[int], buckets: int,
-) -> tuple[DataFrame, int]:
-    """One round: the linked documents with their new shard, and how many moved."""
-    goals = favoured(movable, group, room).drop("members")
-    open_ = F.array(*(F.lit(n > 0) for n in room))[F.col("goal")]
-    wishes = stored(
-        movable.join(goals, group).select(
-            "row_id", group, "members", "shard",
-            F.when(open_, F.col("goal")).otherwise(F.col("shard")).alias("goal"),
-            (-F.floor(F.log2(F.col("here").cast("double")))).cast("int").alias("gain"),
-        ),
-        "wishes",
-    )
-    moves = wishes.where("goal <> shard")
-    # Quotas: one row per pair of shards, at most shards x shards rows.
-    asked = moves.groupBy("shard", "goal").agg(F.count("*").alias("n"))
-    asked = {(r["shard"], r["goal"]): r["n"] for r in asked.collect()}
-    if not asked:
-        return movable, 0
-    now = {r["shard"]: r["n"] for r in wishes.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    quota = quotas(asked, now, room)
-    rows = [(a, b, n) for (a, b), n in quota.items() if n > 0]
-    granted = movable.sparkSession.createDataFrame(rows, "shard int, goal int, quota long")
-    accepted = (
-        ranked(moves, ["shard", "goal"], ["gain", "row_id"], "place", buckets)
-        .join(F.broadcast(granted), ["shard", "goal"]).where("place < quota")
-        .select("row_id", group, "members", F.col("goal").alias("shard"))
-    )
-    stays = (
-        wishes.where("goal = shard").select("row_id", group, "members", "shard").unionByName(
-            ranked(moves, ["shard", "goal"], ["gain", "row_id"], "place", buckets)
-            .join(F.broadcast(granted), ["shard", "goal"], "left")
-            .where("quota is null or place >= quota").select("row_id", group, "members", "shard")
-        )
-    )
-    return stored(stays.unionByName(accepted), "linked"), sum(quota.values())
-
-
-def quotas(asked: dict, now: dict, most: list[int]) -> dict[tuple[int, int], int]:
-    """Moves granted per pair: exchanges both ways, then what the free room of a shard allows."""
-    out = {(a, b): min(n, asked.get((b, a), 0)) for (a, b), n in asked.items()}
-    for goal, limit in enumerate(most):
-        room = max(0, limit - now.get(goal, 0))
-        for a in range(len(most)):
-            left = asked.get((a, goal), 0) - out.get((a, goal), 0)
-            extra = min(left, room)
-            if extra > 0:
-                out[a, goal] += extra
-                room -= extra
-    return out
+    # What is split fills the gaps from the widest on.
+    left = rest.where("shard is null").agg(F.coalesce(F.sum("members"), F.lit(0)).alias("n")).first()["n"]
+    for s, n in gaps:
+        room[s], left = n - min(n, left), left - min(n, left)
+    return found, room
 
 
 def sharded_documents(
@@ -327,8 +316,9 @@ def sharded_documents(
     """``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
 
     The law is ``rows``: counts of shards differ by at most one. Linked are documents with equal
-    texts; null texts have size 8 and no links. Rows with the same id are told apart by their
-    number among the equal rows, so that repeated and null ids each get a slot.
+    texts; null and very long texts are like others, null texts have size 8 and no links. Rows are
+    told apart by a number of their own, so that repeated rows and null ids each get a slot. An empty
+    table gives an empty table; other columns, also those named like a result, are not looked at.
     """
     text = F.col("text")
     slim = documents.select(
@@ -337,12 +327,12 @@ def sharded_documents(
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.when(text.isNotNull(), F.sha2(text.cast("binary"), 256)).alias("links"),
     )
-    again = Window.partitionBy("doc_id", "links").orderBy(F.lit(0))
+    # Written once, so that the number that tells equal rows apart stays theirs.
     items = stored(
-        slim.withColumn("copy", F.row_number().over(again)).withColumn(
-            "row_id", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
-                                  F.coalesce("links", F.lit("-")), F.col("copy").cast("string"))
-        ).drop("copy"),
+        slim.withColumn("row_id", F.concat_ws(
+            ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
+            F.monotonically_increasing_id().cast("string"),
+        )),
         "items",
     )
     found = balanced_shards(items, "links", shards, rounds)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reelgauge.llm import url_filters
 from reelgauge.llm.queries import URL_RULES
-from reelgauge.llm.sharding import quotas, sharded_documents
+from reelgauge.llm.sharding import propagated, sharded_documents, with_rest
 from reelgauge.llm.topk_search import SortedLists, top_k
 from reelgauge.llm.url_filters import judged, mine, tokens
 from tests.conftest import plan
@@ -85,25 +85,68 @@ def test_only_all_copies_still_balance(spark):
     check_shards(sharded_documents(frame, shards=7).collect(), documents, 7)
 
 
-def test_quotas_keep_the_capacity():
-    rng = random.Random(1)
-    for _ in range(200):
-        most = [50] * 6
-        now = {s: rng.randint(0, 50) for s in range(6)}
-        asked: dict = {}
-        for s in range(6):
-            left = now[s]
-            for g in range(6):
-                n = rng.randint(0, left // 2)
-                if g != s and n:
-                    asked[s, g] = n
-                    left -= n
-        out = quotas(asked, now, most)
-        assert all(0 <= n <= asked[k] for k, n in out.items())
-        for s in range(6):
-            arriving = sum(n for (_, g), n in out.items() if g == s)
-            leaving = sum(n for (a, _), n in out.items() if a == s)
-            assert now[s] + arriving - leaving <= most[s]
+def movable_of(spark, rows):
+    df = spark.createDataFrame(rows, "row_id string, grp string, shard int")
+    sizes = df.groupBy("grp").agg(F.count("*").alias("members"))
+    return df.join(sizes, "grp")
+
+
+def test_rounds_place_groups_where_their_documents_are(spark):
+    """The rounds, not the packing, decide: nearly all groups go where most of them were."""
+    rng = random.Random(5)
+    rows, most_in = [], {}
+    for g in range(400):
+        own = rng.randrange(6)
+        most_in[f"g{g}"] = own
+        for k in range(rng.randint(3, 7)):
+            rows.append((f"{g}:{k}", f"g{g}", own if k < 3 else rng.randrange(6)))
+    movable = movable_of(spark, rows)
+    each = len(rows) // 6 + 40
+    placed, open_, room = propagated(movable, "grp", [each] * 6, 4, rounds=24)
+    shard = {r["grp"]: r["shard"] for r in placed.collect()}
+    assert len(shard) == 400 and open_.count() == 0
+    assert sum(shard[g] == s for g, s in most_in.items()) > 330
+    size = Counter(g for _, g, _ in rows)
+    used = Counter()
+    for g, s in shard.items():
+        used[s] += size[g]
+    assert room == [each - used[s] for s in range(6)] and min(room) >= 0
+    # With the rounds switched off nothing is placed, and the packing knows nothing of neighbours.
+    placed, open_, _ = propagated(movable, "grp", [each] * 6, 4, rounds=0)
+    assert placed.count() == 0 and open_.count() == 400
+
+
+def test_refused_groups_want_another_shard(spark):
+    """All groups have their documents in shard 0, which holds a quarter of them."""
+    rows = [(f"{g}:{k}", f"g{g}", 0) for g in range(40) for k in range(2)]
+    movable = movable_of(spark, rows)
+    placed, open_, room = propagated(movable, "grp", [20, 20, 20, 20], 4, rounds=24)
+    assert Counter(r["shard"] for r in placed.collect()) == {0: 10, 1: 10, 2: 10, 3: 10}
+    assert open_.count() == 0 and room == [0] * 4
+    # One round alone fills what is wanted and leaves the others to the packing.
+    placed, open_, room = propagated(movable, "grp", [20, 20, 20, 20], 4, rounds=1)
+    assert placed.count() == 10 and open_.count() == 30 and room == [0, 20, 20, 20]
+
+
+def test_what_fits_nowhere_whole_is_split(spark):
+    rows = [(f"{g}:{k}", f"g{g}", k % 3) for g in range(5) for k in range(4)]
+    movable = movable_of(spark, rows)
+    placed, open_, room = propagated(movable, "grp", [7, 7, 7], 4, rounds=24)
+    assert placed.count() == 3 and open_.count() == 2 and room == [3, 3, 3]
+    found, left = with_rest(movable, "grp", placed, open_, room, 4)
+    count = Counter(r["shard"] for r in found.collect())
+    assert sum(count.values()) == 20 and sorted(left) == [0, 0, 1]
+    assert [7 - count[s] for s in range(3)] == left
+
+
+def test_the_query_depends_on_the_rounds(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    by_rounds = [
+        {r["doc_id"]: r["shard"] for r in sharded_documents(documents, rounds=n).collect()}
+        for n in (0, 24)
+    ]
+    moved = [sum(shards[d] != by_rounds[1][d] for d in shards) for shards in by_rounds]
+    assert moved[0] > 10
 
 
 def given(url: str | None) -> tuple[str, str, str | None, str | None]:
