@@ -311,7 +311,8 @@ def tied(members: np.ndarray, compatible: Compatible) -> list[tuple[int, int]]:
 
 
 def ties(blobs: list[bytes], p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sets that share a signature and may be linked, each with the least set it is tied to."""
+    """The sets that the part's signatures connect through pairs that may be linked, each with the
+    least of them."""
     tags, owners, keys, sizes, parities, sets = [], [], [], [], [], 0
     for blob in blobs:
         tag, owner, key, size, parity = untagged(blob)
@@ -341,8 +342,26 @@ def ties(blobs: list[bytes], p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
         if same not in known:
             known.add(same)
             pairs += tied(members, compatible)
-    found = np.unique(np.array(pairs, np.int64).reshape(-1, 2), axis=0)
-    return key[found[:, 0]], key[found[:, 1]]
+    # The sets a part connects are tied to the least of them: every part that connects all of a
+    # cluster then says the same, a row per set, however many signatures its sets share.
+    found = np.array(pairs, np.int64).reshape(-1, 2)
+    least = least_connected(len(key), found[:, 0], found[:, 1])
+    other = np.flatnonzero(least != np.arange(len(key)))
+    return key[least[other]], key[other]
+
+
+def least_connected(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least number that each of ``count`` is connected to, by the pairs ``a``, ``b``."""
+    label = np.arange(count)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        for ends in (label[a], label[b], a, b):
+            np.minimum.at(new, ends, low)
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new
 
 
 def links_within(sizes, grams, left, right, p: int, q: int) -> list[tuple[int, int]]:

@@ -218,3 +218,15 @@ def test_ties_connect_what_compatible_pairs_connect():
         return sorted(sorted(i for i in range(40) if labels[i] == x) for x in set(labels))
 
     assert groups(found) == groups(label) and len(set(label)) > 3
+
+
+def test_least_connected():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        n, m = rng.integers(1, 60), rng.integers(0, 60)
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        label = list(range(n))
+        for x, y in zip(a, b):
+            p, q = label[x], label[y]
+            label = [min(p, q) if one in (p, q) else one for one in label]
+        assert ngram_jaccard.least_connected(n, a, b).tolist() == label
