@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # The naming of the landed files and day folders.
 VISITORS_FILE = r"visitors_([A-Za-z0-9]+)_page"
 MEDIAS_FILE = r"medias_([A-Za-z0-9]+)"
+METADATA_FILE = r"metadata_([A-Za-z0-9]+)"
 ANY_FILE = r"^(?:medias|metadata|visitors)_([A-Za-z0-9]+).*\.ndjson$"
 DAY_FOLDER = "/dt="
 DAY = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})/"

@@ -1,4 +1,8 @@
-"""Bronze rows to typed, deduplicated silver tables."""
+"""Bronze rows to typed, deduplicated silver tables.
+
+Fixed values: the names of the feeds' fields and of the tables' columns, and which field fills which
+column, are those of the data contract.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import to_double, to_long
-from ..functions.paths import MEDIAS_FILE, VISITORS_FILE, dt_from_path, id_from_path
+from ..functions.paths import (
+    MEDIAS_FILE, METADATA_FILE, VISITORS_FILE, dt_from_path, id_from_path,
+)
 from ..functions.times import parse_ts
 from ..schemas import SOURCE_PATH
 from .dedup import latest_per_key
@@ -44,7 +50,7 @@ def with_ids(df: DataFrame) -> DataFrame:
 
 def media_rows(metadata: DataFrame) -> DataFrame:
     """Metadata flattened and typed, not yet deduplicated."""
-    df = ensure_dt(ensure_media_id(metadata, r"metadata_([A-Za-z0-9]+)", own="hashed_id"))
+    df = ensure_dt(ensure_media_id(metadata, METADATA_FILE, own="hashed_id"))
     return df.select(
         "media_id",
         F.col("name").alias("title"),
