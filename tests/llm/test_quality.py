@@ -69,3 +69,37 @@ def test_size_difference_points_to_the_dictionary():
     x = np.array([-1.0, -0.5, 0.4, 1.0] * 20)
     slope, intercept = fit_curve(x, (x > 0).astype(int))
     assert slope > 0 and CompressionModel(good, bad, slope, intercept).slope == slope
+
+
+def test_scores_against_plain_compression(spark):
+    """The query's scores from a fresh compressor per block, and the fitted numbers from the formula."""
+    import math
+
+    import zstandard
+
+    from reelgauge.llm.queries import op8_quality
+
+    folder = "/root/testdata/sf0.01"
+    documents = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    model = learn(documents, spark.read.parquet(f"{folder}/labels.parquet"))
+    assert model.slope > 0
+
+    def size(text: bytes, dictionary: bytes) -> int:
+        blocks = (text[at:at + 2048] for at in range(0, len(text), 2048))
+        return sum(
+            len(zstandard.ZstdCompressor(
+                level=3, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=False,
+                write_content_size=False, write_dict_id=False,
+            ).compress(block)) for block in blocks
+        )
+
+    scores = {r["doc_id"]: r["score"] for r in op8_quality(spark, folder).collect()}
+    rows = documents.where("doc_id % 5 = 0").collect()
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        good, bad = size(data, model.good), size(data, model.bad)
+        x = (bad - good) / (bad + good) if data else 0.0
+        assert math.isclose(
+            scores[doc_id], 1 / (1 + math.exp(-(model.slope * x + model.intercept))), rel_tol=1e-9, abs_tol=1e-12
+        )
+    assert len(rows) > 150
