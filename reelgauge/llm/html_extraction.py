@@ -339,8 +339,8 @@ def extract_text(pages: DataFrame, page: str = "html") -> DataFrame:
     """``pages`` with ``text`` (empty if a page has none) and ``n_chars`` (its code points).
 
     One row in, one row out, no shuffle. Null and empty pages have the empty text; broken markup is
-    read as far as it goes; repeated rows are read each; input columns named like a result are
-    replaced.
+    read as far as it goes; very long pages are read whole, in linear time; repeated rows are read
+    each; an empty table gives an empty table; input columns named like a result are replaced.
     """
     python_tasks(pages.sparkSession)
     found = pages.withColumn("text", extracted(F.col(page)))

@@ -170,8 +170,8 @@ def quality_scores(
     """``documents`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
     One row in, one row out, no shuffle. Null and empty texts have the difference 0 and so the
-    curve's own score; whole texts are compressed; repeated rows are scored each; input columns
-    named like a result are replaced.
+    curve's own score; whole texts are compressed, block by block however long; repeated rows are
+    scored each; an empty table gives an empty table; input columns named like a result are replaced.
     """
     python_tasks(documents.sparkSession)
     found = differences(F.col("text"), model.good, model.bad)

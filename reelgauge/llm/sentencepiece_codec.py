@@ -268,7 +268,8 @@ def encode_decode(documents: DataFrame, model_path: str, text: str = "text") ->
     """``documents`` with ``ids`` (as the library gives them, no begin or end) and ``decoded``.
 
     One row in, one row out, no shuffle. A null or empty text has no ids and decodes to the empty
-    text; repeated rows are encoded each; input columns named like a result are replaced.
+    text; very long texts are encoded whole; repeated rows are encoded each; an empty table gives an
+    empty table; input columns named like a result are replaced.
     """
     python_tasks(documents.sparkSession)
     model = read_model(model_path)

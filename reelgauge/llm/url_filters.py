@@ -148,7 +148,7 @@ def judged(
     ``labelled`` holds ``url`` and ``label`` to mine from; without it the URLs that a given rule
     decides are the labelled ones, and what is mined carries their verdicts over to similar URLs.
     A URL that neither a given nor a mined rule fits gets ``allow``. Null URLs and URLs without
-    ``://`` have an empty host and path; an empty table gives an empty table; repeated rows are
+    ``://`` have an empty host and path; very long URLs are read whole; an empty table gives an empty table; repeated rows are
     judged each; input columns named like a result are replaced.
     """
     own = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
