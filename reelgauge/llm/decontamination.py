@@ -26,6 +26,8 @@ Q = 8
 EDIT_RATE = 0.08
 # Benchmark text that goes to the tasks at once; a larger benchmark takes several passes.
 BLOCK_BYTES = 8 << 20
+# Characters a task searches at once: their q-grams take some fifty times as many bytes.
+PIECE = 1 << 20
 BITS = 22
 SEPARATOR = 0xFFFF
 
@@ -281,6 +283,18 @@ def find_items(texts: list[str | None], built: Index) -> list[list[dict]]:
     return out
 
 
+def pieces(texts: list[str | None]):
+    """Texts in slices of about ``PIECE`` characters; a longer text is a slice of its own."""
+    first = size = 0
+    for at, text in enumerate(texts):
+        size += len(text or "")
+        if size >= PIECE:
+            yield texts[first:at + 1]
+            first, size = at + 1, 0
+    if first < len(texts):
+        yield texts[first:]
+
+
 def matches(text: Column, rows: tuple, rate: float) -> Column:
     @F.arrow_udf(MATCHES)
     def found(texts: pa.Array) -> pa.Array:
@@ -288,7 +302,10 @@ def matches(text: Column, rows: tuple, rate: float) -> Column:
             ("item_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()),
             ("edits", pa.int32()),
         ]))
-        return pa.array(find_items(texts.to_pylist(), index(rows, rate)), kind)
+        found, every = [], texts.to_pylist()
+        for piece in pieces(every):
+            found += find_items(piece, index(rows, rate))
+        return pa.array(found, kind)
 
     return found(text)
 

@@ -42,10 +42,10 @@ from reelgauge.llm.packed import (
 )
 
 # Signatures a part holds on average, and parts at least.
-PART_SIGNATURES = 1_000_000
+PART_SIGNATURES = 2_000_000
 LEAST_PARTS = 32
 # Text a task works on at once, in bytes: its n-grams and signatures take some forty times as much.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 # Words of 64 bits that hold the parities of a set.
 PARITY_WORDS = 4
 # N-grams a block of a family holds on average, if it is more than one document. Larger blocks take
@@ -425,12 +425,13 @@ def linked_documents(
 
     def members(batches):
         for batch in batches:
-            sets = Sets(utf8(batch.column("text")), n)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(sets.key, pa.int64()),
-                pa.array(sets.size, pa.int64()),
-                pa.array(signature_counts(sets.size, p, q), pa.int64()),
-            ], MEMBER.names)
+            for piece in pieces(batch):
+                sets = Sets(utf8(piece.column("text")), n)
+                yield pa.RecordBatch.from_arrays([
+                    piece.column("doc_id"), pa.array(sets.key, pa.int64()),
+                    pa.array(sets.size, pa.int64()),
+                    pa.array(signature_counts(sets.size, p, q), pa.int64()),
+                ], MEMBER.names)
 
     member = stored(texts.mapInArrow(members, MEMBER), "sets")
     total = member.agg(F.sum("signatures")).first()[0] or 0
