@@ -255,10 +255,11 @@ def decoded(ids: Column, model: bytes) -> Column:
     @F.arrow_udf("string")
     def texts(lists: pa.Array) -> pa.Array:
         decode = codec(model).decode
-        # All ids at once: turning each list of an Arrow column into Python's takes many times longer.
-        every = np.asarray(lists.flatten()).tolist()
+        # From one buffer, as Arrow takes many times longer to turn lists into Python's; a text at a
+        # time, as a number in a list takes eight times the room it has in the buffer.
+        every = np.asarray(lists.flatten())
         ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0)).tolist()
-        parts = (every[a:b] for a, b in zip([0, *ends], ends))
+        parts = (every[a:b].tolist() for a, b in zip([0, *ends], ends))
         return pa.array([decode(ids) if ids else "" for ids in parts], pa.string())
 
     return texts(ids)
