@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from ..plans.gold_job import MEDIA, SKETCHES, VISITOR, GoldRefresh, run_gold
 from ..plans.silver_job import run_silver
 from ..plans.views import gold_views
 from ..schemas import DATASETS, GOLD
-from ..session import scratch_path, use_utc
+from ..session import scratch_path, together, use_utc
 from ..sources import bronze, tables
 from ..sources.cache import GoldCache
 from ..sources.compaction import compact, folder_files
@@ -476,9 +477,15 @@ def land_all(spark: SparkSession, sf: str, base: str, kinds: Column | None = Non
     rows = events(spark, sf)
     page = rows if kinds is None else rows.where(kinds)
     metadata = sample.metadata_feed(sample.table(spark, sf, "part"))
-    bronze.land_bronze(sample.landed_rows(sample.visitors_feed(page)), base, "visitors")
-    bronze.land_bronze(sample.landed_rows(metadata), base, "metadata")
-    bronze.land_bronze(sample.daily_totals_feed(rows), base, "medias")
+    land_together(base, {
+        "visitors": sample.landed_rows(sample.visitors_feed(page)),
+        "metadata": sample.landed_rows(metadata), "medias": sample.daily_totals_feed(rows),
+    })
+
+
+def land_together(base: str, feeds: dict[str, DataFrame]) -> None:
+    """Land several datasets, at the same time."""
+    together(*[partial(bronze.land_bronze, df, base, d) for d, df in feeds.items()])
 
 
 def land_late(spark: SparkSession, sf: str, base: str, kinds: Column) -> None:

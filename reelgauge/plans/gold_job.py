@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ..operators.counters import KEYS, TOTALS, counted
 from ..operators.event_date import media_days, own_day, resolve_event_date
 from ..operators.gold import media_daily, media_sums, visitor_daily, visitor_sums
 from ..operators.sketches import visitor_sketches
+from ..session import together
 from ..sources.tables import (
     YMD,
     drop_days,
@@ -52,11 +54,11 @@ def run_gold(
     if sketches:
         dated = resolve_event_date(counted(fact, counters), media, mode)
         frames[SKETCHES] = visitor_sketches(dated)
-    written = {}
-    for table, df in frames.items():
-        seen = write_full(with_ymd(df), gold_base, table, by=YMD, rows_as="rows")
-        written[table] = seen.get.get("rows", 0)
-    return written
+    done = together(*[
+        partial(write_full, with_ymd(df), gold_base, table, by=YMD, rows_as="rows")
+        for table, df in frames.items()
+    ])
+    return {table: seen.get.get("rows", 0) for table, seen in zip(frames, done)}
 
 
 class GoldRefresh:
@@ -201,8 +203,7 @@ class GoldRefresh:
         frames = {MEDIA: media_sums(kept), VISITOR: visitor_sums(kept, self.interactions)}
         if self.sketches:
             frames[SKETCHES] = visitor_sketches(kept)
-        for table, df in frames.items():
-            write_gold(df, self.gold_base, table)
+        together(*[partial(write_gold, df, self.gold_base, table) for table, df in frames.items()])
         built = kept.select(F.col("event_date").alias("_day")).distinct()
         empty = touched.join(built, touched["event_date"].eqNullSafe(F.col("_day")), "left_anti")
         for row in empty.toLocalIterator():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +13,16 @@ from ..operators import silver
 from ..operators.joins import unknown_media
 from ..operators.quality import QualityError, health_measures
 from ..operators.silver import ensure_dt, ensure_media_id
-from ..schemas import DATASETS
+from ..schemas import BRONZE, CORRUPT, DATASETS, SOURCE_PATH
+from ..session import together
 from ..sources.bronze import read_bronze, split_corrupt, stage_bronze
 from ..sources.tables import scratch_folder, write_partitioned
 from .latest_media import invalidate_latest_media, latest_media_holds, update_latest_media
 
 # Datasets whose media id may have to come from the file name.
 FILE_PATTERNS = {"medias": MEDIAS_FILE, "visitors": VISITORS_FILE}
+# Fields of the feeds that no silver table takes.
+UNUSED = ("event_date",)
 
 
 def silver_tables(parsed: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -79,15 +83,26 @@ def stage_silver_input(
     spark: SparkSession, bronze_base: str, scratch: str, days: list[str] | None, fmt: str,
     partitioned: bool = True,
 ) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
-    """Bronze parsed once into scratch tables, day and media id filled in, and its counts."""
-    staged, health = {}, {}
+    """Bronze parsed once into scratch tables, day and media id filled in, and its counts.
+
+    The path of a row is kept only where it is still of use: the row is corrupt, or has no key of its
+    own.
+    """
+    frames = {}
     for dataset in DATASETS:
         raw = ensure_dt(read_bronze(spark, bronze_base, dataset, fmt, days, partitioned))
+        key = BRONZE[dataset].names[0]
         if dataset in FILE_PATTERNS:
-            raw = ensure_media_id(raw, FILE_PATTERNS[dataset])
-        staged[dataset], health[dataset] = stage_bronze(
-            raw, f"{scratch}/{dataset}", health_measures(dataset)
-        )
+            raw, key = ensure_media_id(raw, FILE_PATTERNS[dataset]), "media_id"
+        of_use = F.col(CORRUPT).isNotNull() | silver.filled(key).isNull()
+        raw = raw.withColumn(SOURCE_PATH, F.when(of_use, F.col(SOURCE_PATH)))
+        frames[dataset] = raw.drop(*UNUSED)
+    staged, health = {}, {}
+    done = together(*[
+        partial(stage_bronze, df, f"{scratch}/{d}", health_measures(d)) for d, df in frames.items()
+    ])
+    for dataset, (rows, counts) in zip(frames, done):
+        staged[dataset], health[dataset] = rows, counts
     return staged, health
 
 
@@ -99,8 +114,10 @@ def write_silver(
     trusted = latest_media_holds(spark, silver_base)
     invalidate_latest_media(spark, silver_base)
     many_days = days is None or len(days) > 1
-    for table, df in silver_tables(parsed).items():
-        write_partitioned(df, silver_base, table, mode, files=files, spread=many_days)
+    together(*[
+        partial(write_partitioned, df, silver_base, table, mode, files=files, spread=many_days)
+        for table, df in silver_tables(parsed).items()
+    ])
     update_latest_media(spark, silver_base, days, trusted)
 
 

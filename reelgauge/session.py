@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Every stamp is read, cut into days and written in this zone.
@@ -36,6 +39,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def together(*steps: Callable) -> list:
+    """The results of independent steps whose Spark jobs run at the same time.
+
+    A job that has few tasks, or waits for its commit of many folders, leaves the cluster to the
+    others. All steps end before the error of the first that failed is raised.
+    """
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+    return [step.result() for step in running]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name for intermediate tables, below the cluster's ``spark.checkpoint.dir``.
 

@@ -1,11 +1,12 @@
 import os
+import threading
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from reelgauge.operators.quality import QualityError
-from reelgauge.plans import cli
+from reelgauge.plans import cli, silver_job
 from reelgauge.plans.gold_job import MEDIA, VISITOR, GoldRefresh, run_gold
 from reelgauge.plans.silver_job import missing_metadata, run_silver
 from reelgauge.plans.views import gold_views
@@ -85,6 +86,32 @@ def test_bad_input_writes_nothing(spark, bases):
     assert not os.path.exists(silver)
 
 
+def test_feeds_are_staged_together(spark, bases, monkeypatch):
+    bronze, silver, _ = bases
+    land(bronze, DAY, [visitor("a"), visitor("b", media=""), "{broken"])
+    write_lines(bronze, "visitors", "odd.ndjson", [visitor("c", media="")], DAY)
+    one, both = silver_job.stage_bronze, threading.Barrier(2, timeout=60)
+
+    def stage(df, path, measures):
+        if not path.endswith("/metadata"):
+            both.wait()
+        return one(df, path, measures)
+
+    monkeypatch.setattr(silver_job, "stage_bronze", stage)
+    with pytest.raises(QualityError, match="1 visitor rows"):
+        run_silver(spark, bronze, silver)
+    # the path stays with rows that are corrupt or have no media, and with no others
+    with tables.scratch_folder(spark, "parsed") as scratch:
+        monkeypatch.setattr(silver_job, "stage_bronze", one)
+        staged, health = silver_job.stage_silver_input(spark, bronze, scratch, None, "ndjson")
+        found = rows(staged["visitors"].where("source_path is not null"), "visitor_key")
+        assert found == [("c",), (None,)]
+        assert rows(staged["visitors"], "visitor_key", "media_id") == [
+            ("a", "m1"), ("b", "m1"), ("c", None), (None, "m1"),
+        ]
+        assert health["visitors"]["missing_media_id"] == 1
+
+
 def test_no_scratch_is_left(spark, bases):
     bronze, silver, _ = bases
     scratch = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")

@@ -1,9 +1,12 @@
 import os
 import subprocess
 import sys
+import threading
 import time
 
-from reelgauge.session import build_session
+import pytest
+
+from reelgauge.session import build_session, together
 
 
 def test_build_session_pins_zone_and_adaptive_execution(spark):
@@ -18,6 +21,25 @@ def test_build_session_pins_zone_and_adaptive_execution(spark):
         spark.conf.unset(advisory)
 
 
+def test_steps_run_at_the_same_time(spark):
+    both = threading.Barrier(2, timeout=60)
+
+    def step(n):
+        both.wait()
+        return spark.range(n).count()
+
+    assert together(lambda: step(3), lambda: step(5)) == [3, 5]
+    ended = []
+
+    def fails():
+        both.wait()
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        together(fails, lambda: ended.append(step(2)))
+    assert ended == [2] and together() == []
+
+
 def test_scratch_is_gone_with_the_application(tmp_path):
     code = (
         "from pyspark.sql import SparkSession\n"
