@@ -23,6 +23,8 @@ tables ``progress`` (the last run that came through) and ``held`` (files of refu
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,7 @@ from ..functions.paths import dt_from_path
 from ..operators.quality import QualityError
 from ..plans.silver_job import run_silver_days
 from ..schemas import DATASETS
+from ..session import together
 from ..sources.compaction import compact
 from ..sources.versions import read_version, write_version
 
@@ -139,8 +142,7 @@ def follow_bronze(
     """
     state = state.rstrip("/")
     run = last_run(spark, state) + 1
-    for dataset in DATASETS:
-        note_landed_files(spark, bronze_base, dataset, state, run)
+    together(*[partial(note_landed_files, spark, bronze_base, d, state, run) for d in DATASETS])
     pending = pending_files(spark, state)
     expected = datasets_of_days(spark, state, pending)
     bad = {}

@@ -1,4 +1,5 @@
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,6 +35,19 @@ def test_days_are_taken_in_as_they_land(spark, folder):
     assert os.listdir(f"{folder}/silver/fact_media_engagement/dt={NEXT}") == untouched
 
 
+def test_new_files_of_all_datasets_are_listed_together(spark, folder, monkeypatch):
+    land(f"{folder}/bronze", DAY, [visitor("a")])
+    one, all_three = landed_days.note_landed_files, threading.Barrier(3, timeout=60)
+
+    def note(*args):
+        all_three.wait()
+        one(*args)
+
+    monkeypatch.setattr(landed_days, "note_landed_files", note)
+    assert follow(spark, folder) == [DAY] and follow(spark, folder) == []
+    assert fact(spark, folder) == [("a", DAY)]
+
+
 def test_a_failed_run_is_made_up_for(spark, folder):
     land(f"{folder}/bronze", DAY, [visitor("a", media="")])
     write_lines(f"{folder}/bronze", "visitors", "odd.ndjson", [visitor("b", media="")], DAY)
