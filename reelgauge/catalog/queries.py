@@ -554,7 +554,7 @@ def refused_runs(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "refused")
     feed = sample.landed_rows(sample.visitors_feed(events(spark, sf)))
     metadata = sample.landed_rows(sample.metadata_feed(sample.table(spark, sf, "part")))
-    totals = sample.daily_totals_feed(events(spark, sf))
+    totals = tables.staged(sample.daily_totals_feed(events(spark, sf)), "totals")
     lost = F.col("visitor_identity.org.title").isin("error", "signup")
     without = feed.withColumn("media_id", F.when(~lost, F.col("media_id")))
     cases = {
@@ -566,9 +566,7 @@ def refused_runs(spark: SparkSession, sf: str) -> DataFrame:
     found = []
     for name, (visitors, media) in cases.items():
         raw = f"{base}/{name.replace(' ', '-')}"
-        bronze.land_bronze(visitors, raw, "visitors")
-        bronze.land_bronze(media, raw, "metadata")
-        bronze.land_bronze(totals, raw, "medias")
+        land_together(raw, {"visitors": visitors, "metadata": media, "medias": totals})
         for dataset in DATASETS:
             spark.createDataFrame([], "x string").write.mode("append").text(f"{raw}/{dataset}")
         try:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,11 +82,12 @@ def refused_days(
 def stage_silver_input(
     spark: SparkSession, bronze_base: str, scratch: str, days: list[str] | None, fmt: str,
     partitioned: bool = True,
+    check: Callable[[dict[str, dict[str, int]]], None] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
     """Bronze parsed once into scratch tables, day and media id filled in, and its counts.
 
     The path of a row is kept only where it is still of use: the row is corrupt, or has no key of its
-    own.
+    own. ``check`` is given the counts of the metadata, the smallest feed, before the others are read.
     """
     frames = {}
     for dataset in DATASETS:
@@ -98,11 +99,14 @@ def stage_silver_input(
         raw = raw.withColumn(SOURCE_PATH, F.when(of_use, F.col(SOURCE_PATH)))
         frames[dataset] = raw.drop(*UNUSED)
     staged, health = {}, {}
-    done = together(*[
-        partial(stage_bronze, df, f"{scratch}/{d}", health_measures(d)) for d, df in frames.items()
-    ])
-    for dataset, (rows, counts) in zip(frames, done):
-        staged[dataset], health[dataset] = rows, counts
+    for turn in (("metadata",), ("visitors", "medias")) if check else (DATASETS,):
+        done = together(*[
+            partial(stage_bronze, frames[d], f"{scratch}/{d}", health_measures(d)) for d in turn
+        ])
+        for dataset, (rows, counts) in zip(turn, done):
+            staged[dataset], health[dataset] = rows, counts
+        if check and len(staged) < len(frames):
+            check(health)
     return staged, health
 
 
@@ -136,7 +140,7 @@ def run_silver(
     """Build silver for the given days, or for all of bronze; returns the bronze counts.
 
     The JSON is parsed once into a scratch table and counted on the way; if the counts do not
-    pass, nothing of silver is touched. A day is always rebuilt from its whole bronze folder, so
+    pass, nothing of silver is touched, and if those of the metadata do not, no other feed is read. A day is always rebuilt from its whole bronze folder, so
     pages that came late are kept and a second run changes nothing. Corrupt lines are left out of
     silver, and written below ``quarantine_base`` if that is given.
 
@@ -144,7 +148,10 @@ def run_silver(
     they are written: after a run that died there, readers rank the history until the next run.
     """
     with scratch_folder(spark, "parsed") as scratch:
-        staged, health = stage_silver_input(spark, bronze_base, scratch, days, fmt, partitioned)
+        staged, health = stage_silver_input(
+            spark, bronze_base, scratch, days, fmt, partitioned,
+            check=lambda found: check_bronze(found, set(needed) & {"metadata"}),
+        )
         check_bronze(health, needed)
         split = {dataset: split_corrupt(df) for dataset, df in staged.items()}
         write_silver(

@@ -112,6 +112,24 @@ def test_feeds_are_staged_together(spark, bases, monkeypatch):
         assert health["visitors"]["missing_media_id"] == 1
 
 
+def test_useless_metadata_is_refused_before_other_feeds_are_read(spark, bases, monkeypatch):
+    bronze, silver, _ = bases
+    land(bronze, DAY, [visitor("a")])
+    write_lines(bronze, "metadata", f"metadata_m1_{DAY}.ndjson", ["{broken"], DAY)
+    one, read = silver_job.stage_bronze, []
+
+    def stage(df, path, measures):
+        read.append(os.path.basename(path))
+        return one(df, path, measures)
+
+    monkeypatch.setattr(silver_job, "stage_bronze", stage)
+    with pytest.raises(QualityError, match="dim_media would be empty"):
+        run_silver(spark, bronze, silver)
+    assert read == ["metadata"]
+    health = run_silver(spark, bronze, silver, needed=["visitors"])
+    assert sorted(read[1:]) == ["medias", "metadata", "visitors"] and health["visitors"]["rows"] == 1
+
+
 def test_no_scratch_is_left(spark, bases):
     bronze, silver, _ = bases
     scratch = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
