@@ -12,14 +12,20 @@ A segment that is empty says nothing and has no signature; the allocation adds s
 segments. The few sets with more empty segments than the slack covers also get a signature per
 empty segment, so that no link is lost.
 
-Signatures are matched packed. Sets also match by chance, on segments that hold little but a common
-n-gram, so each carries its parities: a bit per hash value that says whether an odd number of its
-n-grams has that value. The parities of two sets differ in no more bits than the sets differ in
-n-grams; a pair that differs in more than the similarity allows is no link, for certain, and is
-dropped where it is matched. Members of a match are tied to each other only through pairs that
-remain, and the components of these ties are families. Within a family all pairs of compatible size
-are verified on the whole sets, in blocks of bounded size, and only links that join something new
-leave a block.
+Signatures are matched packed, in two turns. One text of each set is packed into units of bounded
+size. First a unit sends its distinct signatures alone, without their sets, to parts by their value,
+and a part answers with one bit per signature: whether it came more than once. Then only signatures
+that came more than once are sent with their sets.
+
+Sets also match by chance, on segments that hold little but a common n-gram, so each carries its
+parities: a bit per hash value that says whether an odd number of its n-grams has that value. The
+parities of two sets differ in no more bits than the sets differ in n-grams; a pair that differs in
+more than the similarity allows is no link, for certain, and is dropped where it is matched. A set
+has at least as many bits as n-grams, so that large sets are told apart as well as small ones; of
+two sets the longer parities are folded to the length of the shorter ones. Members of a match are
+tied to each other only through pairs that remain, and the components of these ties are families.
+Within a family all pairs of compatible size are verified on the whole sets, in blocks of bounded
+size, and only links that join something new leave a block.
 """
 
 from __future__ import annotations
@@ -31,6 +37,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,16 +45,18 @@ from pyspark.sql import types as T
 from reelgauge.llm.common import python_tasks, stored, utf8
 from reelgauge.llm.components import components
 from reelgauge.llm.packed import (
-    BASES, SENT, from_planes, mixed, planes, rolling, sent_batch, slices, word_hashes,
+    BASES, SENT, bits, from_planes, mixed, planes, rolling, sent_batch, slices, word_hashes,
 )
+from reelgauge.llm.substring_dedup import answered, expand, split, units
 
 # Signatures a part holds on average, and parts at least.
 PART_SIGNATURES = 2_000_000
 LEAST_PARTS = 32
 # Text a task works on at once, in bytes: its n-grams and signatures take some forty times as much.
 PIECE_BYTES = 2 << 20
-# Words of 64 bits that hold the parities of a set.
+# Words of 64 bits that hold the parities of a set, at least and at most.
 PARITY_WORDS = 4
+MOST_PARITY_WORDS = 128
 # N-grams a block of a family holds on average, if it is more than one document. Larger blocks take
 # longer in one task, smaller ones send each text to more of them.
 BLOCK_GRAMS = 400_000
@@ -187,22 +196,29 @@ class Sets:
             self.key[full] = np.add.reduceat(mixed(self.gram), self.starts[full])
         self.key = mixed(self.key + self.size.astype(np.uint64)).view(np.int64)
 
-    def parities(self, chosen: np.ndarray) -> np.ndarray:
-        """The parities of the chosen sets, ``PARITY_WORDS`` numbers each."""
+    def wide_parities(self, chosen: np.ndarray) -> np.ndarray:
+        """The parities of the chosen sets, one after the other, ``parity_words`` numbers each."""
+        words = parity_words(self.size[chosen])
+        starts = np.cumsum(words) - words
         place = np.full(len(self.size), -1)
         place[chosen] = np.arange(len(chosen))
         mine = place[self.doc] >= 0
+        at = place[self.doc[mine]]
         spread = mixed(self.gram[mine] * np.uint64(2**32 + 15))
-        bit = (spread >> np.uint64(17)) % np.uint64(64 * PARITY_WORDS)
-        out = np.zeros(len(chosen) * PARITY_WORDS, np.uint64)
-        word = place[self.doc[mine]] * PARITY_WORDS + (bit >> np.uint64(6)).astype(np.int64)
+        bit = (spread >> np.uint64(17)) % (64 * words[at]).astype(np.uint64)
+        out = np.zeros(int(words.sum()), np.uint64)
+        word = starts[at] + (bit >> np.uint64(6)).astype(np.int64)
         np.bitwise_xor.at(out, word, np.uint64(1) << (bit & np.uint64(63)))
-        return out.reshape(-1, PARITY_WORDS)
+        return out
+
+    def parities(self, chosen: np.ndarray) -> np.ndarray:
+        """The parities of the chosen sets, folded to ``PARITY_WORDS`` numbers each."""
+        return folded(self.wide_parities(chosen), self.size[chosen])[PARITY_WORDS][1]
 
     def signatures(self, chosen: np.ndarray, p: int, q: int):
-        """Signatures and the key of their set, for the chosen sets."""
+        """Signatures and the place of their set, for the chosen sets."""
         largest = int(self.size[chosen].max()) if len(chosen) else 0
-        found, keys = [], []
+        found, owners = [], []
         picked = np.zeros(len(self.size), bool)
         for number, band in enumerate(bands(p, q, largest)):
             picked[:] = False
@@ -212,10 +228,10 @@ class Sets:
             member = picked[self.doc]
             for sig, doc in band_signatures(self.gram[member], self.doc[member], band, number):
                 found.append(sig)
-                keys.append(self.key[doc])
+                owners.append(doc)
         if not found:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate(found), np.concatenate(keys)
+        return np.concatenate(found), np.concatenate(owners)
 
 
 def band_signatures(gram: np.ndarray, doc: np.ndarray, band: Band, number: int):
@@ -254,16 +270,56 @@ def band_signatures(gram: np.ndarray, doc: np.ndarray, band: Band, number: int):
         yield mixed(salt + np.uint64(1)), sets[thin[which_set]]
 
 
-def tagged(
-    tag: np.ndarray, key: np.ndarray, size: np.ndarray, parity: np.ndarray,
-) -> bytes:
+def parity_words(size: np.ndarray) -> np.ndarray:
+    """How many words of parities sets of some sizes have: powers of two, a bit per n-gram."""
+    words = np.clip(-(-size // 64), PARITY_WORDS, MOST_PARITY_WORDS)
+    return np.left_shift(1, np.ceil(np.log2(words)).astype(np.int64))
+
+
+def folded(wide: np.ndarray, size: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The parities of sets by number of words: the row of each set that has as many, and the rows.
+
+    Longer parities are folded, bits whose places are equal in the shorter length being added up.
+    """
+    words = parity_words(size)
+    starts = np.cumsum(words) - words
+    width = int(words.max()) if len(words) else PARITY_WORDS
+    member, rows = np.zeros(0, np.int64), np.zeros((0, 2 * width), np.uint64)
+    out = {}
+    while width >= PARITY_WORDS:
+        own = np.flatnonzero(words == width)
+        member = np.concatenate([member, own])
+        rows = np.concatenate([
+            rows[:, :width] ^ rows[:, width:], wide[starts[own][:, None] + np.arange(width)],
+        ])
+        if width == PARITY_WORDS:
+            order = np.argsort(member)
+            member, rows = member[order], rows[order]
+        place = np.full(len(words), -1, np.int32)
+        place[member] = np.arange(len(member))
+        out[width] = place, rows
+        width //= 2
+    return out
+
+
+def part_of(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that begin at ``starts``, one after the other."""
+    first = np.cumsum(lengths) - lengths
+    return values[np.arange(int(lengths.sum())) + np.repeat(starts - first, lengths)]
+
+
+def tagged(tag: np.ndarray, owner: np.ndarray, key: np.ndarray, size: np.ndarray,
+           wide: np.ndarray) -> bytes:
     """Tags sorted by their set, with the key, the number of tags, the size and the parities of each
-    set; ``size`` and ``parity`` are given per tag."""
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    count = np.diff(np.r_[first, len(key)]).astype(np.uint32)
+    set; ``owner`` is the place of a tag's set among those of ``key``, ``size`` and ``wide``."""
+    first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    count = np.diff(np.r_[first, len(owner)]).astype(np.uint32)
+    chosen, words = owner[first], parity_words(size)
+    starts = np.cumsum(words) - words
     return b"".join([
-        len(first).to_bytes(4, "little"), planes(key[first]), planes(count),
-        planes(size[first].astype(np.uint32)), parity[first].tobytes(), planes(tag),
+        len(first).to_bytes(4, "little"), planes(key[chosen]), planes(count),
+        planes(size[chosen].astype(np.uint32)),
+        part_of(wide, starts[chosen], words[chosen]).tobytes(), planes(tag),
     ])
 
 
@@ -275,24 +331,42 @@ def untagged(blob: bytes) -> tuple[np.ndarray, ...]:
         width = np.dtype(kind).itemsize * sets
         out.append(from_planes(blob[at:at + width], kind))
         at += width
-    width = 8 * PARITY_WORDS * sets
-    parity = np.frombuffer(blob[at:at + width], np.uint64).reshape(sets, PARITY_WORDS)
     key, count, size = out
+    size = size.astype(np.int64)
+    width = 8 * int(parity_words(size).sum())
+    wide = np.frombuffer(blob[at:at + width], np.uint64)
     return (from_planes(blob[at + width:], np.uint32), np.repeat(np.arange(sets), count), key,
-            size.astype(np.int64), parity)
+            size, wide)
 
 
 class Compatible:
-    """Tells pairs of sets that may be linked from those that cannot."""
+    """Tells pairs of sets that may be linked from those that cannot.
+
+    ``parity`` has ``PARITY_WORDS`` numbers a set; ``longer`` are the parities by number of words.
+    """
 
-    def __init__(self, size: np.ndarray, parity: np.ndarray, p: int, q: int):
+    def __init__(self, size: np.ndarray, parity: np.ndarray, p: int, q: int, longer=None):
         self.size, self.parity, self.p, self.q = size, parity, p, q
+        self.longer, self.words = longer or {}, parity_words(size)
 
     def __call__(self, a, b) -> np.ndarray:
-        differ = np.bitwise_count(self.parity[a] ^ self.parity[b]).sum(axis=-1, dtype=np.int64)
         x, y = self.size[a], self.size[b]
-        near = differ * (self.p + self.q) <= (x + y) * (self.q - self.p)
-        return near & (np.minimum(x, y) * self.q >= np.maximum(x, y) * self.p)
+        near = np.minimum(x, y) * self.q >= np.maximum(x, y) * self.p
+        near &= self.differ_little(self.parity[a], self.parity[b], x + y)
+        if not self.longer:
+            return near
+        words = np.minimum(self.words[a], self.words[b])
+        long = np.flatnonzero(near & (words > PARITY_WORDS))
+        for width in np.unique(words[long]).tolist():
+            at = long[words[long] == width]
+            place, rows = self.longer[width]
+            first, second = rows[place[a[at]]], rows[place[b[at]]]
+            near[at] = self.differ_little(first, second, x[at] + y[at])
+        return near
+
+    def differ_little(self, first, second, sizes) -> np.ndarray:
+        differ = np.bitwise_count(first ^ second).sum(axis=-1, dtype=np.int64)
+        return differ * (self.p + self.q) <= sizes * (self.q - self.p)
 
 
 def tied(members: np.ndarray, compatible: Compatible) -> list[tuple[int, int]]:
@@ -315,16 +389,21 @@ def ties(blobs: list[bytes], p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
     least of them."""
     tags, owners, keys, sizes, parities, sets = [], [], [], [], [], 0
     for blob in blobs:
-        tag, owner, key, size, parity = untagged(blob)
+        tag, owner, key, size, wide = untagged(blob)
         tags.append(tag)
         owners.append(owner + sets)
         keys.append(key)
         sizes.append(size)
-        parities.append(parity)
+        parities.append(wide)
         sets += len(key)
     # A set comes once per batch that has it; they are numbered in the order of their keys.
     key, once, number = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    compatible = Compatible(np.concatenate(sizes)[once], np.concatenate(parities)[once], p, q)
+    size = np.concatenate(sizes)
+    words = parity_words(size)
+    starts = np.cumsum(words) - words
+    wide = part_of(np.concatenate(parities), starts[once], words[once])
+    longer = folded(wide, size[once])
+    compatible = Compatible(size[once], longer[PARITY_WORDS][1], p, q, longer)
     tag, owner = np.concatenate(tags), number[np.concatenate(owners)]
     order = np.lexsort((owner, tag))
     tag, owner = tag[order], owner[order]
@@ -434,38 +513,14 @@ def linked_documents(
                 ], MEMBER.names)
 
     member = stored(texts.mapInArrow(members, MEMBER), "sets")
-    total = member.agg(F.sum("signatures")).first()[0] or 0
-    parts = max(LEAST_PARTS, math.ceil(total / PART_SIGNATURES))
-
-    def send(batches):
-        for batch in batches:
-            for piece in pieces(batch):
-                sets = Sets(utf8(piece.column("text")), n)
-                named = np.asarray(piece.column("doc_id").is_valid())
-                full = np.flatnonzero((sets.size > 0) & named)
-                _, once = np.unique(sets.key[full], return_index=True)
-                full = full[once]  # in the order of their keys
-                sig, key = sets.signatures(full, p, q)
-                part = ((sig >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-                tag = sig.astype(np.uint32)
-                order = np.lexsort((key, part))
-                part, tag, key = part[order], tag[order], key[order]
-                at = np.searchsorted(sets.key[full], key)
-                size, parity = sets.size[full][at], sets.parities(full)
-                rows = [
-                    (k, 0, tagged(tag[a:b], key[a:b], size[a:b], parity[at[a:b]]))
-                    for k, a, b in slices(part)
-                ]
-                yield pa.RecordBatch.from_arrays(sent_batch(rows), SENT.names)
-
-    def tie(group: pa.Table) -> pa.Table:
-        a, b = ties(group.column("blob").to_pylist(), p, q)
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], TIE.names)
-
-    matched = texts.mapInArrow(send, SENT).groupBy("part").applyInArrow(tie, TIE).distinct()
-    family = components(matched).withColumnsRenamed({"node": "key", "label": "family"})
     known = member.where("n_shingles > 0 and doc_id is not null")
-    least = stored(known.groupBy("key", "n_shingles").agg(F.min("doc_id").alias("first")), "least")
+    least = stored(
+        known.groupBy("key", "n_shingles", "signatures").agg(F.min("doc_id").alias("first")),
+        "least",
+    )
+    family = components(matched(texts, least, n, p, q)).withColumnsRenamed(
+        {"node": "key", "label": "family"}
+    )
     link = verified(texts, family, least, n, p, q)
     label = components(link).withColumnsRenamed({"node": "key"})
     reach = label.join(least, "key").groupBy("label").agg(F.min("first").alias("reach"))
@@ -480,6 +535,98 @@ def linked_documents(
     ).withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
 
 
+def is_shared(blobs: list[bytes]) -> list[np.ndarray]:
+    """Which signatures came more than once, from one unit or several."""
+    tags, twice, sizes = [], [], []
+    for blob in blobs:
+        n = int.from_bytes(blob[:4], "little")
+        tags.append(from_planes(blob[4:4 + 4 * n], np.uint32))
+        twice.append(bits(blob[4 + 4 * n:], n))
+        sizes.append(n)
+    _, index, count = np.unique(np.concatenate(tags), return_inverse=True, return_counts=True)
+    more = count > 1
+    more[index[np.concatenate(twice)]] = True
+    return split(more[index], sizes)
+
+
+def ones(batches):
+    """The number of bits set in the answers."""
+    for batch in batches:
+        blobs = b"".join(batch.column("blob").to_pylist())
+        count = int(np.bitwise_count(np.frombuffer(blobs, np.uint8)).sum(dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["found"])
+
+
+def matched(texts: DataFrame, least: DataFrame, n: int, p: int, q: int) -> DataFrame:
+    """Ties (``a``, ``b``: keys) of sets that share a signature and may be linked.
+
+    Signatures are sent alone first and with their sets only if they came more than once, so the
+    sets and parities, which cost more than the signatures, are sent for few of them.
+    """
+    total = least.agg(F.sum("signatures")).first()[0] or 0
+    parts = max(LEAST_PARTS, math.ceil(total / PART_SIGNATURES))
+    one = least.select(F.col("first").alias("doc_id"))
+    packed = stored(
+        units(texts.join(one, "doc_id", "left_semi").select("text"), "text", PIECE_BYTES)
+        .select("unit", "payload"),
+        "set-units",
+    )
+
+    def signed(payload: bytes):
+        """The sets of a unit; its distinct signatures, sorted by part; the place among them and the
+        set of every signature; and which came more than once."""
+        rows = pa.ipc.open_stream(zstandard.decompress(payload)).read_all()
+        sets = Sets(utf8(rows.column("text")), n)
+        full = np.flatnonzero(sets.size > 0)
+        full = full[np.unique(sets.key[full], return_index=True)[1]]
+        sig, owner = sets.signatures(full, p, q)
+        code = ((sig >> np.uint64(32)) % np.uint64(parts)) << np.uint64(32)
+        code |= sig & np.uint64(0xFFFFFFFF)
+        code, index, count = np.unique(code, return_inverse=True, return_counts=True)
+        return sets, owner, code, index, count > 1
+
+    def send(batches):
+        for batch in batches:
+            for unit, payload in zip(batch.column("unit").to_pylist(), batch.column("payload").to_pylist()):
+                _, _, code, _, twice = signed(payload)
+                tag = code.astype(np.uint32)
+                rows = [
+                    (k, unit, int(b - a).to_bytes(4, "little") + planes(tag[a:b])
+                     + np.packbits(twice[a:b]).tobytes())
+                    for k, a, b in slices((code >> np.uint64(32)).astype(np.int64))
+                ]
+                yield pa.RecordBatch.from_arrays(sent_batch(rows), SENT.names)
+
+    hits = stored(answered(packed.mapInArrow(send, SENT), is_shared), "set-hits")
+    found = hits.select("blob").mapInArrow(ones, "found long").agg(F.sum("found")).first()[0] or 0
+    fewer = max(LEAST_PARTS, math.ceil(found / PART_SIGNATURES))
+
+    def send_sets(unit_rows: pa.Table, answers: pa.Table) -> pa.Table:
+        got = dict(zip(answers.column("part").to_pylist(), answers.column("blob").to_pylist()))
+        rows: list[tuple[int, int, bytes]] = []
+        for unit, payload in zip(unit_rows.column("unit").to_pylist(), unit_rows.column("payload").to_pylist()):
+            if not got:
+                continue
+            sets, owner, code, index, _ = signed(payload)
+            hot = expand((code >> np.uint64(32)).astype(np.int64), got)[index]
+            code, (chosen, owner) = mixed(code[index[hot]]), np.unique(owner[hot], return_inverse=True)
+            part = ((code >> np.uint64(32)) % np.uint64(fewer)).astype(np.int64)
+            order = np.lexsort((owner, part))
+            part, tag, owner = part[order], code[order].astype(np.uint32), owner[order]
+            key, size, wide = sets.key[chosen], sets.size[chosen], sets.wide_parities(chosen)
+            rows += [
+                (k, unit, tagged(tag[a:b], owner[a:b], key, size, wide)) for k, a, b in slices(part)
+            ]
+        return pa.table(sent_batch(rows), SENT.names)
+
+    def tie(group: pa.Table) -> pa.Table:
+        a, b = ties(group.column("blob").to_pylist(), p, q)
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], TIE.names)
+
+    sent = packed.groupBy("unit").cogroup(hits.groupBy("unit")).applyInArrow(send_sets, SENT)
+    return sent.groupBy("part").applyInArrow(tie, TIE).distinct()
+
+
 def pieces(batch: pa.RecordBatch):
     """A batch in slices of about ``PIECE_BYTES`` of text, one longer text being a slice."""
     sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)

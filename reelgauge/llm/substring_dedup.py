@@ -114,15 +114,17 @@ def expand(part: np.ndarray, answers: dict[int, bytes]) -> np.ndarray:
     return out
 
 
-def units(documents: DataFrame, text: str) -> DataFrame:
-    """Documents packed by the task that reads them; a unit holds about 4 MB of text."""
+def units(documents: DataFrame, text: str, size: int | None = None) -> DataFrame:
+    """Documents packed by the task that reads them; a unit holds about ``size`` bytes of text, 4 MB
+    by default."""
+    size = size or UNIT_BYTES
 
     def pack(batches):
         task, count = TaskContext.get().partitionId(), 0
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             sizes = np.array([len(t or b"") for t in utf8(batch.column(text))], np.int64)
-            unit = np.cumsum(sizes) // UNIT_BYTES
+            unit = np.cumsum(sizes) // size
             edges = [0, *(np.flatnonzero(np.diff(unit)) + 1).tolist(), len(sizes)]
             for a, b in zip(edges, edges[1:]):
                 if a == b:

@@ -230,3 +230,61 @@ def test_least_connected():
             p, q = label[x], label[y]
             label = [min(p, q) if one in (p, q) else one for one in label]
         assert ngram_jaccard.least_connected(n, a, b).tolist() == label
+
+
+def large_texts(seed: int, count: int = 24) -> list[str]:
+    """Texts of 1,500 words, unrelated but for a passage of 900 that all share."""
+    rng = random.Random(seed)
+    shared = " ".join(f"s{rng.randrange(10**6)}" for _ in range(900))
+    return [
+        shared + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(600)) for _ in range(count)
+    ]
+
+
+def test_large_sets_that_share_a_passage_are_not_tied(spark, monkeypatch):
+    ties = []
+
+    def counted(edges):
+        ties.append(edges.count())
+        return components(edges)
+
+    monkeypatch.setattr(ngram_jaccard, "components", counted)
+    texts = large_texts(3)
+    texts.append(texts[0] + " one more")
+    rows = list(enumerate(texts))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    assert as_rows(linked_documents(documents, 5, (80, 100))) == groups(rows, 5, 80, 100)
+    assert ties[0] == 1
+
+
+def test_longer_parities_drop_no_link():
+    rng, texts = random.Random(8), []
+    for size in (200, 260, 300, 520, 700, 1100, 1300, 5000, 9000):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        for edits in (0, size // 300, size // 150, size // 80):
+            edited = list(words)
+            for _ in range(edits):
+                edited[rng.randrange(size)] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(edited[:size - rng.randrange(size // 20)]))
+    texts += large_texts(9, 6)
+    sets, every = ngram_jaccard.Sets([t.encode() for t in texts], 5), np.arange(len(texts))
+    longer = ngram_jaccard.folded(sets.wide_parities(every), sets.size)
+    compatible = ngram_jaccard.Compatible(sets.size, sets.parities(every), 80, 100, longer)
+    own = [set(sets.gram[a:a + n].tolist()) for a, n in zip(sets.starts, sets.size)]
+    links = kept = 0
+    for i in range(len(texts)):
+        near = compatible(np.full(len(texts), i), every)
+        for j in range(i):
+            linked = 100 * len(own[i] & own[j]) >= 80 * len(own[i] | own[j])
+            assert near[j] or not linked
+            links, kept = links + linked, kept + bool(near[j])
+    assert links > 20 and kept < 2 * links
+
+
+def test_signatures_of_one_set_are_not_shared():
+    def sent(tags, twice):
+        tags = np.array(tags, np.uint32)
+        return len(tags).to_bytes(4, "little") + ngram_jaccard.planes(tags) + np.packbits(twice).tobytes()
+
+    found = ngram_jaccard.is_shared([sent([1, 5, 9], [0, 0, 1]), sent([5, 7], [0, 0]), sent([], [])])
+    assert [f.tolist() for f in found] == [[False, True, True], [True, False], []]
