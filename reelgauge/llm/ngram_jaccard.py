@@ -12,10 +12,13 @@ A segment that is empty says nothing and has no signature; the allocation adds s
 segments. The few sets with more empty segments than the slack covers also get a signature per
 empty segment, so that no link is lost.
 
-Signatures are matched packed, in two turns. One text of each set is packed into units of bounded
-size. First a unit sends its distinct signatures alone, without their sets, to parts by their value,
-and a part answers with one bit per signature: whether it came more than once. Then only signatures
-that came more than once are sent with their sets.
+The texts are packed into units of bounded size, written once by the tasks that read them. A text is
+known by its unit and its row there. One bit per row says which texts a step is about, one of each
+set or those of the families; so no text is shuffled to be joined by its id.
+
+Signatures are matched packed, in two turns. First a unit sends its distinct signatures alone,
+without their sets, to parts by their value, and a part answers with one bit per signature: whether
+it came more than once. Then only signatures that came more than once are sent with their sets.
 
 Sets also match by chance, on segments that hold little but a common n-gram, so each carries its
 parities: a bit per hash value that says whether an odd number of its n-grams has that value. The
@@ -36,7 +39,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -481,6 +483,12 @@ def links_within(sizes, grams, left, right, p: int, q: int) -> list[tuple[int, i
 MEMBER = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("key", T.LongType()),
     T.StructField("n_shingles", T.LongType()), T.StructField("signatures", T.LongType()),
+    T.StructField("unit", T.LongType()), T.StructField("row", T.IntegerType()),
+])
+CHOSEN = T.StructType([T.StructField("unit", T.LongType()), T.StructField("chosen", T.BinaryType())])
+TEXT = T.StructType([
+    T.StructField("unit", T.LongType()), T.StructField("row", T.IntegerType()),
+    T.StructField("text", T.StringType()),
 ])
 TIE = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -501,27 +509,35 @@ def linked_documents(
     python_tasks(documents.sparkSession)
     p, q = similarity
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    packed = stored(units(texts, "text", PIECE_BYTES).select("unit", "payload"), "set-units")
 
     def members(batches):
         for batch in batches:
-            for piece in pieces(batch):
-                sets = Sets(utf8(piece.column("text")), n)
+            for unit, payload in zip(batch.column("unit").to_pylist(), batch.column("payload").to_pylist()):
+                rows = unpacked(payload)
+                sets = Sets(utf8(rows.column("text")), n)
+                count = len(sets.size)
                 yield pa.RecordBatch.from_arrays([
-                    piece.column("doc_id"), pa.array(sets.key, pa.int64()),
+                    rows.column("doc_id").combine_chunks(), pa.array(sets.key, pa.int64()),
                     pa.array(sets.size, pa.int64()),
                     pa.array(signature_counts(sets.size, p, q), pa.int64()),
+                    pa.array(np.full(count, unit), pa.int64()),
+                    pa.array(np.arange(count), pa.int32()),
                 ], MEMBER.names)
 
-    member = stored(texts.mapInArrow(members, MEMBER), "sets")
+    member = stored(packed.mapInArrow(members, MEMBER), "sets")
     known = member.where("n_shingles > 0 and doc_id is not null")
     least = stored(
-        known.groupBy("key", "n_shingles", "signatures").agg(F.min("doc_id").alias("first")),
+        known.groupBy("key", "n_shingles", "signatures")
+        .agg(F.min(F.struct("doc_id", "unit", "row")).alias("least"))
+        .select("key", "n_shingles", "signatures", F.col("least.doc_id").alias("first"),
+                "least.unit", "least.row"),
         "least",
     )
-    family = components(matched(texts, least, n, p, q)).withColumnsRenamed(
+    family = components(matched(packed, least, n, p, q)).withColumnsRenamed(
         {"node": "key", "label": "family"}
     )
-    link = verified(texts, family, least, n, p, q)
+    link = verified(packed, family, least, n, p, q)
     label = components(link).withColumnsRenamed({"node": "key"})
     reach = label.join(least, "key").groupBy("label").agg(F.min("first").alias("reach"))
     found = (
@@ -535,6 +551,36 @@ def linked_documents(
     ).withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
 
 
+def unpacked(payload: bytes, chosen: bytes | None = None) -> pa.Table:
+    """The rows of a unit, or those of them that are chosen."""
+    rows = pa.ipc.open_stream(zstandard.decompress(payload)).read_all()
+    return rows if chosen is None else rows.take(pa.array(places(chosen)))
+
+
+def places(chosen: bytes) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(chosen, np.uint8)))
+
+
+def with_chosen(packed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The units that have any of ``rows`` (``unit``, ``row``), with a bit per row for these.
+
+    The bits are written first, so that Spark knows how few they are before it joins them: an eighth
+    of a byte per text, which are broadcast where the units would be shuffled.
+    """
+
+    def of(group: pa.Table) -> pa.Table:
+        row = np.asarray(group.column("row").combine_chunks())
+        flag = np.zeros(int(row.max()) + 1, bool)
+        flag[row] = True
+        return pa.table(
+            [group.column("unit")[:1], pa.array([np.packbits(flag).tobytes()], pa.binary())],
+            CHOSEN.names,
+        )
+
+    chosen = stored(rows.select("unit", "row").groupBy("unit").applyInArrow(of, CHOSEN), "chosen")
+    return packed.join(chosen, "unit")
+
+
 def is_shared(blobs: list[bytes]) -> list[np.ndarray]:
     """Which signatures came more than once, from one unit or several."""
     tags, twice, sizes = [], [], []
@@ -557,7 +603,7 @@ def ones(batches):
         yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["found"])
 
 
-def matched(texts: DataFrame, least: DataFrame, n: int, p: int, q: int) -> DataFrame:
+def matched(packed: DataFrame, least: DataFrame, n: int, p: int, q: int) -> DataFrame:
     """Ties (``a``, ``b``: keys) of sets that share a signature and may be linked.
 
     Signatures are sent alone first and with their sets only if they came more than once, so the
@@ -565,18 +611,12 @@ def matched(texts: DataFrame, least: DataFrame, n: int, p: int, q: int) -> DataF
     """
     total = least.agg(F.sum("signatures")).first()[0] or 0
     parts = max(LEAST_PARTS, math.ceil(total / PART_SIGNATURES))
-    one = least.select(F.col("first").alias("doc_id"))
-    packed = stored(
-        units(texts.join(one, "doc_id", "left_semi").select("text"), "text", PIECE_BYTES)
-        .select("unit", "payload"),
-        "set-units",
-    )
+    one_of_each = with_chosen(packed, least)
 
-    def signed(payload: bytes):
-        """The sets of a unit; its distinct signatures, sorted by part; the place among them and the
-        set of every signature; and which came more than once."""
-        rows = pa.ipc.open_stream(zstandard.decompress(payload)).read_all()
-        sets = Sets(utf8(rows.column("text")), n)
+    def signed(payload: bytes, chosen: bytes):
+        """The chosen sets of a unit; its distinct signatures, sorted by part; the place among them
+        and the set of every signature; and which came more than once."""
+        sets = Sets(utf8(unpacked(payload, chosen).column("text")), n)
         full = np.flatnonzero(sets.size > 0)
         full = full[np.unique(sets.key[full], return_index=True)[1]]
         sig, owner = sets.signatures(full, p, q)
@@ -587,8 +627,9 @@ def matched(texts: DataFrame, least: DataFrame, n: int, p: int, q: int) -> DataF
 
     def send(batches):
         for batch in batches:
-            for unit, payload in zip(batch.column("unit").to_pylist(), batch.column("payload").to_pylist()):
-                _, _, code, _, twice = signed(payload)
+            columns = (batch.column(c).to_pylist() for c in ("unit", "payload", "chosen"))
+            for unit, payload, chosen in zip(*columns):
+                _, _, code, _, twice = signed(payload, chosen)
                 tag = code.astype(np.uint32)
                 rows = [
                     (k, unit, int(b - a).to_bytes(4, "little") + planes(tag[a:b])
@@ -597,23 +638,24 @@ def matched(texts: DataFrame, least: DataFrame, n: int, p: int, q: int) -> DataF
                 ]
                 yield pa.RecordBatch.from_arrays(sent_batch(rows), SENT.names)
 
-    hits = stored(answered(packed.mapInArrow(send, SENT), is_shared), "set-hits")
+    hits = stored(answered(one_of_each.mapInArrow(send, SENT), is_shared), "set-hits")
     found = hits.select("blob").mapInArrow(ones, "found long").agg(F.sum("found")).first()[0] or 0
     fewer = max(LEAST_PARTS, math.ceil(found / PART_SIGNATURES))
 
     def send_sets(unit_rows: pa.Table, answers: pa.Table) -> pa.Table:
         got = dict(zip(answers.column("part").to_pylist(), answers.column("blob").to_pylist()))
         rows: list[tuple[int, int, bytes]] = []
-        for unit, payload in zip(unit_rows.column("unit").to_pylist(), unit_rows.column("payload").to_pylist()):
+        columns = (unit_rows.column(c).to_pylist() for c in ("unit", "payload", "chosen"))
+        for unit, payload, chosen in zip(*columns):
             if not got:
                 continue
-            sets, owner, code, index, _ = signed(payload)
+            sets, owner, code, index, _ = signed(payload, chosen)
             hot = expand((code >> np.uint64(32)).astype(np.int64), got)[index]
-            code, (chosen, owner) = mixed(code[index[hot]]), np.unique(owner[hot], return_inverse=True)
+            code, (shared, owner) = mixed(code[index[hot]]), np.unique(owner[hot], return_inverse=True)
             part = ((code >> np.uint64(32)) % np.uint64(fewer)).astype(np.int64)
             order = np.lexsort((owner, part))
             part, tag, owner = part[order], code[order].astype(np.uint32), owner[order]
-            key, size, wide = sets.key[chosen], sets.size[chosen], sets.wide_parities(chosen)
+            key, size, wide = sets.key[shared], sets.size[shared], sets.wide_parities(shared)
             rows += [
                 (k, unit, tagged(tag[a:b], owner[a:b], key, size, wide)) for k, a, b in slices(part)
             ]
@@ -623,22 +665,12 @@ def matched(texts: DataFrame, least: DataFrame, n: int, p: int, q: int) -> DataF
         a, b = ties(group.column("blob").to_pylist(), p, q)
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], TIE.names)
 
-    sent = packed.groupBy("unit").cogroup(hits.groupBy("unit")).applyInArrow(send_sets, SENT)
+    sent = one_of_each.groupBy("unit").cogroup(hits.groupBy("unit")).applyInArrow(send_sets, SENT)
     return sent.groupBy("part").applyInArrow(tie, TIE).distinct()
 
 
-def pieces(batch: pa.RecordBatch):
-    """A batch in slices of about ``PIECE_BYTES`` of text, one longer text being a slice."""
-    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-    piece = np.cumsum(sizes) // PIECE_BYTES
-    edges = np.r_[0, np.flatnonzero(np.diff(piece)) + 1, len(piece)]
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def verified(
-    texts: DataFrame, family: DataFrame, least: DataFrame, n: int, p: int, q: int,
+    packed: DataFrame, family: DataFrame, least: DataFrame, n: int, p: int, q: int,
 ) -> DataFrame:
     """Links (``a``, ``b``: keys) that connect what is linked within the families."""
     member = family.join(least, "key").withColumn(
@@ -688,19 +720,27 @@ def verified(
     down = pairs("below", level - 1, level, lambda k: k, lambda k: own, lambda k: F.lit(2))
     dealt = placed.withColumn("block", block).withColumn(
         "to", F.when(F.col("cuts") == 0, whole).otherwise(F.concat(same, up, down))
-    ).select("family", "key", F.col("first").alias("doc_id"), "to")
+    ).select("family", "unit", "row", "to")
+
+    def texts(batches):
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("unit", "payload", "chosen"))
+            for unit, payload, chosen in zip(*columns):
+                row = places(chosen)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(row), unit), pa.int64()), pa.array(row, pa.int32()),
+                    unpacked(payload, chosen).column("text").cast(pa.string()).combine_chunks(),
+                ], TEXT.names)
 
     # A text takes half the room of its hashed n-grams, so texts go to the blocks.
-    spread = dealt.join(texts, "doc_id").select(
-        "family", "key", "text", F.explode("to").alias("at")
-    ).select("family", "key", "text", "at.*")
+    text = with_chosen(packed, member).mapInArrow(texts, TEXT)
+    spread = dealt.join(text, ["unit", "row"]).select(
+        "family", "text", F.explode("to").alias("at")
+    ).select("family", "text", "at.*")
 
     def verify(group: pa.Table) -> pa.Table:
         sets = Sets(utf8(group.column("text")), n)
-        expected = np.asarray(group.column("key").combine_chunks())
-        right = np.flatnonzero(sets.key == expected)  # an id may have other texts as well
-        keys, once = np.unique(expected[right], return_index=True)
-        once = right[once]
+        keys, once = np.unique(sets.key, return_index=True)
         side = np.asarray(group.column("side").combine_chunks())[once]
         sizes = sets.size[once]
         grams = [sets.gram[sets.starts[i]:sets.starts[i] + sets.size[i]] for i in once]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelgauge.llm import ngram_jaccard, substring_dedup
+from reelgauge.llm.common import stored
 from reelgauge.llm.components import components
 from reelgauge.llm.ngram_jaccard import bands, linked_documents, one_of_each_group
 from reelgauge.llm.substring_dedup import deduplicated
+from tests.conftest import plan
 from tests.llm.cases import PASSAGE, ROWS, no_documents, odd_documents
 
 
@@ -288,3 +291,31 @@ def test_signatures_of_one_set_are_not_shared():
 
     found = ngram_jaccard.is_shared([sent([1, 5, 9], [False, False, True]), sent([5, 7], [False, False])])
     assert [f.tolist() for f in found] == [[False, True, True], [True, False]]
+
+
+def test_no_text_is_shuffled_to_be_joined(spark, monkeypatch):
+    plans, held = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def seen(edges):
+        plans.append(plan(edges))
+        return components(edges)
+
+    def kept(df, name):
+        plans.append(plan(df))
+        return stored(df, name)
+
+    monkeypatch.setattr(ngram_jaccard, "components", seen)
+    monkeypatch.setattr(ngram_jaccard, "stored", kept)
+    rng = random.Random(13)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(12))) for i in range(6000)]
+    rows += [(len(rows) + i, text + " more") for i, (_, text) in enumerate(rows[:600])]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        found = linked_documents(documents, 4, (85, 100)).where("component_id <> doc_id").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert sorted((r[0], r[2]) for r in found) == [(6000 + i, i) for i in range(600)]
+    assert not [p for p in plans if "hashpartitioning(doc_id" in p]
+    assert not [p for p in plans if re.search(r"SortMergeJoin \[unit#\d+L?\], ", p)]
+    assert [p for p in plans if re.search(r"BroadcastHashJoin \[unit#\d+L?\], ", p)]
